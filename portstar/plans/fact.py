@@ -51,7 +51,7 @@ def trip_grain(trips: DataFrame) -> DataFrame:
     return trips.select(*TRIP_COLUMNS).distinct()
 
 
-def _state_side(by_state: DataFrame) -> DataFrame:
+def state_side(by_state: DataFrame) -> DataFrame:
     """Per-state averages under their fact names (avoids the case-insensitive clash between
     ``state_code`` and ``State_Code``), broadcast when its row count is within the bound."""
     return bounded_broadcast(by_state.select(
@@ -63,7 +63,7 @@ def _state_side(by_state: DataFrame) -> DataFrame:
 
 def fact_trips(trips: DataFrame, demographics: DataFrame, by_state: DataFrame | None = None) -> DataFrame:
     """The fact: one row per distinct trip whose state has demographics."""
-    side = _state_side(by_state if by_state is not None else demographics_by_state(demographics))
+    side = state_side(by_state if by_state is not None else demographics_by_state(demographics))
     on_state = F.col("state_code") == F.col("demographics_state_code")
     covered = trips.join(side.select("demographics_state_code"), on_state, "left_semi")
     joined = trip_grain(covered).join(side, on_state, "inner")
@@ -118,7 +118,7 @@ def unmatched_states(trips: DataFrame, demographics: DataFrame, by_state: DataFr
 
     Null state codes never match and are reported as their own row.
     """
-    side = _state_side(by_state if by_state is not None else demographics_by_state(demographics))
+    side = state_side(by_state if by_state is not None else demographics_by_state(demographics))
     orphans = trip_grain(trips).join(side.select("demographics_state_code"),
                                      F.col("state_code") == F.col("demographics_state_code"),
                                      "left_anti")
