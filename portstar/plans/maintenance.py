@@ -41,6 +41,33 @@ def upsert(existing: DataFrame, updates: DataFrame, keys: Sequence[str],
     return kept.unionByName(latest.select(*existing.columns))
 
 
+# Most partition values an increment may touch before the read falls back to a semi join.
+MAX_TOUCHED_PARTITIONS = 2_000
+
+
+def touched_partitions(existing: DataFrame, updates: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of ``existing`` in the partitions ``updates`` falls into.
+
+    The distinct partition values of the update (at most one per directory of the table, and
+    capped at MAX_TOUCHED_PARTITIONS) become a literal predicate on partition columns, which
+    Spark applies to the directory listing: untouched partitions are never opened. Beyond the cap,
+    a broadcast semi join on the partition columns selects the rows instead.
+    """
+    partition_by = list(partition_by)
+    values = updates.select(*partition_by).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
+    if len(values) <= MAX_TOUCHED_PARTITIONS:
+        if not values:
+            return existing.limit(0)
+        terms = [reduce(lambda a, b: a & b,
+                        [F.col(p).eqNullSafe(F.lit(row[p])) for p in partition_by])
+                 for row in values]
+        return existing.where(reduce(lambda a, b: a | b, terms))
+    touched = bounded_broadcast(
+        updates.select([F.col(p).alias(f"_t_{p}") for p in partition_by]).distinct(),
+        max_rows=10 * MAX_TOUCHED_PARTITIONS)
+    return existing.join(touched, _null_safe_match(partition_by, "_t_"), "left_semi")
+
+
 def incremental_load(spark: SparkSession, target_path: str, updates: DataFrame,
                      keys: Sequence[str], partition_by: Sequence[str],
                      order_by: Sequence[str] | None = None) -> WriteResult:
@@ -56,10 +83,7 @@ def incremental_load(spark: SparkSession, target_path: str, updates: DataFrame,
     if existing is None:
         merged = updates
     else:
-        touched = bounded_broadcast(
-            updates.select([F.col(p).alias(f"_t_{p}") for p in partition_by]).distinct())
-        in_touched = existing.join(touched, _null_safe_match(partition_by, "_t_"), "left_semi")
-        merged = upsert(in_touched, updates, keys, order_by)
+        merged = upsert(touched_partitions(existing, updates, partition_by), updates, keys, order_by)
     staged_path = scratch_path(spark, "upsert-stage")
     write_table(merged, TableSpec("upsert_stage", staged_path, tuple(partition_by)))
     staged = read_table(spark, staged_path, schema)
