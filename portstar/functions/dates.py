@@ -93,3 +93,9 @@ def calendar_columns(date_col: str) -> list[Column]:
         week_us(d).alias("week"),
         F.dayofmonth(d).alias("day"),
     ]
+
+
+def with_sas_dates(df, columns, as_timestamp: bool = False):
+    """Replace SAS day-number columns by dates (or naive timestamps) in one ``withColumns``."""
+    convert = sas_timestamp if as_timestamp else sas_date
+    return df.withColumns({c: convert(c) for c in columns})

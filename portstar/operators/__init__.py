@@ -12,6 +12,7 @@ from portstar.operators.profile import (
     has_nulls,
     missing_profile,
     missing_profile_wide,
+    null_check,
     null_counts,
     null_rows,
     null_rows_union,
@@ -22,6 +23,6 @@ from portstar.operators.surrogate import dense_key, hash_key
 __all__ = [
     "drop_sparse_columns", "rename_by_name", "rename_columns", "sparse_columns",
     "dedup_by_key", "duplicate_keys", "bounded_broadcast", "unmatched_rows",
-    "has_nulls", "missing_profile", "missing_profile_wide", "null_counts", "null_rows",
+    "has_nulls", "missing_profile", "missing_profile_wide", "null_check", "null_counts", "null_rows",
     "null_rows_union", "union_all", "dense_key", "hash_key",
 ]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,9 +15,15 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
 
     The check runs ``limit(max_rows + 1).count()``, which stops reading once the bound is passed.
+    The checked side is persisted first, so the check and every join that broadcasts it compute
+    it once (a lost block is recomputed from lineage); an oversized side is released again.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = kept.limit(max_rows + 1).count()
+    if n <= max_rows:
+        return F.broadcast(kept)
+    kept.unpersist()
+    return df
 
 
 def unmatched_rows(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:

@@ -82,3 +82,14 @@ def has_nulls(df: DataFrame, columns: Sequence[str]) -> bool:
     """True if any checked column holds a null (stops at the first such row)."""
     cond = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
     return not df.where(cond).isEmpty()
+
+
+def null_check(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row: how many rows have a null in any checked column, and a verdict (one aggregate)."""
+    any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
+    counts = df.agg(F.count(F.lit(1)).alias("checked_rows"),
+                    F.count_if(any_null).alias("rows_with_nulls"))
+    verdict = F.when(F.col("rows_with_nulls") == 0, F.lit("no nulls")) \
+               .otherwise(F.lit("nulls found"))
+    return counts.select(F.lit(", ".join(columns)).alias("checked_columns"), "*",
+                         verdict.alias("verdict"))

@@ -305,6 +305,12 @@ ORACLE_SQL: dict[str, str] = {
     "null_rows_one_pass": sql(" UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_rows FROM dim_person"
         for c in PERSON_COLS), "dim_person"),
+    "null_check_verdict": sql(f"""
+        SELECT '{", ".join(PERSON_COLS)}' AS checked_columns, count(*) AS checked_rows,
+               count(*) FILTER (WHERE {" OR ".join(f"{c} IS NULL" for c in PERSON_COLS)}) AS rows_with_nulls,
+               CASE WHEN count(*) FILTER (WHERE {" OR ".join(f"{c} IS NULL" for c in PERSON_COLS)}) = 0
+                    THEN 'no nulls' ELSE 'nulls found' END AS verdict
+        FROM dim_person""", "dim_person"),
     "parquet_roundtrip_partitioned": sql("SELECT * FROM stage_trips", "stage_trips"),
     "csv_roundtrip": sql("SELECT * FROM stage_demographics", "stage_demographics"),
     "csv_arrivals_roundtrip": sql("SELECT * FROM stage_trips", "stage_trips"),

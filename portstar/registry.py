@@ -18,6 +18,7 @@ from portstar.operators.columns import drop_sparse_columns
 from portstar.operators.profile import (
     missing_profile,
     missing_profile_wide,
+    null_check,
     null_counts,
     null_rows,
     null_rows_union,
@@ -208,6 +209,10 @@ def q_null_rows_one_pass(spark, sf_dir):
     return null_counts(dims.dim_person(_trips(spark, sf_dir)), dims.PERSON_COLUMNS)
 
 
+def q_null_check_verdict(spark, sf_dir):
+    return null_check(dims.dim_person(_trips(spark, sf_dir)), dims.PERSON_COLUMNS)
+
+
 def q_schema_contract(spark, sf_dir):
     trips, demo = _trips(spark, sf_dir), _demo(spark, sf_dir)
     return validate_contract(spark, {
@@ -325,6 +330,7 @@ QUERIES: dict[str, Query] = {
     "null_rows_union": q_null_rows_union,
     "null_rows_single_scan": q_null_rows_single_scan,
     "null_rows_one_pass": q_null_rows_one_pass,
+    "null_check_verdict": q_null_check_verdict,
     "schema_contract": q_schema_contract,
     "parquet_roundtrip_partitioned": q_parquet_roundtrip_partitioned,
     "csv_roundtrip": q_csv_roundtrip,

@@ -7,11 +7,11 @@ from portstar.sources.readers import (
     read_testdata,
     register_views,
 )
-from portstar.sources.sinks import TableSpec, WriteResult, write_csv, write_table
+from portstar.sources.sinks import TableSpec, WriteResult, preview, write_csv, write_table
 from portstar.sources.testdata import arrivals_from_testdata, demographics_from_testdata
 
 __all__ = [
     "read_arrivals", "read_demographics", "read_table", "read_testdata", "register_views",
-    "TableSpec", "WriteResult", "write_csv", "write_table",
+    "TableSpec", "WriteResult", "preview", "write_csv", "write_table",
     "arrivals_from_testdata", "demographics_from_testdata",
 ]

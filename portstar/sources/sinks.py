@@ -54,3 +54,8 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", header: bool = True) ->
     """Delimited text with a header line (used for round trips of the raw inputs)."""
     df.write.mode("overwrite").option("sep", sep).option("header", str(header).lower()).csv(path)
     return path
+
+
+def preview(df: DataFrame, n: int = 5):
+    """First ``n`` rows as pandas: the limit runs on the executors, only n rows travel."""
+    return df.limit(n).toPandas()

@@ -43,7 +43,11 @@ def arrivals_from_testdata(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = read_testdata(spark, sf_dir, "customer").select(
         "c_custkey", "c_nationkey", "c_mktsegment")
     order_customer = orders.join(customer, orders.o_custkey == customer.c_custkey, "inner")
-    rows = line.join(order_customer, line.l_orderkey == order_customer.o_orderkey, "inner")
+    # Both sides grow with the data, so this is a sort-merge join (it spills, and adaptive
+    # execution splits a hot order key). The hint also stops the planner from broadcasting the
+    # lineitem side when a small file size estimate slips under the broadcast threshold.
+    rows = line.join(order_customer.hint("merge"),
+                     line.l_orderkey == order_customer.o_orderkey, "inner")
     nation = F.col("c_nationkey")
     line_no = F.col("l_linenumber")
     return rows.select(

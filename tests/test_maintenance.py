@@ -1,0 +1,149 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from portstar.plans.contract import contract, schema_rows, type_compatible, validate_contract
+from portstar.plans.fact import demographics_by_state, fact_trips
+from portstar.plans.maintenance import (
+    archive_split,
+    incremental_load,
+    touched_partitions,
+    upsert,
+    write_bucketed,
+)
+from portstar.plans.staging import stage_demographics, stage_trips
+from portstar.session import scratch_path
+from portstar.sources import TableSpec, read_table, write_table
+from portstar.sources.schemas import ARRIVALS_SCHEMA, DEMOGRAPHICS_SCHEMA
+from portstar.streaming.incremental import stream_arrivals_into_fact
+
+SCHEMA = "id long, name string, year int, month int"
+
+
+def test_upsert_latest_wins_and_null_keys_match(spark):
+    old = spark.createDataFrame([(1, "a", 2020, 1), (2, "b", 2020, 1), (None, "n", 2020, 2)], SCHEMA)
+    new = spark.createDataFrame([(2, "B", 2020, 1), (3, "c", 2020, 2), (None, "N", 2020, 2)], SCHEMA)
+    out = sorted((r.id or 0, r.name) for r in upsert(old, new, ["id"]).collect())
+    assert out == [(0, "N"), (1, "a"), (2, "B"), (3, "c")]
+
+
+def test_incremental_load_touches_only_new_partitions_and_is_idempotent(spark):
+    path = scratch_path(spark, "test-incr")
+    first = spark.createDataFrame([(1, "a", 2020, 1), (2, "b", 2020, 2)], SCHEMA)
+    incremental_load(spark, path, first, ["id"], ("year", "month"))
+    update = spark.createDataFrame([(2, "B", 2020, 2), (3, "c", 2020, 3)], SCHEMA)
+    incremental_load(spark, path, update, ["id"], ("year", "month"))
+    incremental_load(spark, path, update, ["id"], ("year", "month"))  # replay: no change
+    rows = sorted((r.id, r.name, r.month) for r in read_table(spark, path, first.schema).collect())
+    assert rows == [(1, "a", 1), (2, "B", 2), (3, "c", 3)]
+
+
+def test_touched_partitions_prunes_by_directory(spark):
+    path = scratch_path(spark, "test-touched")
+    table = spark.createDataFrame([(i, "x", 2020, i % 12 + 1) for i in range(48)], SCHEMA)
+    write_table(table, TableSpec("t", path, ("year", "month")))
+    existing = read_table(spark, path, table.schema)
+    update = spark.createDataFrame([(100, "y", 2020, 3)], SCHEMA)
+    sel = touched_partitions(existing, update, ["year", "month"])
+    plan = sel._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "month" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert sel.count() == 4
+
+
+def test_archive_split_union_is_original(spark):
+    src = scratch_path(spark, "test-arch-src")
+    table = spark.createDataFrame([(i, "x", 1997 + i % 3, i % 12 + 1) for i in range(60)]
+                                  + [(99, "nulls", None, None)], SCHEMA)
+    write_table(table, TableSpec("t", src, ("year", "month")))
+    arch, live = scratch_path(spark, "test-arch"), scratch_path(spark, "test-live")
+    archive_split(spark, src, arch, live, table.schema, 1998, 6)
+    a = read_table(spark, arch, table.schema)
+    b = read_table(spark, live, table.schema)
+    assert a.where((F.col("year") > 1998) | ((F.col("year") == 1998) & (F.col("month") >= 6))).isEmpty()
+    assert sorted(a.unionByName(b).collect()) == sorted(table.collect())
+
+
+def test_bucketed_join_has_no_exchange_before_the_join(spark):
+    left = spark.range(200).select(F.col("id").alias("k"), (F.col("id") % 7).alias("v"))
+    right = spark.range(100).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        tag = scratch_path(spark, "t").rsplit("-", 1)[-1]
+        lt = write_bucketed(left, f"lt_{tag}", scratch_path(spark, "lt"), "k", 4)
+        rt = write_bucketed(right, f"rt_{tag}", scratch_path(spark, "rt"), "k", 4)
+        joined = lt.join(rt, "k")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert joined.count() == 100
+    finally:
+        spark.conf.set(key, before)
+
+
+def _warehouse_inputs(spark):
+    arrivals = spark.createDataFrame(
+        [(1.0, 209.0, 582.0, "NYC", 20545.0, "CA", 20550.0, 1.0, None, 1980.0, "F", "AA", "100"),
+         (2.0, 209.0, 582.0, None, 20546.0, "CA", None, 2.0, None, 1990.0, "M", "BA", "200"),
+         (3.0, 101.0, 101.0, "LAX", 20547.0, "ZZ", 20560.0, 3.0, "X", 1970.0, None, "CA", "300")],
+        ARRIVALS_SCHEMA)
+    demo = spark.createDataFrame(
+        [("Town", "California", 35.5, 10, 10, 20, 1, 2, 2.5, "CA", "Asian", 5)], DEMOGRAPHICS_SCHEMA)
+    return arrivals, demo
+
+
+def test_contract_passes_on_good_tables_and_catches_violations(spark):
+    from portstar.plans import dims
+
+    arrivals, demo = _warehouse_inputs(spark)
+    trips, demo_s = stage_trips(arrivals), stage_demographics(demo)
+    tables = {
+        "dim_immi_personel": dims.dim_person(trips),
+        "dim_immi_airline": dims.dim_airline(trips),
+        "dim_arrive_calendar": dims.dim_arrive_calendar(trips),
+        "dim_depart_calendar": dims.dim_depart_calendar(trips),
+        "demo_population_dim": dims.dim_population(demo_s),
+        "immi_demographics": fact_trips(trips, demo_s),
+    }
+    report = validate_contract(spark, tables)
+    bad = [r for r in report.collect() if r.violations]
+    assert bad == []
+    assert report.count() == sum(1 + 2 * len(v) for v in contract().values()) + \
+        report.where(F.col("rule").isin("not_null", "unique", "max_length")).count()
+
+    broken = dict(tables)
+    broken["dim_immi_personel"] = spark.createDataFrame(
+        [(1, "123456", "1", 1980, "FF"), (1, "1", "1", 1980, "F"), (None, "1", "1", 1, "F")],
+        "cic_id bigint, country_code_1 string, country_code_2 string, birth_year int, gender string")
+    del broken["demo_population_dim"]
+    found = {(r.table_name, r.field, r.rule): r.violations
+             for r in validate_contract(spark, broken).collect() if r.violations}
+    assert found == {
+        ("dim_immi_personel", "cic_id", "not_null"): 1,
+        ("dim_immi_personel", "cic_id", "unique"): 1,
+        ("dim_immi_personel", "country_code_1", "max_length"): 1,
+        ("dim_immi_personel", "gender", "max_length"): 1,
+        ("demo_population_dim", None, "table_exists"): 1,
+    }
+
+
+def test_type_compatibility_and_schema_rows(spark):
+    from pyspark.sql import types as T
+
+    assert type_compatible("INTEGER", T.LongType()) and not type_compatible("INTEGER", T.DoubleType())
+    assert type_compatible("VARCHAR(5)", T.StringType()) and type_compatible("DATE", T.DateType())
+    rows = schema_rows(spark.createDataFrame([(1, "a")], "a int, b string")).collect()
+    assert [(r.column_name, r.data_type) for r in rows] == [("a", "int"), ("b", "string")]
+
+
+def test_stream_of_arrival_files_builds_the_fact(spark):
+    arrivals, demo = _warehouse_inputs(spark)
+    source = scratch_path(spark, "test-stream-src")
+    arrivals.repartition(3).write.parquet(source)
+    target = scratch_path(spark, "test-stream-fact")
+    by_state = demographics_by_state(stage_demographics(demo))
+    stream_arrivals_into_fact(spark, source, target, by_state)
+    want = fact_trips(stage_trips(arrivals), stage_demographics(demo))
+    got = read_table(spark, target, want.schema)
+    assert sorted(got.collect()) == sorted(want.collect())
+    assert [r.cic_id for r in got.collect()] and got.first().arrive_date >= dt.date(2016, 4, 1)
