@@ -327,3 +327,70 @@ ORACLE_SQL: dict[str, str] = {
         FROM (SELECT CAST(ts AS DATE) AS event_date, count(*) AS events FROM events GROUP BY 1)"""),
     "streamed_fact": _FACT_ROUNDED,
 }
+
+
+# Types each warehouse table is expected to have, as Spark names them (stated independently of
+# the code that produces the tables).
+EXPECTED_TYPES = {
+    "dim_immi_airline": {"travel_id": "string", "city_code": "string", "airline": "string",
+                         "flight_number": "string", "visa_code": "int"},
+    "dim_arrive_calendar": {"arrive_date": "date", "year": "int", "month": "int", "week": "int",
+                            "day": "int"},
+    "dim_depart_calendar": {"depart_date": "date", "year": "int", "month": "int", "week": "int",
+                            "day": "int"},
+    "demo_population_dim": {"demo_pop_id": "bigint", "State": "string", "Median_Age": "double",
+                            "Male_Population": "int", "Female_Population": "int",
+                            "Total_Population": "int", "Foreign_born": "int",
+                            "State_Code": "string", "Race": "string"},
+    "dim_immi_personel": {"cic_id": "bigint", "country_code_1": "string",
+                          "country_code_2": "string", "birth_year": "int", "gender": "string"},
+    "immi_demographics": {**{c: t for c, t in zip(
+        FACT_COLS,
+        ["bigint", "string", "string", "string", "date", "string", "date", "int", "int",
+         "string", "string", "string"] + ["double"] * 6 + ["string", "string", "int", "int"])}},
+}
+_TABLE_BLOCK = {"dim_immi_airline": "dim_airline", "dim_arrive_calendar": "dim_arrive_calendar",
+                "dim_depart_calendar": "dim_depart_calendar", "demo_population_dim": "dim_population",
+                "dim_immi_personel": "dim_person", "immi_demographics": "fact"}
+_TYPE_FAMILY = {"INTEGER": ("tinyint", "smallint", "int", "bigint"), "FLOAT": ("float", "double"),
+                "DATE": ("date",)}
+
+
+def _contract_sql() -> str:
+    from portstar.plans.contract import contract
+
+    def lit(v):
+        return "NULL" if v is None else "'" + str(v).replace("'", "''") + "'"
+
+    static, counted = [], []
+    for table, rules in contract().items():
+        static.append((table, None, "table_exists", "present", "present", 0))
+        types = EXPECTED_TYPES[table]
+        for r in rules:
+            static.append((table, r.field, "column_exists", "present", "present", 0))
+            actual = types[r.field]
+            ok = actual == "string" if r.sql_type.startswith("VARCHAR") else actual in _TYPE_FAMILY[r.sql_type]
+            static.append((table, r.field, "type", r.sql_type, actual, 0 if ok else 1))
+            src = _TABLE_BLOCK[table]
+            checks = []
+            if r.not_null:
+                checks.append(("not_null", "0 nulls", f"count(*) FILTER (WHERE {r.field} IS NULL)"))
+            if r.unique:
+                checks.append(("unique", "0 duplicates", f"count({r.field}) - count(DISTINCT {r.field})"))
+            if r.max_length is not None and actual == "string":
+                checks.append(("max_length", f"<= {r.max_length} chars",
+                               f"count(*) FILTER (WHERE length({r.field}) > {r.max_length})"))
+            for rule, expected, expr in checks:
+                counted.append(
+                    f"SELECT {lit(table)} AS table_name, {lit(r.field)} AS field, {lit(rule)} AS rule, "
+                    f"{lit(expected)} AS expected, CAST({expr} AS VARCHAR) AS actual, "
+                    f"CAST({expr} AS BIGINT) AS violations FROM {src}")
+    values = ",\n        ".join(
+        f"({lit(t)}, {lit(f)}, {lit(rule)}, {lit(e)}, {lit(a)}, CAST({v} AS BIGINT))"
+        for t, f, rule, e, a, v in static)
+    body = (f"SELECT * FROM (VALUES\n        {values}\n    ) AS s(table_name, field, rule, expected, actual, violations)\n"
+            + "UNION ALL\n" + "\nUNION ALL\n".join(counted))
+    return sql(body, *sorted(set(_TABLE_BLOCK.values())))
+
+
+ORACLE_SQL["schema_contract"] = _contract_sql()
