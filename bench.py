@@ -79,6 +79,9 @@ def main() -> None:
     spark = get_session(f"local[{CPUS}]", app_name="portstar-bench",
                         shuffle_partitions=CPUS * 2,
                         extra={"spark.driver.memory": "16g"})
+    # One untimed pass first: JIT, codegen caches and file metadata warm up before any timing.
+    for name in ("stage_trips", "fact_trips", "dim_person"):
+        run(QUERIES[name](spark, SF_DIR))
     queries: dict[str, float] = {}
     for name in HEADLINE:
         queries[name] = timed(lambda n=name: run(QUERIES[n](spark, SF_DIR)))
@@ -87,7 +90,7 @@ def main() -> None:
     demographics = demographics_from_testdata(spark, SF_DIR)
     trips, demo = stage_trips(arrivals), stage_demographics(demographics)
     comparisons: dict[str, float] = {
-        "fact_trips": queries["fact_trips"],
+        "fact_trips": timed(lambda: run(fact_trips(trips, demo))),
         "fact_trips_grouped": timed(lambda: run(fact_trips_grouped(trips, demo))),
         "null_profile_trips": timed(lambda: run(missing_profile(trips))),
         "null_profile_per_column_jobs": timed(

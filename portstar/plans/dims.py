@@ -35,7 +35,7 @@ def dim_airline(trips: DataFrame, path: str | None = None) -> DataFrame:
     order because staged rows are distinct.
     """
     numbered = dense_key(trips.select(*ARRIVAL_STAGED_COLUMNS), ARRIVAL_STAGED_COLUMNS,
-                         "_trip_no", path=path)
+                         "_trip_no", keep=AIRLINE_COLUMNS, path=path)
     return numbered.select(travel_key(F.col("_trip_no"), F.col("city_code")).alias("travel_id"),
                            *AIRLINE_COLUMNS)
 
@@ -66,5 +66,5 @@ def iso_week_calendar(trips: DataFrame, date_col: str = "arrive_date") -> DataFr
 def dim_population(demographics: DataFrame, path: str | None = None) -> DataFrame:
     """One row per staged demographic row with a dense ``demo_pop_id``."""
     numbered = dense_key(demographics.select(*POPULATION_ORDER), POPULATION_ORDER,
-                         "demo_pop_id", path=path)
+                         "demo_pop_id", keep=POPULATION_COLUMNS, path=path)
     return numbered.select("demo_pop_id", *POPULATION_COLUMNS)

@@ -42,10 +42,15 @@ def stream_arrivals_into_fact(spark: SparkSession, source_dir: str, target_path:
     For a long-running job, call with a processing-time trigger instead; the body is the same.
     """
     checkpoint = checkpoint or scratch_path(spark, "stream-checkpoint")
+    # The per-state averages are static for the stream's lifetime: computed once, not per batch.
+    static_side = by_state.persist()
     stream = (spark.readStream.schema(ARRIVALS_SCHEMA).format(source_format)
               .option("maxFilesPerTrigger", files_per_batch).load(source_dir))
-    query = (stream.writeStream.foreachBatch(fact_batch_writer(target_path, by_state))
-             .option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True).start())
-    query.awaitTermination()
+    try:
+        query = (stream.writeStream.foreachBatch(fact_batch_writer(target_path, static_side))
+                 .option("checkpointLocation", checkpoint)
+                 .trigger(availableNow=True).start())
+        query.awaitTermination()
+    finally:
+        static_side.unpersist()
     return query

@@ -76,3 +76,15 @@ def test_no_python_udf_in_date_plan(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert not math.isnan(0.0)
+
+
+def test_with_sas_dates_converts_in_place(spark):
+    from portstar.functions import with_sas_dates
+    from portstar.sources import preview
+
+    df = spark.createDataFrame([(1, 20545.0, None)], "id int, arr double, dep double")
+    out = with_sas_dates(df, ["arr", "dep"])
+    assert out.columns == ["id", "arr", "dep"]
+    assert dict(out.dtypes)["arr"] == "date"
+    assert out.first().arr == dt.date(2016, 4, 1)
+    assert len(preview(out, 1)) == 1
