@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,9 +72,16 @@ def touched_partitions(existing: DataFrame, updates: DataFrame, partition_by: Se
 def incremental_load(spark: SparkSession, target_path: str, updates: DataFrame,
                      keys: Sequence[str], partition_by: Sequence[str],
                      order_by: Sequence[str] | None = None) -> WriteResult:
-    """Merge ``updates`` into the partitioned Parquet table at ``target_path``."""
+    """Merge ``updates`` into the partitioned Parquet table at ``target_path``.
+
+    The increment is persisted while it is used twice (its partition values, then the merge);
+    a lost block is recomputed from lineage. Merged partitions are staged before the target's
+    partitions are replaced, so the target is never overwritten by a job still reading it.
+    """
     partition_by = list(partition_by)
     schema = updates.schema
+    spec = TableSpec("target", target_path, tuple(partition_by), mode="overwrite",
+                     options={"partitionOverwriteMode": "dynamic"})
     try:
         existing = read_table(spark, target_path, schema)
     except Exception as exc:  # first load: no table yet
@@ -81,15 +89,15 @@ def incremental_load(spark: SparkSession, target_path: str, updates: DataFrame,
             raise
         existing = None
     if existing is None:
-        merged = updates
-    else:
-        merged = upsert(touched_partitions(existing, updates, partition_by), updates, keys, order_by)
-    staged_path = scratch_path(spark, "upsert-stage")
-    write_table(merged, TableSpec("upsert_stage", staged_path, tuple(partition_by)))
-    staged = read_table(spark, staged_path, schema)
-    spec = TableSpec("target", target_path, tuple(partition_by), mode="overwrite",
-                     options={"partitionOverwriteMode": "dynamic"})
-    return write_table(staged, spec)
+        return write_table(updates, spec)
+    increment = updates.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        merged = upsert(touched_partitions(existing, increment, partition_by), increment, keys, order_by)
+        staged_path = scratch_path(spark, "upsert-stage")
+        write_table(merged, TableSpec("upsert_stage", staged_path, tuple(partition_by)))
+    finally:
+        increment.unpersist()
+    return write_table(read_table(spark, staged_path, schema), spec)
 
 
 def archive_split(spark: SparkSession, source_path: str, archive_path: str, live_path: str,
