@@ -124,3 +124,14 @@ def test_year_filter_prunes_partitions_and_state_filter_is_pushed(spark, sf_smal
     assert "PushedFilters: [IsNotNull(immigration_state_code), EqualTo(immigration_state_code,12)]" in plan
     lazy = population_by_state_month(fact, year=1998, state="12")
     assert sorted(q.collect()) == sorted(lazy.collect())
+
+
+def test_calendar_is_the_set_of_distinct_non_null_dates(spark, sf_small):
+    from portstar.sources.testdata import arrivals_from_testdata
+
+    trips = stage_trips(arrivals_from_testdata(spark, sf_small))
+    for dim, col in [(dims.dim_arrive_calendar(trips), "arrive_date"),
+                     (dims.dim_depart_calendar(trips), "depart_date")]:
+        want = {r[0] for r in trips.select(col).where(F.col(col).isNotNull()).distinct().collect()}
+        got = [r[0] for r in dim.select(col).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
