@@ -50,7 +50,7 @@ ROUND_DIGITS = 4
 BI_YEAR, BI_STATE = 1998, "12"
 FIRST_LOAD_BEFORE, INCREMENT_FROM = "2000-01-01", "1999-12-01"
 ARCHIVE_BEFORE = (1998, 1)
-BUCKETS = 8
+STREAM_BATCHES = 4  # the landing folder is taken in about this many micro-batches
 TOP_K = 20
 
 
@@ -267,10 +267,12 @@ def q_archive_split(spark, sf_dir):
 def q_bucketed_join(spark, sf_dir):
     trips, demo = _trips(spark, sf_dir), _demo(spark, sf_dir)
     tag = scratch_path(spark, "bucketed").rsplit("-", 1)[-1]
+    # bucket count follows the cluster's shuffle width, so each bucket stays a task-sized slice
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     fact = write_bucketed(fact_trips(trips, demo), f"fact_b_{tag}",
-                          scratch_path(spark, "fact-bucketed"), "cic_id", BUCKETS)
+                          scratch_path(spark, "fact-bucketed"), "cic_id", buckets)
     person = write_bucketed(dims.dim_person(trips), f"person_b_{tag}",
-                            scratch_path(spark, "person-bucketed"), "cic_id", BUCKETS)
+                            scratch_path(spark, "person-bucketed"), "cic_id", buckets)
     joined = fact.join(person.select("cic_id", F.col("country_code_1").alias("home_country")),
                        "cic_id")
     return joined.groupBy("home_country").agg(F.count(F.lit(1)).alias("trips"),
@@ -294,10 +296,13 @@ def q_event_calendar(spark, sf_dir):
 
 def q_streamed_fact(spark, sf_dir):
     source = scratch_path(spark, "arrivals-drop")
-    arrivals_from_testdata(spark, sf_dir).repartition(4).write.parquet(source)
+    # the landing folder: evenly sized files, as many as the data needs
+    arrivals_from_testdata(spark, sf_dir).hint("rebalance").write.parquet(source)
+    files = len(spark.read.parquet(source).inputFiles())
     target = scratch_path(spark, "fact-streamed")
     demo = _demo(spark, sf_dir)
-    stream_arrivals_into_fact(spark, source, target, demographics_by_state(demo))
+    stream_arrivals_into_fact(spark, source, target, demographics_by_state(demo),
+                              files_per_batch=max(1, -(-files // STREAM_BATCHES)))
     return rounded(read_table(spark, target, fact_trips(_trips(spark, sf_dir), demo).schema))
 
 

@@ -43,3 +43,19 @@ def test_entry_runs_flagship_on_smoke_data(spark):
     assert df.columns == ["year", "month", "immigration_state_code", "trips", "avg_population"]
     assert df.count() > 0
     assert set(entry.oracle_sql()) == set(entry.queries())
+
+
+def test_results_do_not_depend_on_session_time_zone(spark, sf_small):
+    from portstar.registry import QUERIES
+
+    names = ["event_calendar", "dim_arrive_calendar", "stage_trips"]
+    key = "spark.sql.session.timeZone"
+    before = spark.conf.get(key)
+    try:
+        results = {}
+        for zone in ("UTC", "America/Los_Angeles", "Asia/Kolkata"):
+            spark.conf.set(key, zone)
+            results[zone] = {n: sorted(map(str, QUERIES[n](spark, sf_small).collect())) for n in names}
+    finally:
+        spark.conf.set(key, before)
+    assert results["UTC"] == results["America/Los_Angeles"] == results["Asia/Kolkata"]
