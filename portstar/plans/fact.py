@@ -26,6 +26,9 @@ FACT_COLUMNS = (
     + [f"avg_{m}" for m in MEASURES]
     + ["demographics_state_code", "Race", "year", "month"]
 )
+# The trip columns identify a fact row (the rest follows from the state); incremental loads
+# merge on them.
+FACT_KEYS = ["immigration_state_code" if c == "state_code" else c for c in TRIP_COLUMNS]
 
 
 def demographics_by_state(demographics: DataFrame, per_city: bool = False) -> DataFrame:

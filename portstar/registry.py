@@ -27,6 +27,7 @@ from portstar.plans import dims
 from portstar.plans.bi import busiest_arrival_days, daily_summary, population_by_state_month
 from portstar.plans.contract import validate_contract
 from portstar.plans.fact import (
+    FACT_KEYS,
     demographics_by_state,
     fact_trips,
     fact_trips_grouped,
@@ -39,7 +40,7 @@ from portstar.session import scratch_path
 from portstar.sources.readers import read_arrivals, read_demographics, read_table, read_testdata
 from portstar.sources.sinks import TableSpec, write_csv, write_table
 from portstar.sources.testdata import arrivals_from_testdata, demographics_from_testdata
-from portstar.streaming.incremental import FACT_KEYS, stream_arrivals_into_fact
+from portstar.streaming.incremental import stream_arrivals_into_fact
 
 Query = Callable[[SparkSession, str], DataFrame]
 

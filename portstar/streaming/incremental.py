@@ -11,15 +11,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from portstar.plans.fact import FACT_COLUMNS, fact_trips
+from portstar.plans.fact import FACT_KEYS, fact_trips
 from portstar.plans.maintenance import incremental_load
 from portstar.plans.staging import stage_trips
 from portstar.session import scratch_path
 from portstar.sources.schemas import ARRIVALS_SCHEMA
 
-FACT_KEYS = [c for c in FACT_COLUMNS if not c.startswith("avg_")
-             and c not in ("demographics_state_code", "Race", "year", "month")]
-
 
 def fact_batch_writer(target_path: str, by_state: DataFrame):
     """foreachBatch function: stage one batch of raw arrivals and merge it into the fact."""

@@ -28,6 +28,12 @@ def duck(sf_dir: str):
     return con
 
 
+# Spark simple type names and the DuckDB types that hold the same values.
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+                 "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP",
+                 "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
 def _norm(v):
     if v is None:
         return None
@@ -50,6 +56,9 @@ def compare(spark, con, name: str, query, oracle: str, sf_dir: str) -> dict:
     t1 = time.time()
     res = con.execute(oracle)
     ocols = [d[0] for d in res.description]
+    otypes = {d[0]: str(d[1]) for d in res.description}
+    stypes = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+              for f in df.schema.fields}
     order = sorted(range(len(ocols)), key=lambda i: ocols[i])
     duck_rows = [tuple(_norm(row[i]) for i in order) for row in res.fetchall()]
     out = {"name": name, "spark_sec": round(t1 - t0, 2), "rows": len(spark_rows),
@@ -61,7 +70,11 @@ def compare(spark, con, name: str, query, oracle: str, sf_dir: str) -> dict:
     if not out["values_match"]:
         out["only_spark"] = list((a - b).elements())[:3]
         out["only_oracle"] = list((b - a).elements())[:3]
-    out["ok"] = out["columns_match"] and out["values_match"]
+    type_diff = {c: (stypes[c], otypes.get(c)) for c in stypes if stypes[c] != otypes.get(c)}
+    out["types_match"] = not type_diff
+    if type_diff:
+        out["type_diff"] = type_diff
+    out["ok"] = out["columns_match"] and out["values_match"] and out["types_match"]
     return out
 
 
