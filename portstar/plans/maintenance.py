@@ -1,7 +1,8 @@
 """Keeping the warehouse current: incremental upserts, archiving, bucketed layout, summaries.
 
 An incremental load only touches the partitions its new rows fall into: existing rows of those
-partitions are read (partition pruning through a broadcast semi join), merged with the new rows
+partitions are read (a literal filter on the partition columns, so other directories are never
+opened; a broadcast semi join when an increment spans very many partitions), merged with the new rows
 (new rows win on their key), staged in the shared checkpoint folder and written back with dynamic
 partition overwrite. Staging first means the target is never overwritten by a job that is still
 reading it, and a failed run leaves the target as it was.
@@ -32,8 +33,10 @@ def upsert(existing: DataFrame, updates: DataFrame, keys: Sequence[str],
            order_by: Sequence[str] | None = None) -> DataFrame:
     """``existing`` with every key present in ``updates`` replaced by the update's row.
 
-    Several updates of one key keep the first by ``order_by`` (see ``dedup_by_key``). Keys are
-    compared null-safely, so a null key value replaces a null key value.
+    Several updates of one key keep the first by ``order_by`` (see ``dedup_by_key``); without
+    ``order_by`` the updates are taken as given (one row per key expected, as for the fact whose
+    key is every trip column). Keys are compared null-safely, so a null key value replaces a null
+    key value.
     """
     keys = list(keys)
     latest = dedup_by_key(updates, keys, order_by) if order_by is not None else updates
