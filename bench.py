@@ -115,6 +115,9 @@ def main() -> None:
     comparisons["bi_year_state_unpartitioned"] = timed(
         lambda: run(population_by_state_month(flat, year=1998, state="12")))
     queries["bi_population_on_written_fact"] = timed(lambda: run(population_by_state_month(fact)))
+    reports = wh.quality_reports()
+    comparisons["quality_reports_on_written_tables"] = timed(
+        lambda: [run(df) for df in reports.values()])
 
     print(json.dumps({
         "metric": "headline_total_sec",

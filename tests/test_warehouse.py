@@ -32,6 +32,10 @@ def test_build_writes_every_table_and_checks_pass_on_written_data(spark, sf_smal
     assert {r.verdict for r in report.collect()} == {"ok"}
     contract = validate_contract(spark, tables)
     assert contract.where(F.col("violations") > 0).isEmpty()
+    reports = wh.quality_reports()
+    assert reports["merge_report"].first().fact_rows == tables["immi_demographics"].count()
+    assert reports["person_null_check"].first().checked_rows == tables["dim_immi_personel"].count()
+    assert reports["schema_contract"].where(F.col("violations") > 0).isEmpty()
     bi = population_by_state_month(tables["immi_demographics"])
     assert bi.agg(F.sum("trips")).first()[0] == tables["immi_demographics"].count()
 
