@@ -32,6 +32,13 @@ def test_build_writes_every_table_and_checks_pass_on_written_data(spark, sf_smal
     assert {r.verdict for r in report.collect()} == {"ok"}
     contract = validate_contract(spark, tables)
     assert contract.where(F.col("violations") > 0).isEmpty()
+    views = wh.register_views(prefix="t_")
+    assert "t_immi_demographics" in views
+    sql_check = spark.sql("""
+        SELECT count(*) AS total_rows, count(immigration_state_code) AS with_state,
+               count(demographics_state_code) AS with_demographics
+        FROM t_immi_demographics""").first()
+    assert sql_check.total_rows == sql_check.with_state == sql_check.with_demographics
     reports = wh.quality_reports()
     assert reports["merge_report"].first().fact_rows == tables["immi_demographics"].count()
     assert reports["person_null_check"].first().checked_rows == tables["dim_immi_personel"].count()
