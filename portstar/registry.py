@@ -7,6 +7,7 @@ the outputs, as in the SQL oracle, because summation order differs between engin
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,7 @@ from portstar.plans import dims
 from portstar.plans.bi import busiest_arrival_days, daily_summary, population_by_state_month
 from portstar.plans.contract import validate_contract
 from portstar.plans.fact import (
+    FACT_COLUMNS,
     FACT_KEYS,
     demographics_by_state,
     fact_trips,
@@ -278,7 +280,7 @@ def q_archive_split(spark, sf_dir):
 
 def q_bucketed_join(spark, sf_dir):
     trips, demo = _trips(spark, sf_dir), _demo(spark, sf_dir)
-    tag = scratch_path(spark, "bucketed").rsplit("-", 1)[-1]
+    tag = uuid.uuid4().hex[:12]
     # bucket count follows the cluster's shuffle width, so each bucket stays a task-sized slice
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     fact = write_bucketed(fact_trips(trips, demo), f"fact_b_{tag}",
@@ -315,7 +317,7 @@ def q_streamed_fact(spark, sf_dir):
     demo = _demo(spark, sf_dir)
     stream_arrivals_into_fact(spark, source, target, demographics_by_state(demo),
                               files_per_batch=max(1, -(-files // STREAM_BATCHES)))
-    return rounded(read_table(spark, target, fact_trips(_trips(spark, sf_dir), demo).schema))
+    return rounded(read_table(spark, target).select(*FACT_COLUMNS))
 
 
 QUERIES: dict[str, Query] = {
