@@ -36,5 +36,9 @@ def sparse_columns(df: DataFrame, max_missing_pct: float) -> list[str]:
 
 
 def drop_sparse_columns(df: DataFrame, max_missing_pct: float = 90.0) -> DataFrame:
-    """Drop the columns that are mostly missing (null, or NaN for floating types)."""
+    """Drop the columns that are mostly missing (null, or NaN for floating types).
+
+    Deciding which columns to drop reads the data once and the result reads it again, so call
+    it on a written (or persisted) frame rather than on an expensive lazy plan.
+    """
     return df.drop(*sparse_columns(df, max_missing_pct))

@@ -88,6 +88,14 @@ def test_key_report_separates_nulls_and_duplicates(spark):
             row.duplicate_rows, row.verdict) == (4, 2, 3, 1, 1, "null and duplicate keys")
 
 
+def test_key_report_sketch_mode_runs_and_is_close(spark):
+    df = spark.range(5000).select((F.col("id") % 1000).alias("k"))
+    exact = key_report({"t": (df, "k")}).first()
+    approx = key_report({"t": (df, "k")}, approx=True).first()
+    assert exact.distinct_keys == 1000
+    assert abs(approx.distinct_keys - 1000) <= 50  # the sketch's default error is 5 %
+
+
 def test_partition_round_trip_keeps_null_and_leading_zero(spark):
     trips, _ = frames(spark, [arrival(1.0, "07"), arrival(2.0, None)], [demo_row("07")])
     path = scratch_path(spark, "test-roundtrip")
