@@ -39,7 +39,6 @@ def _calendar(d: str) -> str:
 
 
 TRIP_COLS = [f.name for f in STAGED_TRIPS_SCHEMA.fields]
-DEMO_COLS = [f.name for f in STAGED_DEMOGRAPHICS_SCHEMA.fields]
 GRAIN_COLS = [c for c in TRIP_COLS if c != "occupation"]
 MEASURES = ["Median_Age", "Male_Population", "Female_Population", "Total_Population",
             "Number_of_Veterans", "Foreign_born"]

@@ -33,15 +33,18 @@ def fact_batch_writer(target_path: str, by_state: DataFrame):
 
 def stream_arrivals_into_fact(spark: SparkSession, source_dir: str, target_path: str,
                               by_state: DataFrame, checkpoint: str | None = None,
-                              files_per_batch: int = 1, source_format: str = "parquet"):
+                              files_per_batch: int = 1, source_format: str = "parquet",
+                              options: dict | None = None):
     """Run the stream over every file now in ``source_dir`` (available-now trigger) and stop.
 
-    For a long-running job, call with a processing-time trigger instead; the body is the same.
+    ``options`` go to the file source (e.g. ``{"header": "true"}`` for CSV landing files). For a
+    long-running job, call with a processing-time trigger instead; the body is the same.
     """
     checkpoint = checkpoint or scratch_path(spark, "stream-checkpoint")
     # The per-state averages are static for the stream's lifetime: computed once, not per batch.
     static_side = by_state.persist()
     stream = (spark.readStream.schema(ARRIVALS_SCHEMA).format(source_format)
+              .options(**(options or {}))
               .option("maxFilesPerTrigger", files_per_batch).load(source_dir))
     try:
         query = (stream.writeStream.foreachBatch(fact_batch_writer(target_path, static_side))

@@ -161,3 +161,15 @@ def test_stream_replay_over_same_files_leaves_fact_unchanged(spark):
     stream_arrivals_into_fact(spark, source, target, by_state, files_per_batch=2)
     again = sorted(read_table(spark, target, fact_trips(stage_trips(arrivals), stage_demographics(demo)).schema).collect())
     assert again == first and len(first) == 2
+
+
+def test_stream_reads_csv_landing_files(spark):
+    from portstar.sources import write_csv
+
+    arrivals, demo = _warehouse_inputs(spark)
+    source = write_csv(arrivals, scratch_path(spark, "test-stream-csv"))
+    target = scratch_path(spark, "test-stream-csv-fact")
+    stream_arrivals_into_fact(spark, source, target, demographics_by_state(stage_demographics(demo)),
+                              source_format="csv", options={"header": "true"})
+    want = fact_trips(stage_trips(arrivals), stage_demographics(demo))
+    assert sorted(read_table(spark, target, want.schema).collect()) == sorted(want.collect())
