@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import math
+import os
 import sys
 import time
 from collections import Counter
@@ -85,7 +86,12 @@ def main(argv: list[str]) -> int:
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:]
-    spark = get_session("local[8]", shuffle_partitions=8)
+    if os.environ.get("PLAIN_SESSION"):
+        # a session with Spark's own defaults, as a caller that does not use get_session has
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").getOrCreate()
+    else:
+        spark = get_session("local[8]", shuffle_partitions=8)
     con = duck(sf_dir)
     queries, oracle = entry.queries(), entry.oracle_sql()
     failed = 0
