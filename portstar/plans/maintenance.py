@@ -77,6 +77,10 @@ def incremental_load(spark: SparkSession, target_path: str, updates: DataFrame,
                      order_by: Sequence[str] | None = None) -> WriteResult:
     """Merge ``updates`` into the partitioned Parquet table at ``target_path``.
 
+    Keys are replaced inside the partitions the increment touches, so the key must determine the
+    partition (as for the fact, whose key includes the arrival date that fixes year and month);
+    a key moved to another partition would also stay in its old one.
+
     The increment is persisted while it is used twice (its partition values, then the merge);
     a lost block is recomputed from lineage. Merged partitions are staged before the target's
     partitions are replaced, so the target is never overwritten by a job still reading it.
