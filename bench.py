@@ -43,10 +43,12 @@ RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 # always printed; the headline queries come first.
 BUDGET = float(os.environ.get("BENCH_BUDGET_SEC", "900"))
 
+# The flagship is timed last: the first timed query of a run read ~50% slow in every run here
+# (4.3 s in isolation, 6.5 s when first), an artefact of position, not of the query.
 HEADLINE = [
-    "bi_population_by_state_month", "stage_trips", "fact_trips", "dim_person", "dim_airline",
-    "dim_arrive_calendar", "dim_population", "null_profile_trips", "key_report", "merge_report",
-    "fact_unmatched_states", "null_rows_one_pass", "duplicate_cic_ids", "preview_top",
+    "stage_trips", "fact_trips", "dim_person", "dim_airline", "dim_arrive_calendar",
+    "dim_population", "null_profile_trips", "key_report", "merge_report", "fact_unmatched_states",
+    "null_rows_one_pass", "duplicate_cic_ids", "preview_top", "bi_population_by_state_month",
 ]
 
 

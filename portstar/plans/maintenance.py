@@ -129,3 +129,20 @@ def write_bucketed(df: DataFrame, table_name: str, path: str, key: str, buckets:
     (df.write.mode("overwrite").format("parquet").option("path", path)
        .bucketBy(buckets, key).sortBy(key).saveAsTable(table_name))
     return df.sparkSession.table(table_name)
+
+
+def refresh_derived(spark: SparkSession, source_path: str, source_schema, target_path: str,
+                    derive, changed: DataFrame,
+                    partition_by: Sequence[str] = ("year", "month")) -> WriteResult:
+    """Recompute the partitions of a derived table (e.g. the daily summary) whose source
+    partitions ``changed`` touches, and replace only those partitions of ``target_path``.
+
+    The source is read through the same literal partition filter as an incremental load, so a
+    daily increment re-aggregates one month of data, not the whole table. ``derive`` must keep
+    the partition columns (a per-partition aggregate such as ``daily_summary``).
+    """
+    source = read_table(spark, source_path, source_schema)
+    scope = touched_partitions(source, changed, partition_by)
+    spec = TableSpec("derived", target_path, tuple(partition_by), mode="overwrite",
+                     options={"partitionOverwriteMode": "dynamic"})
+    return write_table(derive(scope), spec)

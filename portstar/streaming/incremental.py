@@ -11,15 +11,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from portstar.plans.bi import daily_summary
 from portstar.plans.fact import FACT_KEYS, fact_trips
-from portstar.plans.maintenance import incremental_load
+from portstar.plans.maintenance import incremental_load, refresh_derived
 from portstar.plans.staging import stage_trips
 from portstar.session import scratch_path
 from portstar.sources.schemas import ARRIVALS_SCHEMA
 
 
-def fact_batch_writer(target_path: str, by_state: DataFrame):
-    """foreachBatch function: stage one batch of raw arrivals and merge it into the fact."""
+def fact_batch_writer(target_path: str, by_state: DataFrame, summary_path: str | None = None):
+    """foreachBatch function: stage one batch of raw arrivals and merge it into the fact; with
+    ``summary_path``, also refresh the daily summary for the months the batch touched."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
@@ -27,6 +29,9 @@ def fact_batch_writer(target_path: str, by_state: DataFrame):
         spark = batch.sparkSession
         new_rows = fact_trips(stage_trips(batch), None, by_state=by_state)
         incremental_load(spark, target_path, new_rows, FACT_KEYS, ("year", "month"))
+        if summary_path is not None:
+            refresh_derived(spark, target_path, new_rows.schema, summary_path, daily_summary,
+                            new_rows)
 
     return apply
 
@@ -34,10 +39,11 @@ def fact_batch_writer(target_path: str, by_state: DataFrame):
 def stream_arrivals_into_fact(spark: SparkSession, source_dir: str, target_path: str,
                               by_state: DataFrame, checkpoint: str | None = None,
                               files_per_batch: int = 1, source_format: str = "parquet",
-                              options: dict | None = None):
+                              options: dict | None = None, summary_path: str | None = None):
     """Run the stream over every file now in ``source_dir`` (available-now trigger) and stop.
 
-    ``options`` go to the file source (e.g. ``{"header": "true"}`` for CSV landing files). For a
+    ``options`` go to the file source (e.g. ``{"header": "true"}`` for CSV landing files);
+    ``summary_path`` keeps a daily summary table current alongside the fact. For a
     long-running job, call with a processing-time trigger instead; the body is the same.
     """
     checkpoint = checkpoint or scratch_path(spark, "stream-checkpoint")
@@ -47,7 +53,7 @@ def stream_arrivals_into_fact(spark: SparkSession, source_dir: str, target_path:
               .options(**(options or {}))
               .option("maxFilesPerTrigger", files_per_batch).load(source_dir))
     try:
-        query = (stream.writeStream.foreachBatch(fact_batch_writer(target_path, static_side))
+        query = (stream.writeStream.foreachBatch(fact_batch_writer(target_path, static_side, summary_path))
                  .option("checkpointLocation", checkpoint)
                  .trigger(availableNow=True).start())
         query.awaitTermination()

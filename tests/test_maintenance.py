@@ -173,3 +173,29 @@ def test_stream_reads_csv_landing_files(spark):
                               source_format="csv", options={"header": "true"})
     want = fact_trips(stage_trips(arrivals), stage_demographics(demo))
     assert sorted(read_table(spark, target, want.schema).collect()) == sorted(want.collect())
+
+
+def test_stream_keeps_daily_summary_current(spark):
+    from pyspark.sql import functions as F
+
+    from portstar.plans.bi import daily_summary
+
+    arrivals, demo = _warehouse_inputs(spark)
+    more = spark.createDataFrame(
+        [(4.0, 209.0, 582.0, "NYC", 20600.0, "CA", None, 1.0, None, 1985.0, "F", "AA", "400"),
+         (5.0, 209.0, 582.0, "NYC", 20545.0, "CA", None, 1.0, None, 1985.0, "M", "AA", "500")],
+        ARRIVALS_SCHEMA)
+    source = scratch_path(spark, "test-summary-src")
+    arrivals.coalesce(1).write.parquet(source)
+    more.coalesce(1).write.mode("append").parquet(source)
+    target, summary = scratch_path(spark, "test-summary-fact"), scratch_path(spark, "test-summary")
+    stream_arrivals_into_fact(spark, source, target, demographics_by_state(stage_demographics(demo)),
+                              summary_path=summary)
+    fact = fact_trips(stage_trips(arrivals.unionByName(more)), stage_demographics(demo))
+    want = daily_summary(fact)
+    got = read_table(spark, summary, want.schema)
+
+    def norm(df):
+        return sorted(tuple(r) for r in df.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c)
+                                                   for c, t in df.dtypes]).collect())
+    assert norm(got) == norm(want) and got.count() == 3
