@@ -64,9 +64,15 @@ def state_side(by_state: DataFrame) -> DataFrame:
     ))
 
 
-def fact_trips(trips: DataFrame, demographics: DataFrame, by_state: DataFrame | None = None) -> DataFrame:
-    """The fact: one row per distinct trip whose state has demographics."""
-    side = state_side(by_state if by_state is not None else demographics_by_state(demographics))
+def fact_trips(trips: DataFrame, demographics: DataFrame, by_state: DataFrame | None = None,
+               side: DataFrame | None = None) -> DataFrame:
+    """The fact: one row per distinct trip whose state has demographics.
+
+    ``side`` is a prepared ``state_side`` (checked and persisted once by a caller that builds
+    the fact many times, such as a stream); otherwise it is prepared here.
+    """
+    if side is None:
+        side = state_side(by_state if by_state is not None else demographics_by_state(demographics))
     on_state = F.col("state_code") == F.col("demographics_state_code")
     covered = trips.join(side.select("demographics_state_code"), on_state, "left_semi")
     joined = trip_grain(covered).join(side, on_state, "inner")

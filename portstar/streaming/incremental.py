@@ -12,14 +12,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from portstar.plans.bi import daily_summary
-from portstar.plans.fact import FACT_KEYS, fact_trips
+from portstar.plans.fact import FACT_KEYS, fact_trips, state_side
 from portstar.plans.maintenance import incremental_load, refresh_derived
 from portstar.plans.staging import stage_trips
 from portstar.session import scratch_path
 from portstar.sources.schemas import ARRIVALS_SCHEMA
 
 
-def fact_batch_writer(target_path: str, by_state: DataFrame, summary_path: str | None = None):
+def fact_batch_writer(target_path: str, side: DataFrame, summary_path: str | None = None):
     """foreachBatch function: stage one batch of raw arrivals and merge it into the fact; with
     ``summary_path``, also refresh the daily summary for the months the batch touched."""
 
@@ -27,7 +27,7 @@ def fact_batch_writer(target_path: str, by_state: DataFrame, summary_path: str |
         if batch.isEmpty():
             return
         spark = batch.sparkSession
-        new_rows = fact_trips(stage_trips(batch), None, by_state=by_state)
+        new_rows = fact_trips(stage_trips(batch), None, side=side)
         incremental_load(spark, target_path, new_rows, FACT_KEYS, ("year", "month"))
         if summary_path is not None:
             refresh_derived(spark, target_path, new_rows.schema, summary_path, daily_summary,
@@ -47,13 +47,15 @@ def stream_arrivals_into_fact(spark: SparkSession, source_dir: str, target_path:
     long-running job, call with a processing-time trigger instead; the body is the same.
     """
     checkpoint = checkpoint or scratch_path(spark, "stream-checkpoint")
-    # The per-state averages are static for the stream's lifetime: computed once, not per batch.
+    # The per-state averages are static for the stream's lifetime: computed, size-checked and
+    # persisted once, not per batch (a long-running stream must not add a cached table per batch).
     static_side = by_state.persist()
+    side = state_side(static_side)
     stream = (spark.readStream.schema(ARRIVALS_SCHEMA).format(source_format)
               .options(**(options or {}))
               .option("maxFilesPerTrigger", files_per_batch).load(source_dir))
     try:
-        query = (stream.writeStream.foreachBatch(fact_batch_writer(target_path, static_side, summary_path))
+        query = (stream.writeStream.foreachBatch(fact_batch_writer(target_path, side, summary_path))
                  .option("checkpointLocation", checkpoint)
                  .trigger(availableNow=True).start())
         query.awaitTermination()
