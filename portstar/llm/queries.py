@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from portstar.llm import chat, merkle, mixing, pii, sharding, urls
+from portstar.llm import chat, decontamination, merkle, mixing, near_dedup, pii, sharding, toxicity, urls
 
 LLM_QUERIES = {
     "op1_prefix_targets": chat.query,
@@ -10,6 +10,9 @@ LLM_QUERIES = {
     "op3_hypergeometric_shards": sharding.query,
     "op4_poisson_mixture": mixing.query,
     "op5_merkle_fingerprints": merkle.query,
+    "op6_template_decontamination": decontamination.query,
+    "op7_compression_toxicity": toxicity.query,
+    "op8_odd_sketch_dedup": near_dedup.query,
     "op10_url_bloom_filter": urls.query,
 }
 
