@@ -30,11 +30,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from portstar.llm.common import packed, table
+from portstar.llm.common import cut, packed, table
 
 WINDOW = 8
 COVERAGE = 0.5
 BITMAP_BITS = 1 << 23
+MAX_BROADCAST_ROWS = 1_000_000   # 8-byte row keys
 MIN_WORDS = 3                  # words that are not placeholders in an indexed window
 
 _TOKEN = re.compile(r"[0-9]+(?:[.,:/][0-9]+)*|[^\W\d_]+|[.!?]")
@@ -228,7 +229,9 @@ def with_row_key(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
                   text: str = "text") -> DataFrame:
     """The rows of ``docs`` in which no benchmark item is found."""
-    found = find_items(with_row_key(docs, doc_id, text), benchmark).select("doc_row").distinct()
+    found = cut(find_items(with_row_key(docs, doc_id, text), benchmark).select("doc_row").distinct())
+    if found.count() <= MAX_BROADCAST_ROWS:
+        found = F.broadcast(found)
     d = packed(docs)
     row = F.xxhash64(F.col(f"__row.`{doc_id}`").cast("long"), F.col(f"__row.`{text}`"))
     return d.withColumn("doc_row", row).join(found, "doc_row", "left_anti").select("__row.*")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from portstar.llm import chat, decontamination, merkle, mixing, near_dedup, pii, sharding, toxicity, urls
+from portstar.llm import (chat, decontamination, html, merkle, mixing, near_dedup, pii, sharding,
+                          toxicity, urls)
 
 LLM_QUERIES = {
     "op1_prefix_targets": chat.query,
@@ -13,6 +14,7 @@ LLM_QUERIES = {
     "op6_template_decontamination": decontamination.query,
     "op7_compression_toxicity": toxicity.query,
     "op8_odd_sketch_dedup": near_dedup.query,
+    "op9_max_subsequence_text": html.query,
     "op10_url_bloom_filter": urls.query,
 }
 
