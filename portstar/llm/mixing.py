@@ -54,7 +54,8 @@ def source_rates(docs: DataFrame, weights: DataFrame | None = None,
     """``source, rate, parts, cdf`` for each source of ``source, text``.
 
     ``weights`` (``source, weight``) gives target shares up to a factor; sources it does not name
-    get weight 0. Sums run over the small per-source table only.
+    get weight 0, and weights of sources that do not occur are left out of the sum. Sums run over
+    the small per-source table only.
     """
     size = F.coalesce(F.char_length("text"), F.lit(0)).cast("long")
     sizes = docs.groupBy("source").agg(F.sum(size).cast("double").alias("size"))
