@@ -66,21 +66,6 @@ def timed(fn) -> float:
     return round(statistics.median(samples), 3)
 
 
-def _sas_udf_calendar(trips_raw):
-    """The original approach: a row-at-a-time Python UDF from SAS days to timestamps."""
-
-    @F.udf(T.TimestampType())
-    def to_ts(days):
-        if days is None:
-            return None
-        return dt.datetime(1960, 1, 1) + dt.timedelta(days=days)
-
-    ts = trips_raw.select(to_ts(F.col("arrdate")).alias("arrive_date")).distinct()
-    d = F.col("arrive_date")
-    return ts.select(d, F.year(d).alias("year"), F.month(d).alias("month"),
-                     F.weekofyear(d).alias("week"), F.dayofmonth(d).alias("day"))
-
-
 def main() -> None:
     started = time.perf_counter()
     skipped: list[str] = []
@@ -114,7 +99,6 @@ def main() -> None:
         "null_rows_one_pass": lambda: run(null_counts(dims.dim_person(trips), dims.PERSON_COLUMNS)),
         "null_rows_union": lambda: run(null_rows_union(dims.dim_person(trips), dims.PERSON_COLUMNS)),
         "dim_arrive_calendar": lambda: run(dims.dim_arrive_calendar(trips)),
-        "arrive_calendar_python_udf": lambda: run(_sas_udf_calendar(arrivals)),
     }
     comparisons: dict[str, float] = {}
     for name, fn in pairs.items():

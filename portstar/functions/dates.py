@@ -14,8 +14,8 @@ from portstar.functions.numbers import as_column
 # SAS counts days from 1960-01-01; 86,400 seconds per day.
 SAS_EPOCH = "1960-01-01"
 MICROS_PER_DAY = 86_400_000_000
-# A day number outside +-3,000,000 (about 8,200 years) is treated as garbage, not a date.
-SAS_DAY_LIMIT = 3_000_000
+# The day numbers of 0001-01-01 and 9999-12-31, the calendar a date column can hold.
+SAS_DAY_MIN, SAS_DAY_MAX = -715_509, 2_936_549
 
 
 def sas_date(c) -> Column:
@@ -26,8 +26,13 @@ def sas_date(c) -> Column:
     """
     c = as_column(c)
     days = F.floor(c).cast("int")
-    return F.when(c.between(-SAS_DAY_LIMIT, SAS_DAY_LIMIT),
-                  F.date_add(F.lit(SAS_EPOCH).cast("date"), days))
+    return F.when(in_calendar(c), F.date_add(F.lit(SAS_EPOCH).cast("date"), days))
+
+
+def in_calendar(c) -> Column:
+    """Whether a SAS day number lies in the years 1 to 9999 (null for null; NaN does not)."""
+    c = as_column(c)
+    return (c >= SAS_DAY_MIN) & (c < SAS_DAY_MAX + 1)
 
 
 def sas_timestamp(c) -> Column:
@@ -39,8 +44,7 @@ def sas_timestamp(c) -> Column:
     c = as_column(c)
     micros = F.round(c * F.lit(MICROS_PER_DAY)).cast("long")
     epoch = F.lit(f"{SAS_EPOCH} 00:00:00").cast("timestamp_ntz")
-    return F.when(c.between(-SAS_DAY_LIMIT, SAS_DAY_LIMIT),
-                  F.timestamp_add("MICROSECOND", micros, epoch))
+    return F.when(in_calendar(c), F.timestamp_add("MICROSECOND", micros, epoch))
 
 
 def sas_day_number(c) -> Column:

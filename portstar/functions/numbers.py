@@ -1,8 +1,8 @@
 """Numeric casts that never fail a job under ANSI mode.
 
 Source numerics arrive as doubles (SAS files store every number as a double). Identifiers and
-codes are whole numbers; a fraction, NaN or an out-of-range value is rejected to null so that it
-shows up in the key and missing-value reports instead of killing a 100 TB job.
+codes are whole numbers; a fraction, NaN or an out-of-range value gives null instead of killing a
+100 TB job, and staging keeps such rows in a reject table.
 """
 
 from __future__ import annotations

@@ -2,28 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Largest build side we broadcast; beyond it the join stays a shuffle join (adaptive execution
 # still splits skewed keys there).
-BROADCAST_MAX_ROWS = 200_000
+BROADCAST_MAX_BYTES = 64 << 20
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
+def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """``broadcast(df)`` if its values take at most ``max_bytes``, else ``df`` unchanged.
 
-    The check runs ``limit(max_rows + 1).count()``, which stops reading once the bound is passed.
-    The checked side is persisted first, so the check and every join that broadcasts it compute
-    it once (a lost block is recomputed from lineage); an oversized side is released again.
+    One aggregate adds up the bytes of the strings and 8 bytes for every other value. Nothing is
+    cached: a later call over the same path sees what the path holds then.
     """
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = kept.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(kept)
-    kept.unpersist()
-    return df
+    sizes = [F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0))
+             if isinstance(f.dataType, T.StringType) else F.lit(8) for f in df.schema.fields]
+    row = sizes[0]
+    for size in sizes[1:]:
+        row = row + size
+    taken = df.agg(F.sum(row.cast("long")).alias("bytes")).first().bytes or 0
+    return F.broadcast(df) if taken <= max_bytes else df
 
 
 def unmatched_rows(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:

@@ -21,7 +21,7 @@ def _whole(x: str, sql_type: str, bounds: tuple[int, int]) -> str:
 
 
 def _sas_date(x: str) -> str:
-    return (f"CASE WHEN {x} BETWEEN -3000000 AND 3000000 "
+    return (f"CASE WHEN {x} >= -715509 AND {x} < 2936550 "
             f"THEN CAST(DATE '1960-01-01' + CAST(floor({x}) AS INTEGER) AS DATE) END")
 
 
@@ -98,11 +98,11 @@ BLOCKS: dict[str, tuple[list[str], str]] = {
            CAST(floor(abs(c.c_acctbal) / 3) AS INTEGER) AS "Foreign-born",
            CASE WHEN c.c_custkey % 45 <> 0 THEN 1.5 + CAST(c.c_custkey % 20 AS DOUBLE) / 10 END
                AS "Average Household Size",
-           lpad(CAST(c.c_nationkey AS VARCHAR), 2, '0') AS "State Code",
+           CASE WHEN c.c_nationkey <> 3 THEN lpad(CAST(c.c_nationkey AS VARCHAR), 2, '0') END
+               AS "State Code",
            c.c_mktsegment AS "Race",
            CAST(c.c_custkey % 1000 + 1 AS INTEGER) AS "Count"
-    FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
-    WHERE c.c_nationkey <> 3"""),
+    FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey"""),
     "stage_demographics": (["demographics"], """
     SELECT DISTINCT "City" AS City, "State" AS State, "Median Age" AS Median_Age,
            "Male Population" AS Male_Population, "Female Population" AS Female_Population,
@@ -211,6 +211,8 @@ def _key_report() -> str:
             ("dim_arrive_calendar", "dim_arrive_calendar", "arrive_date"),
             ("dim_depart_calendar", "dim_depart_calendar", "depart_date"),
             ("demo_population_dim", "dim_population", "demo_pop_id"),
+            ("stage_trips_by_country", "stage_trips", "country_code_1"),
+            ("stage_trips_by_port", "stage_trips", "city_code"),
         ]
     ]
     body = f"""
@@ -221,9 +223,38 @@ def _key_report() -> str:
                 ELSE 'null and duplicate keys' END AS verdict
     FROM ({" UNION ALL ".join(parts)})"""
     return sql(body, "dim_person", "dim_airline", "dim_arrive_calendar", "dim_depart_calendar",
-               "dim_population")
+               "dim_population", "stage_trips")
 
 
+_MEASURE_COLS = [f"avg_{m}" for m in MEASURES]
+
+
+def _fact_with(changes: dict[str, str], where: str, order: str) -> str:
+    """The fact with some columns restated, as one version of its rows."""
+    cols = [f"{changes[c]} AS {c}" if c in changes else c for c in FACT_COLS]
+    return f"SELECT {', '.join(cols)}, {order} AS version FROM fact WHERE {where}"
+
+
+_MOVED = "CASE WHEN cic_id % 7 = 0 THEN CAST(arrive_date - 60 AS DATE) ELSE arrive_date END"
+_FIRST = "arrive_date < DATE '2000-01-01'"
+_SENT = "(arrive_date >= DATE '1999-12-01' OR cic_id % 35 < 8)"
+_UPSERT = sql(f"""
+    SELECT {_round_cols(FACT_COLS, set(_MEASURE_COLS))} FROM (
+      SELECT *, row_number() OVER (PARTITION BY cic_id ORDER BY version, {_nulls_first(FACT_COLS[1:])}) AS rn FROM (
+        {_fact_with({}, _SENT, '1')}
+        UNION ALL {_fact_with({}, _FIRST + ' AND cic_id % 13 = 0', '2')}
+        UNION ALL {_fact_with({
+            'city_code': "CASE WHEN cic_id % 5 = 0 THEN 'OLD' ELSE city_code END",
+            'depart_date': 'CASE WHEN cic_id % 3 <> 0 THEN depart_date END', 'arrive_date': _MOVED,
+            'year': f'CAST(year({_MOVED}) AS INTEGER)', 'month': f'CAST(month({_MOVED}) AS INTEGER)'},
+            _FIRST, '3')})) WHERE rn = 1""", "fact")
+
+_BAD_ARRIVALS = """
+    SELECT * REPLACE (
+        CASE WHEN CAST(cicid AS BIGINT) % 10 = 5 THEN 5e6 ELSE depdate END AS depdate,
+        CASE WHEN CAST(cicid AS BIGINT) % 10 = 7 THEN cicid + 0.5 ELSE cicid END AS cicid)
+    FROM arrivals"""
+
 _NULL_ROWS = sql(" UNION ALL ".join(
     f"SELECT {', '.join(PERSON_COLS)}, '{c}' AS null_column FROM dim_person WHERE {c} IS NULL"
     for c in PERSON_COLS), "dim_person")
@@ -313,8 +344,36 @@ ORACLE_SQL: dict[str, str] = {
     "parquet_roundtrip_partitioned": sql("SELECT * FROM stage_trips", "stage_trips"),
     "csv_roundtrip": sql("SELECT * FROM stage_demographics", "stage_demographics"),
     "csv_arrivals_roundtrip": sql("SELECT * FROM stage_trips", "stage_trips"),
-    "incremental_upsert": _FACT_ROUNDED,
-    "archive_split": _FACT_ROUNDED,
+    "csv_wide_arrivals": sql("SELECT * FROM stage_trips WHERE cic_id % 10 <> 6", "stage_trips"),
+    "csv_rejects": sql("""
+        SELECT CAST(CAST(cicid AS BIGINT) AS VARCHAR) || 'x' AS cicid, i94port, fltno, 'cicid' AS bad_columns
+        FROM arrivals WHERE CAST(cicid AS BIGINT) % 10 = 6""", "arrivals"),
+    "stage_rejects": sql("""
+        SELECT *, CASE WHEN cicid <> floor(cicid) THEN 'cicid' ELSE 'depdate' END AS bad_columns
+        FROM bad WHERE cicid <> floor(cicid) OR depdate > 2936549""", "arrivals", extra={"bad": _BAD_ARRIVALS}),
+    "staging_balance": sql("""
+        SELECT 'input' AS part, count(*) AS n FROM arrivals
+        UNION ALL SELECT 'accepted', count(*) FROM arrivals WHERE CAST(cicid AS BIGINT) % 10 NOT IN (5, 7)
+        UNION ALL SELECT 'rejected', count(*) FROM arrivals WHERE CAST(cicid AS BIGINT) % 10 IN (5, 7)
+        UNION ALL SELECT 'staged', count(*) FROM stage_trips WHERE cic_id % 10 NOT IN (5, 7)""",
+        "arrivals", "stage_trips"),
+    "warehouse_build": _FACT_ROUNDED,
+    "sql_quality_checks": sql(" UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, count(*) AS total_rows, count({key}) AS non_null_keys, "
+        f"count(DISTINCT {key}) AS distinct_keys FROM {block}"
+        for table, block, key in (
+            ("dim_immi_personel", "dim_person", "cic_id"), ("dim_immi_airline", "dim_airline", "travel_id"),
+            ("dim_arrive_calendar", "dim_arrive_calendar", "arrive_date"),
+            ("dim_depart_calendar", "dim_depart_calendar", "depart_date"),
+            ("demo_population_dim", "dim_population", "demo_pop_id"),
+            ("stage_immigration", "stage_trips", "state_code"), ("immi_demographics", "fact", "cic_id"))),
+        "dim_person", "dim_airline", "dim_arrive_calendar", "dim_depart_calendar", "dim_population",
+        "stage_trips", "fact"),
+    "incremental_upsert": _UPSERT,
+    "archive_split": sql(f"""
+        SELECT {_round_cols(FACT_COLS, set(_MEASURE_COLS))},
+               CASE WHEN year < 1998 OR (year = 1998 AND month < 1) THEN 'archive' ELSE 'live' END AS part
+        FROM fact""", "fact"),
     "bucketed_join": sql("""
         SELECT p.country_code_1 AS home_country, count(*) AS trips,
                count(DISTINCT f.cic_id) AS travellers

@@ -1,11 +1,8 @@
 """Keeping the warehouse current: incremental upserts, archiving, bucketed layout, summaries.
 
-An incremental load only touches the partitions its new rows fall into: existing rows of those
-partitions are read (a literal filter on the partition columns, so other directories are never
-opened; a broadcast semi join when an increment spans very many partitions), merged with the new rows
-(new rows win on their key), staged in the shared checkpoint folder and written back with dynamic
-partition overwrite. Staging first means the target is never overwritten by a job that is still
-reading it, and a failed run leaves the target as it was.
+An incremental load replaces the stored rows of its keys wherever they lie, rewrites only the
+partitions that hold such rows and appends the rest. Partitions are chosen by a literal filter on
+the partition columns, so other directories are never opened.
 """
 
 from __future__ import annotations
@@ -13,12 +10,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portstar.operators.dedup import dedup_by_key
-from portstar.operators.joins import bounded_broadcast
 from portstar.session import scratch_path
 from portstar.sources.readers import read_table
 from portstar.sources.sinks import TableSpec, WriteResult, write_table
@@ -45,66 +40,116 @@ def upsert(existing: DataFrame, updates: DataFrame, keys: Sequence[str],
     return kept.unionByName(latest.select(*existing.columns))
 
 
-# Most partition values an increment may touch before the read falls back to a semi join.
-MAX_TOUCHED_PARTITIONS = 2_000
+def _balanced(terms: list, combine):
+    """Combine terms pairwise, so that the depth grows with the logarithm of their number."""
+    while len(terms) > 1:
+        terms = [combine(*terms[i:i + 2]) if i + 1 < len(terms) else terms[i]
+                 for i in range(0, len(terms), 2)]
+    return terms[0]
 
 
-def touched_partitions(existing: DataFrame, updates: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Rows of ``existing`` in the partitions ``updates`` falls into.
+def partition_filter(values: Sequence[tuple], partition_by: Sequence[str]):
+    """A literal predicate on partition columns that selects the given partition values.
 
-    The distinct partition values of the update (at most one per directory of the table, and
-    capped at MAX_TOUCHED_PARTITIONS) become a literal predicate on partition columns, which
-    Spark applies to the directory listing: untouched partitions are never opened. Beyond the cap,
-    a broadcast semi join on the partition columns selects the rows instead.
+    Spark applies it to the directory listing, so other partitions are never opened. Values are
+    grouped by all but the last column; the tree of alternatives is balanced, whatever its size.
     """
+    if not values:
+        return F.lit(False)
+    groups: dict[tuple, list] = {}
+    for value in values:
+        groups.setdefault(tuple(value[:-1]), []).append(value[-1])
+    last, terms = F.col(partition_by[-1]), []
+    for head, tails in groups.items():
+        known = [t for t in tails if t is not None]
+        some = [last.isin(known)] if known else []
+        if len(known) < len(tails):
+            some.append(last.isNull())
+        same = [F.col(p).isNull() if v is None else F.col(p) == F.lit(v)
+                for p, v in zip(partition_by, head)]
+        terms.append(_balanced([*same, _balanced(some, lambda a, b: a | b)], lambda a, b: a & b))
+    return _balanced(terms, lambda a, b: a | b)
+
+
+def _partition_values(df: DataFrame, partition_by: Sequence[str]) -> list[tuple]:
+    """Distinct partition values: at most one for each directory of the table."""
+    return [tuple(r) for r in df.select(*partition_by).distinct().collect()]
+
+
+def touched_partitions(existing: DataFrame, updates: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of ``existing`` in the partitions ``updates`` falls into (no other is opened)."""
     partition_by = list(partition_by)
-    values = updates.select(*partition_by).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
-    if len(values) <= MAX_TOUCHED_PARTITIONS:
-        if not values:
-            return existing.limit(0)
-        terms = [reduce(lambda a, b: a & b,
-                        [F.col(p).eqNullSafe(F.lit(row[p])) for p in partition_by])
-                 for row in values]
-        return existing.where(reduce(lambda a, b: a | b, terms))
-    touched = bounded_broadcast(
-        updates.select([F.col(p).alias(f"_t_{p}") for p in partition_by]).distinct(),
-        max_rows=10 * MAX_TOUCHED_PARTITIONS)
-    return existing.join(touched, _null_safe_match(partition_by, "_t_"), "left_semi")
+    return existing.where(partition_filter(_partition_values(updates, partition_by), partition_by))
 
 
-def incremental_load(spark: SparkSession, target_path: str, updates: DataFrame,
-                     keys: Sequence[str], partition_by: Sequence[str],
-                     order_by: Sequence[str] | None = None) -> WriteResult:
-    """Merge ``updates`` into the partitioned Parquet table at ``target_path``.
+def _delete_folders(spark: SparkSession, folders: Sequence[str]) -> None:
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in folders:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
 
-    Keys are replaced inside the partitions the increment touches, so the key must determine the
-    partition (as for the fact, whose key includes the arrival date that fixes year and month);
-    a key moved to another partition would also stay in its old one.
 
-    The increment is persisted while it is used twice (its partition values, then the merge);
-    a lost block is recomputed from lineage. Merged partitions are staged before the target's
-    partitions are replaced, so the target is never overwritten by a job still reading it.
-    """
-    partition_by = list(partition_by)
-    schema = updates.schema
-    spec = TableSpec("target", target_path, tuple(partition_by), mode="overwrite",
-                     options={"partitionOverwriteMode": "dynamic"})
+def _existing(spark: SparkSession, path: str, schema) -> DataFrame | None:
     try:
-        existing = read_table(spark, target_path, schema)
+        return read_table(spark, path, schema)
     except Exception as exc:  # first load: no table yet
         if "PATH_NOT_FOUND" not in str(exc) and "Path does not exist" not in str(exc):
             raise
-        existing = None
+        return None
+
+
+def incremental_load(spark: SparkSession, target_path: str, updates: DataFrame,
+                     keys: Sequence[str], partition_by: Sequence[str],
+                     order_by: Sequence | None = None, drop: Sequence[str] = ()) -> WriteResult:
+    """Merge ``updates`` into the partitioned Parquet table at ``target_path``: the latest row of
+    each key wins, wherever it lies.
+
+    Of several updates of one key the first by ``order_by`` counts (columns in ``drop`` only serve
+    this order and are not stored); an update always replaces the stored row, also when it falls
+    into another partition. Only the key and partition columns of the whole table are read to find
+    stored rows of the same keys. Partitions that hold such rows are rewritten without them;
+    everything else is appended, so an increment of new keys rewrites nothing.
+
+    The increment and the rewritten partitions are staged in the shared checkpoint folder first
+    and removed after. The table is changed in steps (replace partitions, append, remove emptied
+    folders); a run that fails between them is repaired by running the same increment again.
+    """
+    keys, partition_by = list(keys), list(partition_by)
+    stage = scratch_path(spark, "upsert-stage")
+    latest = dedup_by_key(updates, keys, order_by) if order_by is not None else updates
+    latest = latest.drop(*drop)
+    schema = latest.schema
+    write_table(latest, TableSpec("increment", f"{stage}/increment"))
+    increment = spark.read.schema(schema).parquet(f"{stage}/increment")
+    append = TableSpec("target", target_path, tuple(partition_by), mode="append")
+    existing = _existing(spark, target_path, schema)
     if existing is None:
-        return write_table(updates, spec)
-    increment = updates.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        merged = upsert(touched_partitions(existing, increment, partition_by), increment, keys, order_by)
-        staged_path = scratch_path(spark, "upsert-stage")
-        write_table(merged, TableSpec("upsert_stage", staged_path, tuple(partition_by)))
-    finally:
-        increment.unpersist()
-    return write_table(read_table(spark, staged_path, schema), spec)
+        result = write_table(increment, append)
+        _delete_folders(spark, [stage])
+        return result
+    new_keys = increment.select([F.col(k).alias(f"_u_{k}") for k in keys]).distinct()
+    same_key = _null_safe_match(keys, "_u_")
+    stored = existing.select(*dict.fromkeys([*keys, *partition_by])).join(new_keys, same_key, "left_semi")
+    changed = _partition_values(stored, partition_by)
+    if not changed:
+        result = write_table(increment, append)
+        _delete_folders(spark, [stage])
+        return result
+    in_changed = partition_filter(changed, partition_by)
+    kept = existing.where(in_changed).join(new_keys, same_key, "left_anti").unionByName(
+        increment.where(in_changed))
+    write_table(kept, TableSpec("kept", f"{stage}/kept", tuple(partition_by)))
+    rewritten = read_table(spark, f"{stage}/kept", schema)
+    emptied = sorted(set(changed) - set(_partition_values(rewritten, partition_by)), key=str)
+    folders = [] if not emptied else [r.f for r in existing.where(partition_filter(emptied, partition_by)).select(
+        F.regexp_replace(F.input_file_name(), "/[^/]*$", "").alias("f")).distinct().collect()]
+    result = write_table(rewritten, TableSpec("target", target_path, tuple(partition_by), mode="overwrite",
+                                              options={"partitionOverwriteMode": "dynamic"}))
+    rest = increment.where(~F.coalesce(in_changed, F.lit(False)))
+    if not rest.isEmpty():
+        result = write_table(rest, append)
+    _delete_folders(spark, [*folders, stage])
+    return result
 
 
 def archive_split(spark: SparkSession, source_path: str, archive_path: str, live_path: str,
@@ -124,9 +169,11 @@ def archive_split(spark: SparkSession, source_path: str, archive_path: str, live
 def write_bucketed(df: DataFrame, table_name: str, path: str, key: str, buckets: int) -> DataFrame:
     """Save ``df`` as an external table bucketed and sorted on ``key``; return it as a table.
 
+    Rows are dealt out by the key first, with the bucketing's own hash, so each bucket is one file.
+
     Two tables bucketed the same way on the join key join without an exchange on either side.
     """
-    (df.write.mode("overwrite").format("parquet").option("path", path)
+    (df.repartition(buckets, F.col(key)).write.mode("overwrite").format("parquet").option("path", path)
        .bucketBy(buckets, key).sortBy(key).saveAsTable(table_name))
     return df.sparkSession.table(table_name)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from portstar.functions.dates import sas_date
+from portstar.functions.dates import in_calendar, sas_date
 from portstar.functions.numbers import code_text, whole_number
 from portstar.operators.columns import rename_columns
 from portstar.sources.schemas import (
@@ -19,10 +19,13 @@ from portstar.sources.schemas import (
 def stage_trips(arrivals: DataFrame) -> DataFrame:
     """13 source columns -> staged names and declared types -> distinct rows.
 
-    Ids and codes become whole numbers (a fraction or NaN becomes null), SAS day numbers become
-    dates. Distinct runs on the typed rows, so every staged row is unique as stored.
+    Ids and codes become whole numbers, SAS day numbers become dates. Rows with a number that is
+    neither (a fraction, NaN, a day outside the calendar) are left to :func:`rejected_trips`, so
+    that no two of them merge. Distinct runs on the typed rows, so every staged row is unique as
+    stored.
     """
-    named = rename_columns(arrivals.select(*ARRIVAL_SOURCE_COLUMNS), ARRIVAL_STAGED_COLUMNS)
+    arrivals = arrivals.select(*ARRIVAL_SOURCE_COLUMNS).where(F.size(_bad_columns()) == 0)
+    named = rename_columns(arrivals, ARRIVAL_STAGED_COLUMNS)
     typed = named.select(
         whole_number("cic_id", "bigint").alias("cic_id"),
         code_text("country_code_1").alias("country_code_1"),
@@ -41,6 +44,24 @@ def stage_trips(arrivals: DataFrame) -> DataFrame:
     return typed.distinct()
 
 
+def _bad_columns():
+    """Names of the source columns that hold a number ``stage_trips`` cannot type."""
+    good = {"cicid": whole_number("cicid", "bigint").isNotNull(),
+            "i94cit": code_text("i94cit").isNotNull(), "i94res": code_text("i94res").isNotNull(),
+            "arrdate": in_calendar("arrdate"), "depdate": in_calendar("depdate"),
+            "i94visa": whole_number("i94visa", "int").isNotNull(),
+            "biryear": whole_number("biryear", "int").isNotNull()}
+    marks = [F.when(F.col(c).isNotNull() & ~ok, F.lit(c)) for c, ok in good.items()]
+    return F.filter(F.array(*marks), lambda name: name.isNotNull())
+
+
+def rejected_trips(arrivals: DataFrame) -> DataFrame:
+    """The arrival rows that staging leaves out, as they came (repeats included), with the names of
+    their ``bad_columns``. Staged rows, their repeats and these are all rows of the input."""
+    rows = arrivals.select(*ARRIVAL_SOURCE_COLUMNS, F.array_join(_bad_columns(), ",").alias("bad_columns"))
+    return rows.where(F.col("bad_columns") != "")
+
+
 def stage_demographics(demographics: DataFrame) -> DataFrame:
     """12 source columns -> underscore names -> distinct rows (one row per city and race)."""
     picked = demographics.select(*[F.col(f"`{c}`") for c in DEMOGRAPHIC_SOURCE_COLUMNS])

@@ -29,7 +29,6 @@ from portstar.plans.bi import busiest_arrival_days, daily_summary, population_by
 from portstar.plans.contract import validate_contract
 from portstar.plans.fact import (
     FACT_COLUMNS,
-    FACT_KEYS,
     demographics_by_state,
     fact_trips,
     fact_trips_grouped,
@@ -37,11 +36,22 @@ from portstar.plans.fact import (
 )
 from portstar.plans.maintenance import archive_split, incremental_load, write_bucketed
 from portstar.plans.quality import duplicate_listing, key_report, merge_report, missing_value_rows
-from portstar.plans.staging import stage_demographics, stage_trips
+from portstar.plans.staging import rejected_trips, stage_demographics, stage_trips
+from portstar.plans.warehouse import Warehouse
 from portstar.session import scratch_path
-from portstar.sources.readers import read_arrivals, read_demographics, read_table, read_testdata
+from portstar.sources.readers import (
+    read_arrivals,
+    read_demographics,
+    read_table,
+    read_testdata,
+    rejected_arrivals,
+)
 from portstar.sources.sinks import TableSpec, write_csv, write_table
-from portstar.sources.testdata import arrivals_from_testdata, demographics_from_testdata
+from portstar.sources.testdata import (
+    arrivals_from_testdata,
+    demographics_from_testdata,
+    with_bad_cells,
+)
 from portstar.streaming.incremental import stream_arrivals_into_fact
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,7 +63,7 @@ ROUND_DIGITS = 4
 BI_YEAR, BI_STATE = 1998, "12"
 FIRST_LOAD_BEFORE, INCREMENT_FROM = "2000-01-01", "1999-12-01"
 ARCHIVE_BEFORE = (1998, 1)
-STREAM_BATCHES = 4  # the landing folder is taken in about this many micro-batches
+FILES_PER_BATCH = 2  # landing files taken by one micro-batch
 TOP_K = 20
 
 
@@ -105,6 +115,25 @@ def q_stage_demographics(spark, sf_dir):
     return _demo(spark, sf_dir)
 
 
+def q_stage_rejects(spark, sf_dir):
+    return rejected_trips(with_bad_cells(arrivals_from_testdata(spark, sf_dir)))
+
+
+def q_staging_balance(spark, sf_dir):
+    """Input rows against distinct staged rows, their repeats and rejects."""
+    path = scratch_path(spark, "arrivals-bad")
+    with_bad_cells(arrivals_from_testdata(spark, sf_dir)).write.parquet(path)
+    arrivals = read_arrivals(spark, path)
+    good = arrivals.join(rejected_trips(arrivals).select("cicid", "depdate").distinct().withColumnsRenamed(
+        {"cicid": "c", "depdate": "d"}), F.col("cicid").eqNullSafe(F.col("c"))
+        & F.col("depdate").eqNullSafe(F.col("d")), "left_anti")
+    parts = [arrivals.select(F.lit("input").alias("part")), good.select(F.lit("accepted").alias("part")),
+             stage_trips(arrivals).select(F.lit("staged").alias("part")),
+             rejected_trips(arrivals).select(F.lit("rejected").alias("part"))]
+    rows = parts[0].unionAll(parts[1]).unionAll(parts[2]).unionAll(parts[3])
+    return rows.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+
+
 def q_null_profile_trips(spark, sf_dir):
     return missing_profile(_trips(spark, sf_dir))
 
@@ -118,7 +147,8 @@ def q_null_profile_wide_trips(spark, sf_dir):
 
 
 def q_drop_sparse(spark, sf_dir):
-    return drop_sparse_columns(_trips(spark, sf_dir), max_missing_pct=90.0)
+    trips, _ = _written_staging(spark, sf_dir)      # profiled once, then read again
+    return drop_sparse_columns(trips, max_missing_pct=90.0)
 
 
 # --- dimensions -----------------------------------------------------------------------------
@@ -192,6 +222,9 @@ def q_key_report(spark, sf_dir):
         "dim_arrive_calendar": (dims.dim_arrive_calendar(trips), "arrive_date"),
         "dim_depart_calendar": (dims.dim_depart_calendar(trips), "depart_date"),
         "demo_population_dim": (dims.dim_population(demo), "demo_pop_id"),
+        # not keys: trips repeat home countries, and some have no port
+        "stage_trips_by_country": (trips, "country_code_1"),
+        "stage_trips_by_port": (trips, "city_code"),
     })
 
 
@@ -258,15 +291,80 @@ def q_csv_arrivals_roundtrip(spark, sf_dir):
     return stage_trips(read_arrivals(spark, path, fmt="csv"))
 
 
+def _wide_csv(spark, sf_dir) -> str:
+    """An arrivals file as agencies send it: other columns around the 13, in another order, and
+    letters in the id of every 6th line."""
+    a = arrivals_from_testdata(spark, sf_dir)
+    bad = F.when(F.col("cicid") % 10 == 6, F.concat(F.col("cicid").cast("bigint").cast("string"), F.lit("x")))
+    wide = a.select(
+        F.lit("0").alias("index"), "fltno", "airline", F.lit(2016.0).alias("i94yr"), "gender", "biryear",
+        F.lit("G").alias("entdepa"), "occup", "i94visa", "depdate", "i94addr", F.lit(4.0).alias("i94mon"),
+        "arrdate", "i94port", "i94res", "i94cit", F.lit(None).cast("string").alias("insnum"),
+        F.coalesce(bad, F.col("cicid").cast("string")).alias("cicid"))
+    return write_csv(wide, scratch_path(spark, "arrivals-wide-csv"))
+
+
+def q_csv_wide_arrivals(spark, sf_dir):
+    return stage_trips(read_arrivals(spark, _wide_csv(spark, sf_dir), fmt="csv"))
+
+
+def q_csv_rejects(spark, sf_dir):
+    return rejected_arrivals(spark, _wide_csv(spark, sf_dir)).select(
+        "cicid", "i94port", "fltno", F.array_join("bad_columns", ",").alias("bad_columns"))
+
+
+def _built_warehouse(spark, sf_dir) -> Warehouse:
+    """The whole warehouse, opened again by another object, as a later process does."""
+    root = scratch_path(spark, "warehouse")
+    Warehouse(spark, root).build(arrivals_from_testdata(spark, sf_dir),
+                                 demographics_from_testdata(spark, sf_dir))
+    return Warehouse(spark, root)
+
+
+def q_warehouse_build(spark, sf_dir):
+    house = _built_warehouse(spark, sf_dir)
+    return rounded(house.table("immi_demographics"))
+
+
+def q_sql_quality_checks(spark, sf_dir):
+    """Row, key and null counts in SQL over views of the written tables."""
+    tag = f"w{uuid.uuid4().hex[:12]}_"
+    _built_warehouse(spark, sf_dir).register_views(tag)
+    parts = [f"SELECT '{table}' AS table_name, count(*) AS total_rows, count({key}) AS non_null_keys, "
+             f"count(DISTINCT {key}) AS distinct_keys FROM {tag}{table}"
+             for table, key in (("dim_immi_personel", "cic_id"), ("dim_immi_airline", "travel_id"),
+                                ("dim_arrive_calendar", "arrive_date"), ("dim_depart_calendar", "depart_date"),
+                                ("demo_population_dim", "demo_pop_id"), ("stage_immigration", "state_code"),
+                                ("immi_demographics", "cic_id"))]
+    return spark.sql(" UNION ALL ".join(parts))
+
+
 # --- maintenance ----------------------------------------------------------------------------
 
 def q_incremental_upsert(spark, sf_dir):
-    fact = _fact(spark, sf_dir)
+    """A first load with open departures, old cities and wrong arrival dates; then an increment
+    that corrects some of those rows (a moved date changes the partition), brings new rows, and
+    holds an outdated version of some. The last version of each ``cic_id`` has to remain."""
+    _, fact = _written_fact(spark, sf_dir)
+    key, arrived = F.col("cic_id"), F.col("arrive_date")
     path = scratch_path(spark, "fact-incremental")
-    incremental_load(spark, path, fact.where(F.col("arrive_date") < F.lit(FIRST_LOAD_BEFORE).cast("date")),
-                     FACT_KEYS, ("year", "month"))
-    incremental_load(spark, path, fact.where(F.col("arrive_date") >= F.lit(INCREMENT_FROM).cast("date")),
-                     FACT_KEYS, ("year", "month"))
+
+    def version(df, n):
+        return df.withColumns({"year": F.year("arrive_date"), "month": F.month("arrive_date"),
+                               "load_order": F.lit(n)})
+
+    wrong = fact.withColumns({
+        "city_code": F.when(key % 5 == 0, F.lit("OLD")).otherwise(F.col("city_code")),
+        "depart_date": F.when(key % 3 == 0, F.lit(None).cast("date")).otherwise(F.col("depart_date")),
+        "arrive_date": F.when(key % 7 == 0, F.date_sub(arrived, 60)).otherwise(arrived)})
+    order = ["load_order"]
+    first = version(wrong.where(arrived < F.lit(FIRST_LOAD_BEFORE).cast("date")), 2)
+    twice = first.unionByName(version(fact.where(
+        (arrived < F.lit(FIRST_LOAD_BEFORE).cast("date")) & (key % 13 == 0)), 1))     # corrected in the load
+    incremental_load(spark, path, twice, ["cic_id"], ("year", "month"), order, drop=order)
+    sent = fact.where((arrived >= F.lit(INCREMENT_FROM).cast("date")) | (key % 35 < 8))
+    later = version(sent, 1).unionByName(version(sent.where(key % 11 == 0).withColumn("city_code", F.lit("???")), 2))
+    incremental_load(spark, path, later, ["cic_id"], ("year", "month"), order, drop=order)
     return rounded(read_table(spark, path, fact.schema))
 
 
@@ -274,8 +372,9 @@ def q_archive_split(spark, sf_dir):
     path, fact = _written_fact(spark, sf_dir)
     archive, live = scratch_path(spark, "archive"), scratch_path(spark, "live")
     archive_split(spark, path, archive, live, fact.schema, *ARCHIVE_BEFORE)
-    both = read_table(spark, archive, fact.schema).unionByName(read_table(spark, live, fact.schema))
-    return rounded(both)
+    parts = [read_table(spark, p, fact.schema).withColumn("part", F.lit(name))
+             for name, p in (("archive", archive), ("live", live))]
+    return rounded(parts[0].unionByName(parts[1]))
 
 
 def q_bucketed_join(spark, sf_dir):
@@ -287,8 +386,9 @@ def q_bucketed_join(spark, sf_dir):
                           scratch_path(spark, "fact-bucketed"), "cic_id", buckets)
     person = write_bucketed(dims.dim_person(trips), f"person_b_{tag}",
                             scratch_path(spark, "person-bucketed"), "cic_id", buckets)
-    joined = fact.join(person.select("cic_id", F.col("country_code_1").alias("home_country")),
-                       "cic_id")
+    # the merge hint keeps the layout in use where one side happens to be small
+    joined = fact.join(person.select("cic_id", F.col("country_code_1").alias("home_country"))
+                       .hint("merge"), "cic_id")
     return joined.groupBy("home_country").agg(F.count(F.lit(1)).alias("trips"),
                                               F.count_distinct("cic_id").alias("travellers"))
 
@@ -312,17 +412,18 @@ def q_streamed_fact(spark, sf_dir):
     source = scratch_path(spark, "arrivals-drop")
     # the landing folder: evenly sized files, as many as the data needs
     arrivals_from_testdata(spark, sf_dir).hint("rebalance").write.parquet(source)
-    files = len(spark.read.parquet(source).inputFiles())
     target = scratch_path(spark, "fact-streamed")
     demo = _demo(spark, sf_dir)
     stream_arrivals_into_fact(spark, source, target, demographics_by_state(demo),
-                              files_per_batch=max(1, -(-files // STREAM_BATCHES)))
+                              files_per_batch=FILES_PER_BATCH)
     return rounded(read_table(spark, target).select(*FACT_COLUMNS))
 
 
 QUERIES: dict[str, Query] = {
     "stage_trips": q_stage_trips,
     "stage_demographics": q_stage_demographics,
+    "stage_rejects": q_stage_rejects,
+    "staging_balance": q_staging_balance,
     "null_profile_trips": q_null_profile_trips,
     "null_profile_demographics": q_null_profile_demographics,
     "null_profile_wide_trips": q_null_profile_wide_trips,
@@ -354,6 +455,10 @@ QUERIES: dict[str, Query] = {
     "parquet_roundtrip_partitioned": q_parquet_roundtrip_partitioned,
     "csv_roundtrip": q_csv_roundtrip,
     "csv_arrivals_roundtrip": q_csv_arrivals_roundtrip,
+    "csv_wide_arrivals": q_csv_wide_arrivals,
+    "csv_rejects": q_csv_rejects,
+    "warehouse_build": q_warehouse_build,
+    "sql_quality_checks": q_sql_quality_checks,
     "incremental_upsert": q_incremental_upsert,
     "archive_split": q_archive_split,
     "bucketed_join": q_bucketed_join,

@@ -2,7 +2,8 @@
 
 ``read_arrivals`` takes any Spark source (CSV, Parquet, or a third-party format whose reader is
 on the classpath) and returns the 13 source columns with the SAS types. ``read_demographics``
-reads the ';' separated city file with an explicit schema. ``read_table`` reads written Parquet
+reads the ';' separated city file. Text files are read by their own header line, as strings, and
+cast after; rows with a malformed cell can be listed. ``read_table`` reads written Parquet
 back with a schema, so partition values such as state code '07' stay strings.
 """
 
@@ -12,11 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from portstar.sources.schemas import (
-    ARRIVAL_SOURCE_COLUMNS,
-    ARRIVALS_SCHEMA,
-    DEMOGRAPHICS_SCHEMA,
-)
+from portstar.sources.schemas import ARRIVALS_SCHEMA, DEMOGRAPHICS_SCHEMA
 
 
 def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -24,28 +21,79 @@ def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select([F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def _read_text(spark: SparkSession, path: str, options: dict) -> DataFrame:
+    """A delimited file with its own header line, every column as a string."""
+    return spark.read.options(**{"header": "true", "mode": "PERMISSIVE", **options}).csv(path)
+
+
+def _require(df: DataFrame, schema: T.StructType, what: str) -> None:
+    missing = [f.name for f in schema.fields if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"{what} lacks columns {missing}")
+
+
+def _bad_cell(field: T.StructField):
+    """Whether a text cell holds something that is not a value of the field's type."""
+    c = F.col(f"`{field.name}`")
+    return c.isNotNull() & (F.trim(c) != "") & c.try_cast(field.dataType).isNull()
+
+
+def typed_text(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """``(typed, rejects)`` of an all-string frame: the schema's columns picked by name.
+
+    ``typed`` holds the rows in which every cell is a value of its column's type (blank numeric
+    cells are null); ``rejects`` the other rows as text, with the names of the ``bad_columns``.
+    Each row is in exactly one of the two.
+    """
+    casts = [f for f in schema.fields if not isinstance(f.dataType, T.StringType)]
+    bad = F.filter(F.array(*[F.when(_bad_cell(f), F.lit(f.name)) for f in casts]),
+                   lambda name: name.isNotNull())
+    picked = df.select(*[F.col(f"`{f.name}`") for f in schema.fields], bad.alias("bad_columns"))
+    good = picked.where(F.size("bad_columns") == 0).select(
+        *[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields])
+    return good, picked.where(F.size("bad_columns") > 0)
+
+
 def read_arrivals(spark: SparkSession, path: str, fmt: str = "parquet",
                   options: dict | None = None) -> DataFrame:
-    """Arrival records from ``path``; ``fmt`` is any Spark source name."""
+    """Arrival records from ``path``; ``fmt`` is any Spark source name.
+
+    The 13 columns are picked by name, whatever else the source holds and in whatever order; a
+    missing one raises. Text rows with a malformed cell are left to :func:`rejected_arrivals`.
+    """
     options = dict(options or {})
     if fmt == "csv":
-        options.setdefault("header", "true")
-        options.setdefault("mode", "PERMISSIVE")
-        return spark.read.schema(ARRIVALS_SCHEMA).options(**options).csv(path)
+        df = _read_text(spark, path, options)
+        _require(df, ARRIVALS_SCHEMA, "arrival source")
+        return typed_text(df, ARRIVALS_SCHEMA)[0]
     df = spark.read.format(fmt).options(**options).load(path)
-    missing = [c for c in ARRIVAL_SOURCE_COLUMNS if c not in df.columns]
-    if missing:
-        raise ValueError(f"arrival source lacks columns {missing}")
+    _require(df, ARRIVALS_SCHEMA, "arrival source")
     return _conform(df, ARRIVALS_SCHEMA)
 
 
+def rejected_arrivals(spark: SparkSession, path: str, options: dict | None = None) -> DataFrame:
+    """The rows of an arrivals CSV that ``read_arrivals`` leaves out, as text, with their bad columns."""
+    df = _read_text(spark, path, dict(options or {}))
+    _require(df, ARRIVALS_SCHEMA, "arrival source")
+    return typed_text(df, ARRIVALS_SCHEMA)[1]
+
+
 def read_demographics(spark: SparkSession, path: str, sep: str = ";", infer_schema: bool = False,
                       mode: str = "PERMISSIVE") -> DataFrame:
-    """City demographics from a delimited text file with a header line."""
-    reader = spark.read.option("header", "true").option("sep", sep).option("mode", mode)
+    """City demographics from a delimited text file with a header line; columns picked by name."""
+    options = {"sep": sep, "mode": mode}
     if infer_schema:
-        return reader.option("inferSchema", "true").csv(path)
-    return reader.schema(DEMOGRAPHICS_SCHEMA).csv(path)
+        return _read_text(spark, path, {**options, "inferSchema": "true"})
+    df = _read_text(spark, path, options)
+    _require(df, DEMOGRAPHICS_SCHEMA, "demographics source")
+    return typed_text(df, DEMOGRAPHICS_SCHEMA)[0]
+
+
+def rejected_demographics(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
+    """The rows of a demographics file that ``read_demographics`` leaves out."""
+    df = _read_text(spark, path, {"sep": sep})
+    _require(df, DEMOGRAPHICS_SCHEMA, "demographics source")
+    return typed_text(df, DEMOGRAPHICS_SCHEMA)[1]
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
@@ -36,8 +37,10 @@ class WriteResult:
 
 
 def write_table(df: DataFrame, spec: TableSpec, count_rows: bool = False) -> WriteResult:
-    """Write ``df`` as ``spec`` says; optionally count the written rows from the files."""
-    out = df
+    """Write ``df`` as ``spec`` says; optionally count the rows of this write while they pass."""
+    out, seen = df, Observation()
+    if count_rows:
+        out = out.observe(seen, F.count(F.lit(1)).alias("rows"))
     if spec.partition_by:
         out = out.hint("rebalance", *spec.partition_by)
     writer = out.write.mode(spec.mode).format(spec.fmt).options(**spec.options)
@@ -46,7 +49,7 @@ def write_table(df: DataFrame, spec: TableSpec, count_rows: bool = False) -> Wri
     writer.save(spec.path)
     rows = None
     if count_rows:
-        rows = df.sparkSession.read.format(spec.fmt).load(spec.path).count()
+        rows = seen.get["rows"]
     return WriteResult(spec.name, spec.path, rows, True)
 
 

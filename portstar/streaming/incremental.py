@@ -3,7 +3,7 @@
 New arrival files dropped in a folder are picked up by a file stream. Each micro-batch is staged,
 joined to the per-state averages (a small static table, broadcast) and merged into the
 partitioned fact with the same incremental upsert as the batch path. The merge is keyed on every
-trip column, so replaying a batch after a failure leaves the fact unchanged, and the stream's
+trip column (ids of arrivals may repeat), so replaying a batch after a failure leaves the fact unchanged, and the stream's
 checkpoint (in the shared checkpoint folder) records which files were taken.
 """
 
@@ -16,6 +16,7 @@ from portstar.plans.fact import FACT_KEYS, fact_trips, state_side
 from portstar.plans.maintenance import incremental_load, refresh_derived
 from portstar.plans.staging import stage_trips
 from portstar.session import scratch_path
+from portstar.sources.readers import typed_text
 from portstar.sources.schemas import ARRIVALS_SCHEMA
 
 
@@ -27,11 +28,14 @@ def fact_batch_writer(target_path: str, side: DataFrame, summary_path: str | Non
         if batch.isEmpty():
             return
         spark = batch.sparkSession
-        new_rows = fact_trips(stage_trips(batch), None, side=side)
-        incremental_load(spark, target_path, new_rows, FACT_KEYS, ("year", "month"))
-        if summary_path is not None:
-            refresh_derived(spark, target_path, new_rows.schema, summary_path, daily_summary,
-                            new_rows)
+        new_rows = fact_trips(stage_trips(batch), None, side=side).persist()
+        try:
+            incremental_load(spark, target_path, new_rows, FACT_KEYS, ("year", "month"))
+            if summary_path is not None:
+                refresh_derived(spark, target_path, new_rows.schema, summary_path, daily_summary,
+                                new_rows)
+        finally:
+            new_rows.unpersist()
 
     return apply
 
@@ -43,17 +47,22 @@ def stream_arrivals_into_fact(spark: SparkSession, source_dir: str, target_path:
     """Run the stream over every file now in ``source_dir`` (available-now trigger) and stop.
 
     ``options`` go to the file source (e.g. ``{"header": "true"}`` for CSV landing files);
-    ``summary_path`` keeps a daily summary table current alongside the fact. For a
-    long-running job, call with a processing-time trigger instead; the body is the same.
+    ``summary_path`` keeps a daily summary table current alongside the fact. CSV files are read by
+    the header of the folder's first file; files with another header fail the batch.
     """
     checkpoint = checkpoint or scratch_path(spark, "stream-checkpoint")
     # The per-state averages are static for the stream's lifetime: computed, size-checked and
     # persisted once, not per batch (a long-running stream must not add a cached table per batch).
     static_side = by_state.persist()
     side = state_side(static_side)
-    stream = (spark.readStream.schema(ARRIVALS_SCHEMA).format(source_format)
-              .options(**(options or {}))
+    options, schema = dict(options or {}), ARRIVALS_SCHEMA
+    if source_format == "csv":
+        options = {"header": "true", "enforceSchema": "false", **options}
+        schema = spark.read.options(**options).csv(source_dir).schema       # names only: all strings
+    stream = (spark.readStream.schema(schema).format(source_format).options(**options)
               .option("maxFilesPerTrigger", files_per_batch).load(source_dir))
+    if source_format == "csv":
+        stream = typed_text(stream, ARRIVALS_SCHEMA)[0]
     try:
         query = (stream.writeStream.foreachBatch(fact_batch_writer(target_path, side, summary_path))
                  .option("checkpointLocation", checkpoint)

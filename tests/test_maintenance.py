@@ -199,3 +199,57 @@ def test_stream_keeps_daily_summary_current(spark):
         return sorted(tuple(r) for r in df.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c)
                                                    for c, t in df.dtypes]).collect())
     assert norm(got) == norm(want) and got.count() == 3
+
+
+def test_increment_over_many_partitions_moves_keys_and_leaves_no_scratch(spark):
+    import os
+
+    from portstar.session import checkpoint_root
+
+    path = scratch_path(spark, "test-many")
+    schema = "id long, name string, year int, month int"
+    first = spark.range(2500).selectExpr("id", "'old' AS name", "cast(1900 + id div 12 AS int) AS year",
+                                         "cast(id % 12 + 1 AS int) AS month")
+    before = set(os.listdir(f"{checkpoint_root(spark).removeprefix('file:')}/portstar"))
+    incremental_load(spark, path, first.coalesce(1), ["id"], ("year", "month"))
+    update = first.where("id % 2 = 0").selectExpr("id", "'new' AS name", "year", "cast(13 AS int) AS month")
+    incremental_load(spark, path, update, ["id"], ("year", "month"))
+    table = read_table(spark, path, first.schema)
+    assert table.count() == 2500 and table.where("name = 'new'").count() == 1250
+    assert table.where("name = 'new' AND month <> 13 OR name = 'old' AND id % 2 = 0").isEmpty()
+    after = set(os.listdir(f"{checkpoint_root(spark).removeprefix('file:')}/portstar"))
+    assert not [f for f in after - before if f.startswith("upsert-stage")]
+    assert schema
+
+
+def test_first_load_keeps_the_latest_of_a_key(spark):
+    path = scratch_path(spark, "test-first")
+    rows = [(1, "b", 2020, 1, 2), (1, "a", 2020, 2, 1), (2, "c", 2020, 1, 1)]
+    df = spark.createDataFrame(rows, SCHEMA + ", seq int")
+    incremental_load(spark, path, df, ["id"], ("year", "month"), order_by=["seq"], drop=["seq"])
+    got = sorted((r.id, r.name) for r in spark.read.parquet(path).collect())
+    assert got == [(1, "a"), (2, "c")]
+
+
+def test_row_count_of_a_write_counts_this_write(spark):
+    path = scratch_path(spark, "test-count")
+    write_table(spark.range(2), TableSpec("t", path), count_rows=True)
+    assert write_table(spark.range(1), TableSpec("t", path, mode="append"), count_rows=True).rows == 1
+
+
+def test_bucketed_table_has_one_file_for_each_bucket(spark):
+    path = scratch_path(spark, "one-file")
+    write_bucketed(spark.range(1000).repartition(8), f"b_{path.rsplit('-', 1)[-1]}", path, "id", 4)
+    assert len(spark.read.parquet(path).inputFiles()) == 4
+
+
+def test_fact_sees_rows_another_writer_added(spark):
+    path = scratch_path(spark, "demo-live")
+    arrivals, demo = _warehouse_inputs(spark)
+    demo.write.parquet(path)
+    average = lambda: fact_trips(stage_trips(arrivals), stage_demographics(
+        spark.read.parquet(path))).first().avg_Total_Population
+    assert average() == 20.0
+    demo.withColumns({"City": F.lit("Other"), "Total Population": F.lit(100)}).write.mode("append").parquet(path)
+    assert average() == 60.0
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()

@@ -53,7 +53,7 @@ def test_entry_runs_flagship_on_smoke_data(spark):
     df = entry.entry(spark)
     assert df.columns == ["year", "month", "immigration_state_code", "trips", "avg_population"]
     assert df.count() > 0
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_results_do_not_depend_on_session_time_zone(spark, sf_small):
