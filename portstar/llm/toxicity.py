@@ -1,7 +1,7 @@
 """Toxicity by compression distance.
 
 Two zstandard dictionaries are trained, one on toxic and one on ordinary labelled text. Both end
-alike in the commonest words of either class; in front of those stand the pieces of words that are
+alike in the commonest words of ordinary text; in front of those stand the pieces of words that are
 markedly more frequent in that class than in the other. A text is cut into windows of a few words
 and each window is compressed with either dictionary: where the toxic one saves bytes, the window
 resembles toxic text. How often a text's windows save at least t bytes, for several thresholds t,
@@ -109,17 +109,20 @@ class Dictionaries:
     @staticmethod
     def train(toxic: list[list[str]], ordinary: list[list[str]]) -> Dictionaries:
         t, o = _ClassCounts(toxic), _ClassCounts(ordinary)
+        of_toxic = _marked(t, o, max(3, min(8, len(toxic) // 40)))
+        of_ordinary = _marked(o, t, max(3, min(8, len(ordinary) // 40)))
         common: Counter = Counter()
-        for d in (*toxic, *ordinary):
+        for d in ordinary:
             common.update(d)
-        base = "".join(" " + w for w, _ in sorted(
-            common.most_common(BASE_WORDS), key=lambda x: (x[1], x[0]))) + " the end of words "
-
-        def content(own: _ClassCounts, other: _ClassCounts, n: int) -> bytes:
-            pieces = _marked(own, other, max(3, min(8, n // 40)))
-            return ("".join(reversed(pieces)) + base).encode()
-
-        return Dictionaries(content(t, o, len(toxic)), content(o, t, len(ordinary)), base[-24:].encode())
+        shared = []                    # no word that holds a piece of either class
+        for w, _ in sorted(common.items(), key=lambda x: (-x[1], x[0])):
+            if not any(g in f" {w} " for g in (*of_toxic, *of_ordinary)):
+                shared.append(w)
+            if len(shared) == BASE_WORDS:
+                break
+        base = "".join(" " + w for w in reversed(shared)) + " the end of words "
+        contents = ["".join(reversed(pieces)) + base for pieces in (of_toxic, of_ordinary)]
+        return Dictionaries(contents[0].encode(), contents[1].encode(), base[-24:].encode())
 
     def compressors(self):
         params = zstandard.ZstdCompressionParameters(
