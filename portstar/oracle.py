@@ -351,6 +351,9 @@ ORACLE_SQL: dict[str, str] = {
     "stage_rejects": sql("""
         SELECT *, CASE WHEN cicid <> floor(cicid) THEN 'cicid' ELSE 'depdate' END AS bad_columns
         FROM bad WHERE cicid <> floor(cicid) OR depdate > 2936549""", "arrivals", extra={"bad": _BAD_ARRIVALS}),
+    "sas_dates_in_place": sql(f"""
+        SELECT cicid, fltno, {_sas_date('arrdate')} AS arrdate, {_sas_date('depdate')} AS depdate
+        FROM arrivals""", "arrivals"),
     "staging_balance": sql("""
         SELECT 'input' AS part, count(*) AS n FROM arrivals
         UNION ALL SELECT 'accepted', count(*) FROM arrivals WHERE CAST(cicid AS BIGINT) % 10 NOT IN (5, 7)

@@ -14,7 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from portstar.functions.dates import calendar_columns, sas_day_number, sas_timestamp
+from portstar.functions.dates import (
+    calendar_columns,
+    sas_day_number,
+    sas_timestamp,
+    with_sas_dates,
+)
 from portstar.operators.columns import drop_sparse_columns
 from portstar.operators.profile import (
     missing_profile,
@@ -119,6 +124,11 @@ def q_stage_rejects(spark, sf_dir):
     return rejected_trips(with_bad_cells(arrivals_from_testdata(spark, sf_dir)))
 
 
+def q_sas_dates_in_place(spark, sf_dir):
+    arrivals = arrivals_from_testdata(spark, sf_dir)
+    return with_sas_dates(arrivals, ["arrdate", "depdate"]).select("cicid", "fltno", "arrdate", "depdate")
+
+
 def q_staging_balance(spark, sf_dir):
     """Input rows against distinct staged rows, their repeats and rejects."""
     path = scratch_path(spark, "arrivals-bad")
@@ -424,6 +434,7 @@ QUERIES: dict[str, Query] = {
     "stage_demographics": q_stage_demographics,
     "stage_rejects": q_stage_rejects,
     "staging_balance": q_staging_balance,
+    "sas_dates_in_place": q_sas_dates_in_place,
     "null_profile_trips": q_null_profile_trips,
     "null_profile_demographics": q_null_profile_demographics,
     "null_profile_wide_trips": q_null_profile_wide_trips,
