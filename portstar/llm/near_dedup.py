@@ -9,8 +9,8 @@ where ``100 * |A and B| >= 80 * |A or B|``.
    MinHash sample for each of ``BINS`` bins, folded into a parity bitmap of ``BITS`` bits.
 2. Classes that share a band key are candidates. Every bucket's members are first compared with
    its smallest member (a star). The population count of two sketches' exclusive or estimates their
-   similarity; only pairs that may reach 0.8 (within five standard errors) go on to the exact check
-   on full sets. Confirmed links join most of each group.
+   similarity; only pairs that may reach 0.8 (within ``SIGMAS`` standard errors) go on to the exact
+   check on full sets. Confirmed links join most of each group.
 3. Buckets whose members are not yet in one component are searched for the remaining links: each
    member outside the bucket's largest component is compared with all members of other components.
    A task holds at most ``CHUNK`` members on either side, pairs are met in the first band they share
@@ -46,7 +46,7 @@ PERCENT = 80
 BANDS, ROWS = 24, 4
 BINS, BITS = 1024, 2048
 CHUNK = 1024
-SIGMAS = 5.0
+SIGMAS = 4.5
 MAX_BROADCAST_IDS = 1_000_000      # 8-byte class numbers
 
 _rng = np.random.default_rng(20240229)
@@ -96,19 +96,20 @@ def band_keys(s: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def odd_sketch(s: np.ndarray) -> tuple[int, bytes]:
-    """Number of MinHash samples (filled bins) and their parity bitmap."""
+def odd_sketch(s: np.ndarray) -> bytes:
+    """Parity bitmap of the MinHash samples (one for each filled bin), then the bins' bitmap."""
     bins = s >> np.uint64(64 - int(math.log2(BINS)))
     first = np.ones(len(s), dtype=bool)
     first[1:] = bins[1:] != bins[:-1]                # s is sorted: a bin's first is its minimum
     at = (_mix(s[first] ^ np.uint64(0xA5A5A5A5A5A5A5A5)) & np.uint64(BITS - 1)).astype(np.int64)
     bits = (np.bincount(at, minlength=BITS) & 1).astype(np.uint8)
-    return int(first.sum()), np.packbits(bits).tobytes()
+    full = np.bincount(bins[first].astype(np.int64), minlength=BINS).astype(np.uint8)
+    return np.packbits(bits).tobytes() + np.packbits(full).tobytes()
 
 
 def signatures(docs: DataFrame) -> DataFrame:
     """``doc_id, node, n, bands, m, sketch`` from ``doc_id, text``; ``node`` numbers the class."""
-    schema = "doc_id long, node long, n long, bands array<long>, m int, sketch binary"
+    schema = "doc_id long, node long, n long, bands array<long>, sketch binary"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         numbers = _WordNumbers()
@@ -117,12 +118,11 @@ def signatures(docs: DataFrame) -> DataFrame:
             for t in b["text"]:
                 s = shingle_set(t, numbers)
                 if len(s):
-                    m, bits = odd_sketch(s)
                     node = xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63)
-                    out.append((node, len(s), band_keys(s), m, bits))
+                    out.append((node, len(s), band_keys(s), odd_sketch(s)))
                 else:
-                    out.append((None, 0, None, 0, None))
-            done = pd.DataFrame(out, columns=["node", "n", "bands", "m", "sketch"], index=b.index)
+                    out.append((None, 0, None, None))
+            done = pd.DataFrame(out, columns=["node", "n", "bands", "sketch"], index=b.index)
             done["node"] = pd.array([x[0] for x in out], dtype="Int64")
             done.insert(0, "doc_id", b["doc_id"].astype("Int64"))
             yield done
@@ -154,33 +154,35 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 # --- the odd sketch estimate -------------------------------------------------------------------
 
-def may_be_near(x, n1, n2, m1, m2):
-    """Whether sketches that differ in ``x`` bits can belong to sets of similarity 0.8 or more.
+def _words(sketches) -> np.ndarray:
+    return np.frombuffer(b"".join(sketches), dtype=np.uint64).reshape(-1, (BITS + BINS) // 64)
+
+
+def may_be_near(a: np.ndarray, b: np.ndarray, n1, n2) -> np.ndarray:
+    """Whether sketches (rows of 64-bit words) can belong to sets of similarity 0.8 or more.
 
-    ``n`` are set sizes, ``m`` numbers of samples. The symmetric difference of the samples follows
-    from the odd bits; the number of bins that either set fills is taken for a similarity of
-    exactly 0.8. The margin is five standard errors of folding and of sampling.
+    ``n1`` and ``n2`` are the set sizes. The odd bits of the exclusive or give the samples'
+    symmetric difference; the bins that either set fills are counted. The margin is ``SIGMAS``
+    standard errors of folding and of sampling at the threshold.
     """
-    j = PERCENT / 100
-    odd = np.minimum(2.0 * x / BITS, 0.999)
-    diff = -BITS / 2 * np.log1p(-odd)
-    union = (n1 + n2) / (1 + j)
-    filled = BINS * -np.expm1(union * np.log1p(-1.0 / BINS))
-    share = (m1 + m2 - diff) / 2 / filled
-    at = 2 * (1 - j) * filled                       # the difference expected at the threshold
+    j, split = PERCENT / 100, BITS // 64
+    odd = np.bitwise_count(a[..., :split] ^ b[..., :split]).sum(axis=-1)
+    filled = {k: np.bitwise_count(v[..., split:]).sum(axis=-1).astype(np.float64)
+              for k, v in (("a", a), ("b", b), ("either", a | b))}
+    diff = -BITS / 2 * np.log1p(-np.minimum(2.0 * odd / BITS, 0.999))
+    bins = np.maximum(filled["either"], 1.0)
+    share = (filled["a"] + filled["b"] - diff) / 2 / bins
+    at = np.maximum(filled["a"] + filled["b"] - 2 * j * bins, 0)   # the difference at the threshold
     fold = np.maximum(BITS / 4 * np.expm1(4 * at / BITS) - at, 0) + 1
-    spread = np.sqrt(fold / (2 * filled) ** 2 + j * (1 - j) / filled * np.maximum(1 - filled / union, 0))
+    union = np.maximum((n1 + n2) / (1 + j), bins)
+    spread = np.sqrt(fold / (2 * bins) ** 2 + j * (1 - j) / bins * (1 - bins / union))
     fits = np.minimum(n1, n2) * 100 >= PERCENT * np.maximum(n1, n2)
     return fits & (share >= j - SIGMAS * spread - 0.004)
 
 
-def _words(sketches) -> np.ndarray:
-    return np.frombuffer(b"".join(sketches), dtype=np.uint64).reshape(-1, BITS // 64)
-
-
 def _sketch_filter(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """``a, b`` of the pairs whose sketches do not rule out a link."""
-    n = nodes.select("node", F.struct("n", "m", "sketch").alias("s"))
+    n = nodes.select("node", F.struct("n", "sketch").alias("s"))
     p = (pairs.join(n.withColumnsRenamed({"node": "a", "s": "sa"}), "a")
               .join(n.withColumnsRenamed({"node": "b", "s": "sb"}), "b"))
 
@@ -188,9 +190,8 @@ def _sketch_filter(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     def near(sa: pd.DataFrame, sb: pd.DataFrame) -> pd.Series:
         if not len(sa):
             return pd.Series([], dtype=bool)
-        x = np.bitwise_count(_words(sa["sketch"]) ^ _words(sb["sketch"])).sum(axis=1)
-        return pd.Series(may_be_near(x, *(c.to_numpy(np.float64) for c in
-                                          (sa["n"], sb["n"], sa["m"], sb["m"]))))
+        return pd.Series(may_be_near(_words(sa["sketch"]), _words(sb["sketch"]),
+                                     sa["n"].to_numpy(np.float64), sb["n"].to_numpy(np.float64)))
 
     return p.where(near("sa", "sb")).select("a", "b")
 
@@ -212,7 +213,7 @@ def _representatives(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 def _cross_pairs(members: DataFrame, sizes: DataFrame) -> DataFrame:
     """Pairs across components of one bucket that the sketches let pass.
 
-    ``members``: ``band, key, node, root, n, m, sketch, bands``; ``sizes``: ``band, key, root, c``.
+    ``members``: ``band, key, node, root, n, sketch, bands``; ``sizes``: ``band, key, root, c``.
     """
     total = sizes.groupBy("band", "key").agg(
         F.sum("c").alias("size"), F.max(F.struct("c", "root")).alias("top"), F.count(F.lit(1)).alias("parts"))
@@ -224,7 +225,7 @@ def _cross_pairs(members: DataFrame, sizes: DataFrame) -> DataFrame:
     slot = lambda n, seed: F.pmod(F.xxhash64(F.lit(seed), "node"), n.cast("long")).cast("int")
     all_left = F.sequence(F.lit(0), F.col("left") - 1)
     all_right = F.sequence(F.lit(0), F.col("right") - 1)
-    body = ["band", "key", "node", "root", "n", "m", "sketch", "bands"]
+    body = ["band", "key", "node", "root", "n", "sketch", "bands"]
     asks = m.where(F.col("root") != F.col("top_root")).select(
         *body, slot(F.col("left"), 1).alias("i"), F.explode(all_right).alias("j"), F.lit(True).alias("asks"))
     answers = m.select(*body, F.explode(all_left).alias("i"), slot(F.col("right"), 2).alias("j"),
@@ -236,7 +237,7 @@ def _cross_pairs(members: DataFrame, sizes: DataFrame) -> DataFrame:
             return pd.DataFrame({"a": [], "b": []}, dtype="int64")
         ws, wt = _words(q["sketch"]), _words(t["sketch"])
         bs, bt = np.stack(q["bands"].to_numpy()), np.stack(t["bands"].to_numpy())
-        ns, ms, nt, mt = (c.to_numpy(np.float64) for c in (q["n"], q["m"], t["n"], t["m"]))
+        ns, nt = q["n"].to_numpy(np.float64), t["n"].to_numpy(np.float64)
         node_s, node_t = q["node"].to_numpy(), t["node"].to_numpy()
         root_s, root_t = q["root"].to_numpy(), t["root"].to_numpy()
         band, out = int(g["band"].iloc[0]), []
@@ -249,8 +250,7 @@ def _cross_pairs(members: DataFrame, sizes: DataFrame) -> DataFrame:
                 ok &= ~(bt[:, :band] == bs[k, :band]).any(axis=1)
             at = np.flatnonzero(ok)
             if len(at):
-                x = np.bitwise_count(wt[at] ^ ws[k]).sum(axis=1)
-                at = at[may_be_near(x, ns[k], nt[at], ms[k], mt[at])]
+                at = at[may_be_near(ws[k][None, :], wt[at], ns[k], nt[at])]
                 out.append(np.stack([np.full(len(at), node_s[k]), node_t[at]], axis=1))
         p = np.concatenate(out) if out else np.zeros((0, 2), dtype=np.int64)
         return pd.DataFrame({"a": p.min(axis=1, initial=np.iinfo(np.int64).max),
@@ -263,7 +263,7 @@ def _cross_pairs(members: DataFrame, sizes: DataFrame) -> DataFrame:
 def near_links(docs: DataFrame, signed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Classes (``node, doc_id, ...``) and ``node, root`` of all classes that are linked."""
     classes = cut(signed.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("m").alias("m"),
+        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"),
         F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
     members = classes.select("node", F.posexplode("bands").alias("band", "key"))
     buckets = members.groupBy("band", "key").agg(
@@ -279,7 +279,7 @@ def near_links(docs: DataFrame, signed: DataFrame) -> tuple[DataFrame, DataFrame
     rooted = members.join(roots, "node", "left").select(
         "band", "key", "node", F.coalesce("root", "node").alias("root"))
     sizes = rooted.groupBy("band", "key", "root").agg(F.count(F.lit(1)).alias("c"))
-    full = rooted.join(classes.select("node", "n", "m", "sketch", "bands"), "node")
+    full = rooted.join(classes.select("node", "n", "sketch", "bands"), "node")
     rest = cut(_cross_pairs(full, sizes).join(star, ["a", "b"], "left_anti"))
     more = cut(_confirm(rest, shingle_sets(docs, _representatives(rest, classes))))
     return classes, components(links.unionAll(more))
