@@ -8,9 +8,10 @@ where ``100 * |A and B| >= 80 * |A or B|``.
    compared once however many copies it has), its MinHash band keys, and its odd sketch: one
    MinHash sample for each of ``BINS`` bins, folded into a parity bitmap of ``BITS`` bits.
 2. Classes that share a band key are candidates. Every bucket's members are first compared with
-   its smallest member (a star). The population count of two sketches' exclusive or estimates their
-   similarity; only pairs that may reach 0.8 (within ``SIGMAS`` standard errors) go on to the exact
-   check on full sets. Confirmed links join most of each group.
+   the one of the smallest id (a star: copies are nearer to what they were made from than to each
+   other, and the first document is the likeliest origin). The population count of two sketches'
+   exclusive or estimates their similarity; only pairs that may reach 0.8 (within ``SIGMAS``
+   standard errors) go on to the exact check on full sets. Confirmed links join most of each group.
 3. Buckets whose members are not yet in one component are searched for the remaining links: each
    member outside the bucket's largest component is compared with all members of other components.
    A task holds at most ``CHUNK`` members on either side, pairs are met in the first band they share
@@ -265,10 +266,11 @@ def near_links(docs: DataFrame, signed: DataFrame) -> tuple[DataFrame, DataFrame
     classes = cut(signed.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"),
         F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
-    members = classes.select("node", F.posexplode("bands").alias("band", "key"))
+    members = classes.select("node", "doc_id", F.posexplode("bands").alias("band", "key"))
     buckets = members.groupBy("band", "key").agg(
-        F.min("node").alias("center"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
-    members = cut(members.join(buckets, ["band", "key"]))
+        F.min(F.struct("doc_id", "node")).alias("first"), F.count(F.lit(1)).alias("c"))
+    buckets = buckets.where("c > 1").select("band", "key", F.col("first.node").alias("center"))
+    members = cut(members.drop("doc_id").join(buckets, ["band", "key"]))
 
     star = members.where("node <> center").select(
         F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b")).distinct()
