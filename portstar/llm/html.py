@@ -234,12 +234,16 @@ def main_text(page: str | None, weights: Weights) -> str:
 
 
 def train(pages: DataFrame, html_column: str = "html", *keys: str) -> Weights:
-    """Weights from a bounded sample of the table."""
+    """Weights from a bounded sample of the table: the hashes are ranked first, alone, so that no
+    task sends more pages to the driver than are in the sample."""
     order = F.xxhash64(*[F.col(k) for k in keys or (html_column,)])
-    rows = (pages.where(F.char_length(html_column) <= FIT_CHARS)
-                 .select(F.col(html_column).alias("h"), order.alias("o"))
-                 .orderBy("o", "h").limit(FIT_PAGES).collect())
-    return learn([r.h for r in rows])
+    usable = pages.where(F.char_length(html_column) <= FIT_CHARS).select(
+        F.col(html_column).alias("h"), order.alias("o"))
+    last = usable.select("o").distinct().orderBy("o").limit(FIT_PAGES).agg(F.max("o").alias("o")).first().o
+    if last is None:
+        return Weights()
+    rows = usable.where(F.col("o") <= last).groupBy("o").agg(F.min("h").alias("h")).collect()
+    return learn([r.h for r in sorted(rows, key=lambda r: r.o)])
 
 
 def extract(pages: DataFrame, weights: Weights, html_column: str = "html") -> DataFrame:

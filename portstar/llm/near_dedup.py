@@ -36,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from portstar.llm.common import cut, packed, table
@@ -109,8 +109,8 @@ def odd_sketch(s: np.ndarray) -> bytes:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """``doc_id, node, n, bands, m, sketch`` from ``doc_id, text``; ``node`` numbers the class."""
-    schema = "doc_id long, node long, n long, bands array<long>, sketch binary"
+    """``doc_id, row, node, n, bands, sketch`` from ``doc_id, row, text``; ``node`` numbers the class."""
+    schema = "doc_id long, row long, node long, n long, bands array<long>, sketch binary"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         numbers = _WordNumbers()
@@ -125,10 +125,11 @@ def signatures(docs: DataFrame) -> DataFrame:
                     out.append((None, 0, None, None))
             done = pd.DataFrame(out, columns=["node", "n", "bands", "sketch"], index=b.index)
             done["node"] = pd.array([x[0] for x in out], dtype="Int64")
+            done.insert(0, "row", b["row"])
             done.insert(0, "doc_id", b["doc_id"].astype("Int64"))
             yield done
 
-    return docs.select("doc_id", "text").mapInPandas(run, schema)
+    return docs.select("doc_id", "row", "text").mapInPandas(run, schema)
 
 
 def shingle_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -288,20 +289,21 @@ def near_links(docs: DataFrame, signed: DataFrame) -> tuple[DataFrame, DataFrame
 
 
 def assign(docs: DataFrame, signed: DataFrame) -> DataFrame:
-    """``doc_id, node, n, component_id`` for every row of ``signed``."""
+    """``doc_id, row, node, n, root, component_id`` for every row of ``signed``."""
     classes, roots = near_links(docs, signed)
     c = classes.select("node", "doc_id").join(roots, "node", "left").select(
         "node", "doc_id", F.coalesce("root", "node").alias("root"))
     ids = c.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    by_node = c.join(ids, "root").select("node", "component_id")
-    return signed.select("doc_id", "node", "n").join(by_node, "node", "left").select(
-        "doc_id", "node", "n",
+    by_node = c.join(ids, "root").select("node", "root", "component_id")
+    return signed.select("doc_id", "row", "node", "n").join(by_node, "node", "left").select(
+        "doc_id", "row", "node", "n", "root",
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
         .alias("component_id"))
 
 
 def _text_rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return d.withColumn("row", F.xxhash64("doc_id", "text"))
 
 
 def near_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -314,19 +316,22 @@ def near_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` but near-duplicates: of each group the row with the smallest id stays.
-    Rows without words stay. Of repeated rows with one id, one stays."""
-    found = cut(near_components(docs, doc_id, text))
-    gone = found.where("not kept").select("doc_id").distinct()
+    """The rows of ``docs`` but near-duplicates: of each group the row with the smallest id stays
+    (of several texts with that id, one). Rows without words stay. Of rows that repeat both id and
+    text, one stays."""
+    d = _text_rows(docs, doc_id, text)
+    found = cut(assign(d, cut(signatures(d))))
+    first = found.where("node is not null").groupBy("root").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first"))
+    gone = cut(found.join(first, "root").where(F.col("row") != F.col("first.row")).select("row").distinct())
     if gone.count() <= MAX_BROADCAST_IDS:
         gone = F.broadcast(gone)
-    d = packed(docs)
-    key: Column = F.col(f"__row.`{doc_id}`").cast("long")
-    left = d.join(gone, key.eqNullSafe(gone["doc_id"]), "left_anti")
-    again = found.where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    if not again.isEmpty():
-        left = left.select("__row", F.struct(key, F.col(f"__row.`{text}`")).alias("k")).dropDuplicates(
-            ["k"])
+    rows = packed(docs).withColumn("row", F.xxhash64(F.col(f"__row.`{doc_id}`").cast("long"),
+                                                     F.col(f"__row.`{text}`")))
+    left = rows.join(gone, "row", "left_anti")
+    again = found.join(gone, "row", "left_anti").groupBy("row").agg(F.count(F.lit(1)).alias("c"))
+    if not again.where("c > 1").isEmpty():
+        left = left.dropDuplicates(["row"])
     return left.select("__row.*")
 
 
