@@ -5,7 +5,7 @@ that the caller writes as Parquet and rereads as the next one's ``docs``. All bu
 the columns of ``documents``.
 
 toxicity       documents scored 0.5 or more go
-near_dedup     one document of each near-duplicate group stays
+near_dedup     one document of each near-duplicate group (0.8 on sets of four-word shingles) stays
 decontaminate  documents that hold a benchmark item go
 mix            documents are repeated to the target weights of their sources and shuffled
 shard          every row gets a shard and a slot (uniform shuffle, exact shard sizes)
@@ -23,6 +23,7 @@ from portstar.llm.common import stored, table
 
 N_SHARDS = 8
 TOXIC_FROM = 0.5
+STAGE_SHINGLE = 4          # words of a shingle in near_dedup, as test_pipeline_stages states it
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +32,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dedup.keep_one(docs)
+    return near_dedup.keep_one(docs, words=STAGE_SHINGLE)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,8 @@
 r"""Near-duplicate detection with MinHash bands and odd sketches.
 
 Words are ``[^\x20\x09-\x0D]+`` of the text with A-Z lower-cased; a document's set holds its
-distinct shingles of ``SHINGLE`` words (fewer words: the whole sequence). Two documents are linked
+distinct shingles of ``words`` words, ``SHINGLE`` unless the caller says otherwise (fewer words: the
+whole sequence). Two documents are linked
 where ``100 * |A and B| >= 80 * |A or B|``.
 
 1. One pass over the texts gives each document's set key (equal sets share one *class*, which is
@@ -43,6 +44,7 @@ from portstar.llm.common import cut, packed, table
 from portstar.llm.components import components
 
 SHINGLE = 4
+MAX_SHINGLE = 16
 PERCENT = 80
 BANDS, ROWS = 24, 4
 BINS, BITS = 1024, 2048
@@ -53,7 +55,7 @@ MAX_BROADCAST_IDS = 1_000_000      # 8-byte class numbers
 _rng = np.random.default_rng(20240229)
 _A = _rng.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
-_P = _rng.integers(1, 1 << 63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_P = _rng.integers(1, 1 << 63, MAX_SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -72,14 +74,16 @@ class _WordNumbers(dict):
         return value
 
 
-def shingle_set(text: str | None, numbers: _WordNumbers) -> np.ndarray:
-    """The document's distinct shingles as sorted 64-bit hashes."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()   # ASCII rules only
-    n = len(words)
+def shingle_set(text: str | None, numbers: _WordNumbers, words: int = SHINGLE) -> np.ndarray:
+    """The document's distinct shingles of ``words`` words as sorted 64-bit hashes."""
+    if not 1 <= words <= MAX_SHINGLE:
+        raise ValueError(f"shingles have 1 to {MAX_SHINGLE} words, not {words}")
+    found = (text or "").encode("utf-8", "surrogatepass").lower().split()   # ASCII rules only
+    n = len(found)
     if not n:
         return np.zeros(0, dtype=np.uint64)
-    x = np.fromiter((numbers[w] for w in words), dtype=np.uint64, count=n)
-    k = min(n, SHINGLE)
+    x = np.fromiter((numbers[w] for w in found), dtype=np.uint64, count=n)
+    k = min(n, words)
     h = np.full(n - k + 1, k, dtype=np.uint64)
     for j in range(k):
         h += x[j:n - k + 1 + j] * _P[j]
@@ -108,7 +112,7 @@ def odd_sketch(s: np.ndarray) -> bytes:
     return np.packbits(bits).tobytes() + np.packbits(full).tobytes()
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
     """``doc_id, row, node, n, bands, sketch`` from ``doc_id, row, text``; ``node`` numbers the class."""
     schema = "doc_id long, row long, node long, n long, bands array<long>, sketch binary"
 
@@ -117,7 +121,7 @@ def signatures(docs: DataFrame) -> DataFrame:
         for b in batches:
             out = []
             for t in b["text"]:
-                s = shingle_set(t, numbers)
+                s = shingle_set(t, numbers, words)
                 if len(s):
                     node = xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63)
                     out.append((node, len(s), band_keys(s), odd_sketch(s)))
@@ -132,7 +136,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "row", "text").mapInPandas(run, schema)
 
 
-def shingle_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+def shingle_sets(docs: DataFrame, nodes: DataFrame, words: int = SHINGLE) -> DataFrame:
     """``node, shingles`` of the classes in ``nodes`` (``doc_id, node``), from the texts."""
     schema = "node long, shingles array<long>"
 
@@ -141,7 +145,7 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         for b in batches:
             out = []
             for node, t in zip(b["node"], b["text"]):
-                s = shingle_set(t, numbers)
+                s = shingle_set(t, numbers, words)
                 if len(s) and xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63) == node:
                     out.append((node, s.view(np.int64)))
             yield pd.DataFrame(out, columns=["node", "shingles"])
@@ -262,7 +266,7 @@ def _cross_pairs(members: DataFrame, sizes: DataFrame) -> DataFrame:
     return found.distinct()
 
 
-def near_links(docs: DataFrame, signed: DataFrame) -> tuple[DataFrame, DataFrame]:
+def near_links(docs: DataFrame, signed: DataFrame, words: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
     """Classes (``node, doc_id, ...``) and ``node, root`` of all classes that are linked."""
     classes = cut(signed.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"),
@@ -276,7 +280,7 @@ def near_links(docs: DataFrame, signed: DataFrame) -> tuple[DataFrame, DataFrame
     star = members.where("node <> center").select(
         F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b")).distinct()
     star = cut(_sketch_filter(star, classes))
-    links = cut(_confirm(star, shingle_sets(docs, _representatives(star, classes))))
+    links = cut(_confirm(star, shingle_sets(docs, _representatives(star, classes), words)))
     roots = components(links)
 
     rooted = members.join(roots, "node", "left").select(
@@ -284,13 +288,13 @@ def near_links(docs: DataFrame, signed: DataFrame) -> tuple[DataFrame, DataFrame
     sizes = rooted.groupBy("band", "key", "root").agg(F.count(F.lit(1)).alias("c"))
     full = rooted.join(classes.select("node", "n", "sketch", "bands"), "node")
     rest = cut(_cross_pairs(full, sizes).join(star, ["a", "b"], "left_anti"))
-    more = cut(_confirm(rest, shingle_sets(docs, _representatives(rest, classes))))
+    more = cut(_confirm(rest, shingle_sets(docs, _representatives(rest, classes), words)))
     return classes, components(links.unionAll(more))
 
 
-def assign(docs: DataFrame, signed: DataFrame) -> DataFrame:
+def assign(docs: DataFrame, signed: DataFrame, words: int = SHINGLE) -> DataFrame:
     """``doc_id, row, node, n, root, component_id`` for every row of ``signed``."""
-    classes, roots = near_links(docs, signed)
+    classes, roots = near_links(docs, signed, words)
     c = classes.select("node", "doc_id").join(roots, "node", "left").select(
         "node", "doc_id", F.coalesce("root", "node").alias("root"))
     ids = c.groupBy("root").agg(F.min("doc_id").alias("component_id"))
@@ -306,21 +310,23 @@ def _text_rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return d.withColumn("row", F.xxhash64("doc_id", "text"))
 
 
-def near_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                    words: int = SHINGLE) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
     d = _text_rows(docs, doc_id, text)
-    signed = cut(signatures(d))
-    return assign(d, signed).select(
+    signed = cut(signatures(d, words))
+    return assign(d, signed, words).select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id",
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+             words: int = SHINGLE) -> DataFrame:
     """The rows of ``docs`` but near-duplicates: of each group the row with the smallest id stays
     (of several texts with that id, one). Rows without words stay. Of rows that repeat both id and
     text, one stays."""
     d = _text_rows(docs, doc_id, text)
-    found = cut(assign(d, cut(signatures(d))))
+    found = cut(assign(d, cut(signatures(d, words)), words))
     first = found.where("node is not null").groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first"))
     gone = cut(found.join(first, "root").where(F.col("row") != F.col("first.row")).select("row").distinct())

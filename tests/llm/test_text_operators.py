@@ -166,6 +166,17 @@ def test_near_duplicates_against_all_pairs(spark, monkeypatch):
     assert near_dedup.keep_one(_df(spark, []).limit(0)).count() == 0
 
 
+def test_shingle_length_is_a_parameter(spark):
+    base = [f"w{i}" for i in range(74)]
+    edited = base[:20] + ["x"] + base[21:50] + base[51:]     # 4 words: 63 of 78; 5 words: 60 of 79
+    df = _df(spark, [(1, " ".join(base)), (2, " ".join(edited))])
+    assert near_dedup.keep_one(df).count() == 1
+    assert {r.component_id for r in near_dedup.near_components(df).collect()} == {1}
+    assert near_dedup.keep_one(df, words=5).count() == 2
+    with pytest.raises(ValueError):
+        near_dedup.shingle_set("a b", near_dedup._WordNumbers(), 0)
+
+
 def test_sketch_estimate_keeps_pairs_at_the_threshold():
     rng = np.random.default_rng(4)
     passed = Counter()
