@@ -2,13 +2,18 @@
 
 Texts become sequences of lower-case words in which numbers, names and units are typed
 placeholders (``<num>``, ``<name>``, ``<unit>``), so that a question with other numbers or names
-has the same template. All windows of ``WINDOW`` template tokens of the benchmark are hashed; the
-windows of all documents are looked up and joined with them. A match lines an item up with a
-document. Within one alignment (document position minus item position) the slots must be
-consistent: one value of the item always stands for one value of the document, and two values of
-the item never for the same one. An item is found where consistent windows cover ``COVERAGE`` of
-its windows; items shorter than a window are matched as a whole. Windows of placeholders only carry
-no evidence and are not indexed.
+has the same template. A run of one placeholder within a sentence is one slot, so names of several
+words stand for names of one. All windows of ``WINDOW`` template tokens of the benchmark are hashed;
+the windows of all documents are looked up and joined with them. Items of 10 to 15 template tokens
+have windows of ``SHORT_WINDOW``, so that one edit leaves a window at either length; items shorter
+than ``WINDOW`` are matched as a whole. Windows of placeholders only carry no
+evidence and are not indexed.
+
+A match lines an item up with a document at a shift (document position minus item position, in
+tokens). Windows whose shifts lie within half of the item's length, or ``WINDOW`` tokens, are one
+region, whatever was inserted, deleted or replaced between them. Within an alignment the
+slots must be one-to-one. An item is found where the windows
+that remain cover ``COVERAGE`` of its tokens.
 
 Every window of every whole document is looked up: a bitmap of fixed size (``BITMAP_BITS``) of the
 benchmark's window hashes is all that travels to the tasks; it drops nearly all windows and never a
@@ -23,6 +28,7 @@ found. Extra columns travel along in :func:`decontaminate` whatever their names.
 from __future__ import annotations
 
 import re
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +39,7 @@ from pyspark.sql import functions as F
 from portstar.llm.common import cut, packed, table
 
 WINDOW = 8
+SHORT_WINDOW = 5               # for items of 10 to 15 template tokens
 COVERAGE = 0.5
 BITMAP_BITS = 1 << 23
 MAX_BROADCAST_ROWS = 1_000_000   # 8-byte row keys
@@ -59,8 +66,13 @@ def template(text: str | None) -> tuple[list[str], list[str]]:
 
     A name is a capitalised word that neither starts a sentence nor stands among capitals only.
     """
+    return _parse(text)[:2]
+
+
+def _parse(text: str | None) -> tuple[list[str], list[str], list[int]]:
+    """Tokens, values, and the positions that continue a run of one placeholder in a sentence."""
     raw = _TOKEN.findall(text or "")
-    tokens, values = [], []
+    tokens, values, again = [], [], []
     start, after_number = True, False
     for i, w in enumerate(raw):
         if w in ".!?":
@@ -74,10 +86,27 @@ def template(text: str | None) -> tuple[list[str], list[str]]:
         else:
             after_number = False
             kind = "<name>" if not start and len(w) > 1 and w[0].isupper() and w[1:].islower() else low
+        if kind[0] == "<" and not start and tokens[-1] == kind:
+            again.append(len(tokens))
         tokens.append(kind)
         values.append(low)
         start = False
-    return tokens, values
+    return tokens, values, again
+
+
+def _folded(tokens: list[str], values: list[str], again: list[int]) -> tuple[list[str], list[str], list[int]]:
+    """Tokens and values with each run as one slot, and where each begins (and the end of all)."""
+    if not again:
+        return tokens, values, list(range(len(tokens) + 1))
+    skip = set(again)
+    starts = [i for i in range(len(tokens)) if i not in skip] + [len(tokens)]
+    return ([tokens[i] for i in starts[:-1]],
+            [" ".join(values[i:j]) for i, j in zip(starts, starts[1:])], starts)
+
+
+def _width(n: int) -> int:
+    """Window length of an item of ``n`` template tokens."""
+    return n if n < WINDOW else SHORT_WINDOW if 2 * SHORT_WINDOW <= n < 2 * WINDOW else WINDOW
 
 
 class _Vocabulary(dict):
@@ -96,6 +125,7 @@ class _Vocabulary(dict):
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _POWERS = np.array([pow(_MULTIPLIER, WINDOW - 1 - j, 1 << 64) for j in range(WINDOW)], dtype=np.uint64)
+_LITERAL = np.uint64(0x5851F42D4C957F2D)      # sets hashes of values apart from those of templates
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -104,40 +134,54 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def window_hashes(tokens: list[str], vocabulary: _Vocabulary) -> np.ndarray:
-    """Hashes (int64) of all windows of a token sequence; a shorter one has a single window."""
-    n = len(tokens)
-    if not n:
+def _numbers(tokens: list[str], vocabulary: _Vocabulary) -> np.ndarray:
+    return np.fromiter((vocabulary[t] for t in tokens), dtype=np.uint64, count=len(tokens))
+
+
+def window_hashes(x: np.ndarray, width: int, literal: bool = False) -> np.ndarray:
+    """Hashes (int64) of all windows of ``width`` token numbers, at most ``WINDOW``; none if there are fewer."""
+    n = len(x)
+    if not width or n < width:
         return np.zeros(0, dtype=np.int64)
-    x = np.fromiter((vocabulary[t] for t in tokens), dtype=np.uint64, count=n)
-    if n < WINDOW:
-        h = np.array([int((x * _POWERS[:n]).sum(dtype=np.uint64)) + n & _MASK], dtype=np.uint64)
-    else:
-        h = np.zeros(n - WINDOW + 1, dtype=np.uint64)
-        for j in range(WINDOW):
-            h += x[j:n - WINDOW + 1 + j] * _POWERS[j]
-    return _mix(h).view(np.int64)
+    h = np.full(n - width + 1, width, dtype=np.uint64)
+    for j in range(width):
+        h += x[j:n - width + 1 + j] * _POWERS[j]
+    return _mix(h ^ _LITERAL if literal else h).view(np.int64)
+
+
+def _words(tokens: list[str]) -> int:
+    return sum(t[0] != "<" for t in tokens)
+
+
+def item_windows(text: str | None, vocabulary: _Vocabulary) -> tuple[int, list[tuple]]:
+    """The item's number of tokens and its ``literal, width, pos, span, h, slots, at``; ``pos`` and
+    ``span`` are in unfolded tokens, ``at`` has the slots' positions."""
+    raw, raw_values, again = _parse(text)
+    tokens, values, starts = _folded(raw, raw_values, again)
+    width, out = _width(len(tokens)), []
+    for p, h in enumerate(window_hashes(_numbers(tokens, vocabulary), width).tolist()):
+        part = tokens[p:p + width]
+        if _words(part) >= min(MIN_WORDS, width):
+            at = [starts[p + j] for j, t in enumerate(part) if t[0] == "<"]
+            out.append((False, width, starts[p], starts[p + width] - starts[p], h,
+                        _slots(part, values[p:p + width]), at))
+    return len(raw), out
 
 
 def benchmark_windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """``item_id, item_row, n_windows, n_tokens, pos, h, slots`` of every indexed window."""
-    schema = "item_id long, item_row long, n_windows int, n_tokens int, pos int, h long, slots array<string>"
+    """``item_id, item_row, n_tokens`` and :func:`item_windows` of every indexed window."""
+    schema = ("item_id long, item_row long, n_tokens int, literal boolean, width int, b_pos int, span int, "
+              "h long, b_slots array<string>, b_at array<int>")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocabulary = _Vocabulary()
         for b in batches:
             out = []
             for i, row, t in zip(b["item_id"], b["item_row"], b["text"]):
-                tokens, values = template(t)
-                hs = window_hashes(tokens, vocabulary)
-                kept = []
-                for p, h in enumerate(hs.tolist()):
-                    part = tokens[p:p + WINDOW]
-                    if sum(x[0] != "<" for x in part) >= min(MIN_WORDS, len(part)):
-                        kept.append((p, h, _slots(part, values[p:p + WINDOW])))
-                out += [(i, row, len(kept), min(len(tokens), WINDOW), p, h, s) for p, h, s in kept]
-            yield pd.DataFrame(out, columns=["item_id", "item_row", "n_windows", "n_tokens", "pos",
-                                             "h", "slots"]).astype({"item_id": "Int64"})
+                n, windows = item_windows(t, vocabulary)
+                out += [(i, row, n, *w) for w in windows]
+            yield pd.DataFrame(out, columns=["item_id", "item_row", "n_tokens", "literal", "width", "b_pos",
+                                             "span", "h", "b_slots", "b_at"]).astype({"item_id": "Int64"})
 
     b = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).alias("text"))
     b = b.withColumn("item_row", F.xxhash64("item_id", "text")).dropDuplicates(["item_id", "text"])
@@ -160,63 +204,113 @@ def bitmap(windows: DataFrame) -> bytes:
     return bits.tobytes()
 
 
-def document_windows(docs: DataFrame, bits: bytes, lengths: list[int]) -> DataFrame:
+def document_windows(docs: DataFrame, bits: bytes, kinds: list[tuple[bool, int]]) -> DataFrame:
     """``doc_id, doc_row, pos, h, slots`` of the windows whose bit is set. ``docs`` has ``doc_id,
-    doc_row, text``; ``lengths`` are the lengths of items shorter than a window."""
+    doc_row, text``; ``kinds`` are the benchmark's ``literal, width``."""
     schema = "doc_id long, doc_row long, pos int, h long, slots array<string>"
     sent = docs.sparkSession.sparkContext.broadcast(bits)
-    short = sorted(n for n in lengths if n < WINDOW)
+    streams = {literal for literal, _ in kinds}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocabulary = _Vocabulary()
         words = np.frombuffer(sent.value, dtype=np.uint64)
 
-        def passed(h: np.ndarray) -> np.ndarray:
+        def passed(h: np.ndarray) -> list[int]:
             slot = np.mod(h, BITMAP_BITS).astype(np.uint64)
-            return np.flatnonzero((words[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1))
+            return np.flatnonzero((words[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1)).tolist()
 
         for b in batches:
             out = []
             for i, row, t in zip(b["doc_id"], b["doc_row"], b["text"]):
-                tokens, values = template(t)
-                hs = window_hashes(tokens, vocabulary) if len(tokens) >= WINDOW else np.zeros(0, np.int64)
-                for p in passed(hs).tolist():
-                    out.append((i, row, p, int(hs[p]), _slots(tokens[p:p + WINDOW], values[p:p + WINDOW])))
-                for n in short:                       # items shorter than a window
-                    for p in range(len(tokens) - n + 1):
-                        h = window_hashes(tokens[p:p + n], vocabulary)
-                        if len(passed(h)):
-                            out.append((i, row, p, int(h[0]), _slots(tokens[p:p + n], values[p:p + n])))
+                raw, raw_values, again = _parse(t)
+                tokens, values, starts = _folded(raw, raw_values, again)
+                x = {kind: _numbers(raw_values if kind else tokens, vocabulary) for kind in streams}
+                for literal, width in kinds:
+                    hs = window_hashes(x[literal], width, literal)
+                    for p in passed(hs):
+                        out.append((i, row, p if literal else starts[p], int(hs[p]),
+                                    [] if literal else _slots(tokens[p:p + width], values[p:p + width])))
             yield pd.DataFrame(out, columns=["doc_id", "doc_row", "pos", "h", "slots"]).astype(
                 {"doc_id": "Int64", "doc_row": "int64"})
 
     return docs.mapInPandas(run, schema)
 
 
+def _slot_map(windows: list) -> dict[str, str] | None:
+    """The map of slot values, if it is one-to-one."""
+    pairs = {x for w in windows for x in zip(w["b_slots"], w["slots"])}
+    to = dict(pairs)
+    return to if len(to) == len(pairs) == len(set(to.values())) else None
+
+
+def covered(windows: list) -> tuple[int, int]:
+    """Item tokens and distinct windows that consistent windows of one region cover.
+
+    The map of slots is taken from all windows of the region, or from those of one alignment where
+    that covers more (as between two copies with other values side by side).
+    """
+    def cover(kept: list) -> tuple[int, int]:
+        tokens = set()
+        for w in kept:
+            tokens.update(range(w["b_pos"], w["b_pos"] + w["span"]))
+        return len(tokens), len({(w["b_pos"], w["span"]) for w in kept})
+
+    def by(seed: list) -> tuple[int, int]:
+        to = _slot_map(seed)
+        if to is None:
+            return 0, 0
+        return cover([w for w in windows if all(to.get(b, d) == d for b, d in zip(w["b_slots"], w["slots"]))])
+
+    all_, best = cover(windows), by(windows)
+    if best < all_:
+        alignments = defaultdict(list)
+        for w in windows:
+            alignments[w["shift"]].append(w)
+        for shift in sorted(alignments, key=lambda x: -len(alignments[x])):
+            best = max(best, by(alignments[shift]))
+            if best == all_:
+                break
+    return best
+
+
+def reworded(windows: list) -> bool:
+    """Whether some slot is seen with other values only than the item's."""
+    own, other = set(), set()
+    for w in windows:
+        for at, b, d in zip(w["b_at"], w["b_slots"], w["slots"]):
+            (own if b == d else other).add(at)
+    return bool(other - own)
+
+
 def find_items(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """``doc_id, doc_row, item_id, windows, coverage, reworded``: one row for each item found in a
     document. ``docs`` has ``doc_id, doc_row, text``; rows with one ``doc_row`` are one text.
-    ``reworded`` says that some slot holds another value than the item's."""
+    ``coverage`` is the share of the item's tokens in ``windows`` distinct windows; ``reworded`` says
+    that some slot holds another value than the item's."""
     b = benchmark_windows(benchmark)
-    lengths = [r.n_tokens for r in b.select("n_tokens").distinct().collect()]   # at most WINDOW values
-    b = b.select("item_id", "item_row", "n_windows", F.col("pos").alias("b_pos"), "h",
-                 F.col("slots").alias("b_slots"))
-    d = document_windows(docs, bitmap(b), lengths)
-    m = d.join(b, "h").where(F.size("slots") == F.size("b_slots"))
-    pairs = F.arrays_zip(F.col("b_slots").alias("b"), F.col("slots").alias("d"))
-    m = m.select("doc_id", "doc_row", "item_id", "item_row", "n_windows",
-                 (F.col("pos") - F.col("b_pos")).alias("shift"), "b_pos", pairs.alias("pairs"))
-    key = ["doc_id", "doc_row", "item_id", "item_row", "n_windows", "shift"]
-    # An alignment holds at most one row per window of the item, so its arrays are bounded by the
-    # item's length. The slot map has to be a one-to-one function.
-    g = m.groupBy(*key).agg(F.count_distinct("b_pos").alias("windows"),
-                            F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("map"))
-    ends = F.transform("map", lambda x: x["b"]), F.transform("map", lambda x: x["d"])
-    g = g.where((F.size(F.array_distinct(ends[0])) == F.size("map"))
-                & (F.size(F.array_distinct(ends[1])) == F.size("map")))
-    g = g.withColumn("coverage", F.col("windows") / F.col("n_windows")).where(F.col("coverage") >= coverage)
-    best = F.max(F.struct("coverage", "windows",
-                          F.exists("map", lambda x: x["b"] != x["d"]).alias("reworded")))
+    kinds = sorted((r.literal, r.width) for r in b.select("literal", "width").distinct().collect())   # at most 2 * WINDOW
+    d = document_windows(docs, bitmap(b), kinds)
+    m = d.join(b.drop("literal", "width"), "h").where(F.size("slots") == F.size("b_slots"))
+    m = m.withColumn("shift", F.col("pos") - F.col("b_pos"))
+    # Two grids, half a cell apart: shifts within half a cell of each other share a cell of one.
+    half = F.greatest(F.lit(WINDOW), F.ceil(F.col("n_tokens") / 2).cast("int"))
+    cell = lambda grid: F.struct(
+        F.lit(grid).alias("grid"), F.floor((F.col("shift") + grid * half) / (2 * half)).alias("at"))
+    m = m.withColumn("cell", F.explode(F.array(cell(0), cell(1))))
+    # A cell holds few shifts, so its set is bounded by the item's length, however long the document.
+    g = m.groupBy("doc_id", "doc_row", "item_id", "item_row", "n_tokens", "cell").agg(
+        F.sum("span").alias("most"),
+        F.collect_set(F.struct("shift", "b_pos", "span", "b_at", "b_slots", "slots")).alias("found"))
+    g = g.where(F.col("most") >= F.col("n_tokens") * coverage)
+
+    @F.pandas_udf("tokens int, windows int, reworded boolean")
+    def judge(found: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([(*covered(w), reworded(w)) for w in (list(x) for x in found)],
+                            columns=["tokens", "windows", "reworded"])
+
+    g = g.withColumn("j", judge("found")).withColumn("coverage", F.col("j.tokens") / F.col("n_tokens"))
+    g = g.where(F.col("coverage") >= coverage)
+    best = F.max(F.struct("coverage", F.col("j.windows").alias("windows"), F.col("j.reworded").alias("reworded")))
     return g.groupBy("doc_id", "doc_row", "item_id").agg(best.alias("m")).select(
         "doc_id", "doc_row", "item_id", "m.windows", "m.coverage", "m.reworded")
 

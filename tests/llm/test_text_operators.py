@@ -70,6 +70,26 @@ def test_decontamination_matches_plain_window_search(spark):
     assert got == want
 
 
+def _found(spark, docs, items):
+    found = dec.find_items(dec.with_row_key(_df(spark, docs)), _bench(spark, items))
+    return {(r.doc_id, r.item_id) for r in found.collect()}
+
+
+def test_copies_with_one_edit_are_found(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    items = [(n, " ".join(first * 3 + letters[i // 26] + letters[i % 26] for i in range(n)))
+             for first, n in zip("pqrst", (10, 15, 16, 22, 40))]
+    items.append((99, "the teacher asked John Smith to count 40 chairs in the hall before the show began"))
+    docs = []
+    for n, text in items[:-1]:
+        w = text.split()
+        for at in range(n):
+            edits = (w[:at] + ["zebra"] + w[at:], w[:at] + w[at + 1:], w[:at] + ["zebra"] + w[at + 1:])
+            docs += [(1000 * n + 10 * at + k, f"{FILLER}. {' '.join(e)}. {FILLER}") for k, e in enumerate(edits)]
+    docs += [(1, items[-1][1].replace("John Smith", "Ana")), (2, FILLER)]
+    assert _found(spark, docs, items) == {(d, d // 1000) for d, _ in docs[:-2]} | {(1, 99)}
+
+
 def _auc(s, y):
     order = np.argsort(s, kind="stable")
     rank = np.empty(len(s))
