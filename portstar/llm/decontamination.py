@@ -11,8 +11,9 @@ evidence and are not indexed.
 
 A match lines an item up with a document at a shift (document position minus item position, in
 tokens). Windows whose shifts lie within half of the item's length, or ``WINDOW`` tokens, are one
-region, whatever was inserted, deleted or replaced between them. Within an alignment the
-slots must be one-to-one. An item is found where the windows
+region, whatever was inserted, deleted or replaced between them. Within a region every slot value of
+the item stands for the value of the document that most of its places show, and two values never
+for the same one; windows that contradict this are left out. An item is found where the windows
 that remain cover ``COVERAGE`` of its tokens.
 
 Every window of every whole document is looked up: a bitmap of fixed size (``BITMAP_BITS``) of the
@@ -236,11 +237,15 @@ def document_windows(docs: DataFrame, bits: bytes, kinds: list[tuple[bool, int]]
     return docs.mapInPandas(run, schema)
 
 
-def _slot_map(windows: list) -> dict[str, str] | None:
-    """The map of slot values, if it is one-to-one."""
-    pairs = {x for w in windows for x in zip(w["b_slots"], w["slots"])}
-    to = dict(pairs)
-    return to if len(to) == len(pairs) == len(set(to.values())) else None
+def _majority(windows: list) -> dict[str, str]:
+    """The one-to-one map of slot values that most places show; at a tie the item's own value."""
+    places = {x for w in windows for x in zip(w["b_at"], w["b_slots"], w["slots"])}
+    votes, to, taken = Counter((b, d) for _, b, d in places), {}, set()
+    for b, d in sorted(votes, key=lambda x: (-votes[x], x[0] != x[1], x)):
+        if b not in to and d not in taken:
+            to[b] = d
+            taken.add(d)
+    return to
 
 
 def covered(windows: list) -> tuple[int, int]:
@@ -256,10 +261,12 @@ def covered(windows: list) -> tuple[int, int]:
         return len(tokens), len({(w["b_pos"], w["span"]) for w in kept})
 
     def by(seed: list) -> tuple[int, int]:
-        to = _slot_map(seed)
-        if to is None:
-            return 0, 0
-        return cover([w for w in windows if all(to.get(b, d) == d for b, d in zip(w["b_slots"], w["slots"]))])
+        to = _majority(seed)
+        ends = set(to.values())
+        fits = lambda b, d: to[b] == d if b in to else d not in ends
+        kept = [w for w in windows if all(map(fits, w["b_slots"], w["slots"]))]
+        rest = _majority(kept)                      # values that the seed does not hold
+        return cover([w for w in kept if all(rest.get(b) == d for b, d in zip(w["b_slots"], w["slots"]))])
 
     all_, best = cover(windows), by(windows)
     if best < all_:

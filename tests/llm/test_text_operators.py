@@ -90,6 +90,15 @@ def test_copies_with_one_edit_are_found(spark):
     assert _found(spark, docs, items) == {(d, d // 1000) for d, _ in docs[:-2]} | {(1, 99)}
 
 
+def test_one_slot_frees_no_copy(spark):
+    item = "a box has 5 red balls and then it also has 5 green balls and 3 blue ones so how many balls are in it"
+    change = [("5 green", "7 green"), ("5 red", "5 red"), ("3 blue", "5 blue")]
+    docs = [(i, item.replace(*c)) for i, c in enumerate(change)] + [(3, item.replace("5 red", "3 red").replace("5 green", "7 green"))]
+    two = [item.replace("5", str(x)).replace("3 blue", f"{y} blue") for x, y in ((99, 4), (7, 81))]
+    docs += [(4, ". ".join(two)), (5, FILLER)]
+    assert _found(spark, docs, [(0, item)]) == {(i, 0) for i in range(5)}
+
+
 def _auc(s, y):
     order = np.argsort(s, kind="stable")
     rank = np.empty(len(s))
