@@ -6,8 +6,9 @@ has the same template. A run of one placeholder within a sentence is one slot, s
 words stand for names of one. All windows of ``WINDOW`` template tokens of the benchmark are hashed;
 the windows of all documents are looked up and joined with them. Items of 10 to 15 template tokens
 have windows of ``SHORT_WINDOW``, so that one edit leaves a window at either length; items shorter
-than ``WINDOW`` are matched as a whole. Windows of placeholders only carry no
-evidence and are not indexed.
+than ``WINDOW`` are matched as a whole. Windows with fewer than ``MIN_WORDS`` ordinary words give no
+evidence as templates; they are looked up with their literal values instead (unfolded), so that
+every item that has a token is found where it is copied verbatim.
 
 A match lines an item up with a document at a shift (document position minus item position, in
 tokens). Windows whose shifts lie within half of the item's length, or ``WINDOW`` tokens, are one
@@ -166,6 +167,10 @@ def item_windows(text: str | None, vocabulary: _Vocabulary) -> tuple[int, list[t
             at = [starts[p + j] for j, t in enumerate(part) if t[0] == "<"]
             out.append((False, width, starts[p], starts[p + width] - starts[p], h,
                         _slots(part, values[p:p + width]), at))
+    width = min(len(raw), WINDOW if len(tokens) < WINDOW else width)
+    for p, h in enumerate(window_hashes(_numbers(raw_values, vocabulary), width, True).tolist()):
+        if _words(raw[p:p + width]) < min(MIN_WORDS, width):
+            out.append((True, width, p, width, h, [], []))
     return len(raw), out
 
 

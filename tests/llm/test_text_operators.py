@@ -99,6 +99,15 @@ def test_one_slot_frees_no_copy(spark):
     assert _found(spark, docs, [(0, item)]) == {(i, 0) for i in range(5)}
 
 
+def test_items_of_few_words_are_found_verbatim(spark):
+    items = [(1, "Compute 12 + 7 * 3 - 4"), (2, "12 apples"), (3, "Ann Bob Carl Dora Emil Fritz Gerd Hans Ida Jan"),
+             (4, "1 2 3 4 5 6 7 8 9 10 11")]
+    docs = [(10 * i, f"{FILLER}: {t} = 23 {FILLER}") for i, t in items]
+    docs += [(11, "Compute 13 + 7 * 3 - 4"), (21, "13 apples"), (31, "Ann met Zoe Cob Sarl Mora Tmil Lritz Werd Kans Gda Man"),
+             (41, "11 1 10 2 9 3 8 4 7 5 6")]
+    assert _found(spark, docs, items) == {(10 * i, i) for i, _ in items}
+
+
 def _auc(s, y):
     order = np.argsort(s, kind="stable")
     rank = np.empty(len(s))
