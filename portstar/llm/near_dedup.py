@@ -323,8 +323,8 @@ def near_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
              words: int = SHINGLE) -> DataFrame:
     """The rows of ``docs`` but near-duplicates: of each group the row with the smallest id stays
-    (of several texts with that id, one). Rows without words stay. Of rows that repeat both id and
-    text, one stays."""
+    (of several texts with that id, one). All rows without words stay. Of rows with words that repeat
+    both id and text, one stays."""
     d = _text_rows(docs, doc_id, text)
     found = cut(assign(d, cut(signatures(d, words)), words))
     first = found.where("node is not null").groupBy("root").agg(
@@ -335,9 +335,10 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows = packed(docs).withColumn("row", F.xxhash64(F.col(f"__row.`{doc_id}`").cast("long"),
                                                      F.col(f"__row.`{text}`")))
     left = rows.join(gone, "row", "left_anti")
-    again = found.join(gone, "row", "left_anti").groupBy("row").agg(F.count(F.lit(1)).alias("c"))
+    again = found.where("node is not null").join(gone, "row", "left_anti").groupBy("row").agg(F.count(F.lit(1)).alias("c"))
     if not again.where("c > 1").isEmpty():
-        left = left.dropDuplicates(["row"])
+        has_words = F.coalesce(F.col(f"__row.`{text}`").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+        left = left.where(has_words).dropDuplicates(["row"]).unionAll(left.where(~has_words))
     return left.select("__row.*")
 
 

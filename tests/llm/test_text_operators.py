@@ -215,6 +215,13 @@ def test_shingle_length_is_a_parameter(spark):
         near_dedup.shingle_set("a b", near_dedup._WordNumbers(), 0)
 
 
+def test_all_rows_without_words_stay(spark):
+    rows = [(None, None, "a"), (None, None, "b"), (5, "", "c"), (5, "", "d"), (6, " \n\t", "e"), (6, " \n\t", "f"),
+            (1, "one two three", "g"), (1, "one two three", "g"), (7, "\u00a0", "h"), (7, "\u00a0", "h")]
+    df = spark.createDataFrame([(i, t, n, "r", 0.5) for i, t, n in rows], DOCS)
+    assert Counter(r.node for r in near_dedup.keep_one(df).collect()) == Counter("abcdefgh")
+
+
 def test_sketch_estimate_keeps_pairs_at_the_threshold():
     rng = np.random.default_rng(4)
     passed = Counter()
