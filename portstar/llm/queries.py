@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from portstar.llm import (chat, decontamination, html, merkle, mixing, near_dedup, pii, sharding,
-                          toxicity, urls)
+from portstar.llm import (chat, decontamination, fim, html, merkle, mixing, near_dedup, periodic, pii,
+                          sharding, token_counts, toxicity, urls)
 
 LLM_QUERIES = {
     "op1_prefix_targets": chat.query,
@@ -16,10 +16,14 @@ LLM_QUERIES = {
     "op8_odd_sketch_dedup": near_dedup.query,
     "op9_max_subsequence_text": html.query,
     "op10_url_bloom_filter": urls.query,
+    "op11_skip_list_fim": fim.query,
+    "op12_two_tier_token_counts": token_counts.query,
+    "op13_internal_pattern_runs": periodic.query,
 }
 
 LLM_ORACLE = {
     "op1_prefix_targets": chat.ORACLE,
     "op4_poisson_mixture": mixing.ORACLE,
     "op10_url_bloom_filter": urls.ORACLE,
+    "op11_skip_list_fim": fim.ORACLE,
 }

@@ -1,0 +1,273 @@
+"""Fill-in-the-middle, token counts and periodic runs against brute force and the library."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from portstar.llm import fim, periodic, token_counts
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, n long, form string, __row string, runs string"
+UNIT = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
+
+
+def _df(spark, rows):
+    return spark.createDataFrame([(i, t, 1, "f", "r", "x") for i, t in rows], DOCS)
+
+
+# --- fill in the middle --------------------------------------------------------------------------
+
+def _random_text(rng, n):
+    return "".join(rng.choice("abé\U0001f600 \t\n\x0b \x1c<") for _ in range(n))
+
+
+def test_units_and_skip_list_reach_every_rank():
+    rng = random.Random(3)
+    for n in [0, 1, 2, 3, 7, 60, 300, 2000]:
+        for _ in range(6):
+            t = _random_text(rng, n)
+            units = UNIT.findall(t)
+            widths = fim.unit_widths(t)
+            assert widths.tolist() == [len(u) for u in units]
+            found = fim.SkipList(widths)
+            ends = np.concatenate([[0], np.cumsum(widths)]).tolist()
+            assert [found.offset(r) for r in range(len(units) + 1)] == ends
+
+
+def test_skip_list_descends_in_logarithmic_steps():
+    lanes = fim.SkipList(np.ones(200_000, dtype=np.int64)).lanes
+    assert 5 <= len(lanes) <= 14 and len(lanes[-1][0]) <= fim.TOP
+    assert all(int(u.sum()) == 200_000 for u, _, _ in lanes)
+
+
+def test_pieces_do_not_change_units(monkeypatch):
+    t = _random_text(random.Random(9), 500)
+    whole = fim.unit_widths(t).tolist()
+    monkeypatch.setattr(fim, "PIECE", 7)
+    assert fim.unit_widths(t).tolist() == whole
+
+
+def _fim(doc_id, text):
+    text = text or ""
+    units = UNIT.findall(text)
+    n = len(units)
+    h = hashlib.sha256(f"42:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(h[8 * i:8 * i + 8], 16) for i in range(4))
+    if not text or any(m in text for m in fim.MARKS) or h3 % 100 >= 50:
+        return n, "plain", None, None, text
+    a, b = sorted((h1 % (n + 1), h2 % (n + 1)))
+    p, m, s = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    if h4 % 100 < 80:
+        return n, "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return n, "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+def test_fim_matches_brute_force_and_restores_texts(spark):
+    rng = random.Random(1)
+    rows = [(i, _random_text(rng, rng.randint(0, 60))) for i in range(300)]
+    rows += [(None, None), (None, "a b"), (301, ""), (302, None), (303, "has <S> in it"), (304, "x" * 100_000),
+             (305, "one"), (305, "one"), (306, "<P"), (307, "<M>"), (308, "a <P <S > <"), (309, "　  ")]
+    d = fim.transform(_df(spark, rows)).withColumn("back", fim.restored(F.col("output"), F.col("form")))
+    got = sorted(map(str, ((r["__row"].doc_id, r.n, r.form, r.prefix_chars, r.middle_chars, r.output)
+                           for r in d.collect())))
+    assert got == sorted(map(str, ((i, *_fim(i, t)) for i, t in rows)))
+    assert {r.form for r in d.collect()} == {"plain", "psm", "spm"}
+    assert all(r.back == (r["__row"].text or "") for r in d.collect())
+    assert fim.transform(_df(spark, [])).count() == 0
+
+
+def test_fim_query_holds_every_document(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = fim.query(spark, SF).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(docs)
+    for r in rows:
+        n, form, p, m, out = _fim(r.doc_id, docs[r.doc_id])
+        assert (r.n, r.form, r.prefix_chars, r.middle_chars) == (n, form, p, m)
+        assert r.output_sha256 == hashlib.sha256(out.encode()).hexdigest()
+        assert r.restored_sha256 == hashlib.sha256((docs[r.doc_id] or "").encode()).hexdigest()
+
+
+# --- token counts --------------------------------------------------------------------------------
+
+@pytest.fixture(scope="module")
+def library():
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(token_counts.default_path())
+
+
+def _library_count(library, text):
+    return len(library.encode(text or "", add_special_tokens=False).ids)
+
+
+TEXTS = [None, "", " ", "\n\n  a", "it's they'll we'VE 'tis", "a<|endoftext|> b<|endoftext|>", "<|endoftext|>",
+         "<|endoftext|", "x" * 5000, "١٢ Ⅷ ½", "café naïve 你好 \U0001f600\U0001f468‍\U0001f469",
+         "a\x1cb\x1d \x85c  d e 　 f", "tab\t\tend  ", "\r\n\r\n", "  ́ ा ำ", "\U0001e030 Ꟁ \U00016d40",
+         "1234567890123 12,000.50", "﻿￾͸", "-" * 3000]
+
+
+def test_counter_equals_the_library(library):
+    rng = random.Random(4)
+    counter = token_counts.TokenCounter(token_counts.tokenizer_text(token_counts.default_path()), {"x": 1})
+    pool = "".join(t or "" for t in TEXTS) + "".join(chr(rng.randint(0, 0x2FFF)) for _ in range(800)) + " \n\t  "
+    texts = TEXTS + ["".join(rng.choice(pool) for _ in range(rng.randint(1, 80))) for _ in range(1500)]
+    for t in texts:
+        assert counter.count(t) == _library_count(library, t), repr(t)
+
+
+def test_every_assigned_plane_is_counted_right(library):
+    counter = token_counts.TokenCounter(token_counts.tokenizer_text(token_counts.default_path()))
+    for start in range(0, 0x30000, 0x400):
+        chars = [chr(c) for c in range(start, start + 0x400) if not 0xD800 <= c < 0xE000]
+        if chars:
+            t = "".join(f"a{c} {c}1" for c in chars)
+            assert counter.count(t) == _library_count(library, t), hex(start)
+
+
+def test_characters_that_split_otherwise_go_to_the_library(library, monkeypatch):
+    import regex
+    monkeypatch.setattr(token_counts, "PATTERN", regex.compile(r"[a-zA-Z]+|."))      # a pattern of its own
+    assert token_counts.TokenCounter(token_counts.tokenizer_text(token_counts.default_path())).unlike
+    monkeypatch.setattr(token_counts, "PATTERN", regex.compile(
+        r"'s|'t|'re|'ve|'m|'ll|'d| ?[\p{L}²]+| ?[\p{N}--²]+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+", regex.V1))
+    counter = token_counts.TokenCounter(token_counts.tokenizer_text(token_counts.default_path()))
+    for t in ["a²b 1²1", "plain words", "² ³"]:
+        assert counter.count(t) == _library_count(library, t)
+    assert counter.unlike == {"²"}
+
+
+def test_compact_table_round_trip_and_bounded_caches(monkeypatch):
+    table = {" the": 1, "é\n": 2, "": 0, "x" * 60: 9}
+    assert token_counts.unpack(*token_counts.pack(table)) == table
+    assert token_counts.unpack(*token_counts.pack({})) == {}
+    monkeypatch.setattr(token_counts, "COLD", 4)
+    calls = []
+
+    class Out:
+        ids = [1, 2]
+
+    lengths = token_counts.Lengths({"hot": 1}, lambda p, add_special_tokens: calls.append(p) or Out)
+    assert [lengths[p] for p in ["hot", "a", "a", "b", "c", "d", "e", "x" * 99, "x" * 99]] == [1] + [2] * 8
+    assert calls == ["a", "b", "c", "d", "e", "x" * 99, "x" * 99] and len(lengths.cold) <= 4
+
+
+def test_token_counts_of_a_table(spark, library):
+    rows = [(i, t) for i, t in enumerate(TEXTS)] + [(None, "no id"), (2, TEXTS[2])]
+    got = token_counts.count_tokens(_df(spark, rows), token_counts.default_path()).collect()
+    want = sorted((str(i), len((t or "").encode()), _library_count(library, t)) for i, t in rows)
+    assert sorted((str(r["__row"].doc_id), r.n_bytes, r.n_tokens) for r in got) == want
+    assert token_counts.count_tokens(_df(spark, []), token_counts.default_path()).count() == 0
+    assert token_counts.frequent(_df(spark, [(1, None)]), token_counts.tokenizer_text(token_counts.default_path())) == {}
+
+
+def test_token_query_equals_the_library_on_whole_documents(spark, library):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = token_counts.query(spark, SF).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(docs)
+    for r in rows:
+        assert (r.n_bytes, r.n_tokens) == (len((docs[r.doc_id] or "").encode()), _library_count(library, docs[r.doc_id]))
+        assert r.over_limit == (r.n_tokens > 1024)
+
+
+# --- periodic runs -------------------------------------------------------------------------------
+
+def _runs(words):
+    n, found = len(words), set()
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i + q < n:
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            start = i
+            while i + q < n and words[i] == words[i + q]:
+                i += 1
+            length = i + q - start
+            part = words[start:start + length]
+            if length >= max(6, 4 * q) and not any(part[p:] == part[:length - p] for p in range(1, q)):
+                found.add((start, length, q))
+    return sorted(found, key=lambda r: (r[0], r[2]))
+
+
+def _collapsed(words, runs):
+    gone = {i for s, n, q in runs for i in range(s + q, s + n)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def _periodic_text(rng):
+    out = []
+    for _ in range(rng.randint(0, 5)):
+        out += [rng.choice("abc"[:rng.randint(1, 3)]) for _ in range(rng.randint(1, 9))] * rng.randint(1, 8)
+    return out
+
+
+@pytest.mark.parametrize("batch", [1 << 17, 40, 1])
+def test_runs_match_brute_force(monkeypatch, batch):
+    monkeypatch.setattr(periodic, "BATCH_WORDS", batch)
+    rng = random.Random(batch)
+    texts = [_periodic_text(rng) for _ in range(600)]
+    for words, (n, runs, text) in zip(texts, periodic.analyse([" ".join(t) for t in texts])):
+        assert n == len(words)
+        assert [tuple(r) for r in runs.tolist()] == _runs(words)
+        assert text == _collapsed(words, _runs(words))
+
+
+def test_wavelet_matrix_against_sorting():
+    rng = np.random.default_rng(2)
+    values = rng.permutation(500)[:300]
+    matrix = periodic.WaveletMatrix(values)
+    low = rng.integers(0, 299, 400)
+    high = low + 1 + rng.integers(0, 300 - low)
+    x = np.array([rng.choice(values[a:b]) for a, b in zip(low, high)])
+    left, right = matrix.neighbours(low, high, x)
+    for a, b, v, p, s in zip(low, high, x, left, right):
+        part = values[a:b]
+        assert p == max(part[part < v], default=-1) and s == min(part[part > v], default=-1)
+
+
+def test_long_run_and_nested_runs():
+    words = (["a"] * 7 + ["b"]) * 5000
+    (n, runs, text), = periodic.analyse([" ".join(words)])
+    assert n == 40_000 and (0, 40_000, 8) in {tuple(r) for r in runs.tolist()} and len(runs) == 5001
+    assert text == "a b"
+
+
+def test_runs_of_a_table(spark):
+    rows = [(1, None), (2, ""), (3, " \t "), (4, "a " * 6), (4, "a " * 6), (None, "x y " * 4 + "z"), (5, "a a a a a"),
+            (6, "  " * 7), (7, "p q r " * 4)]
+    got = sorted((str(r["__row"].doc_id), r.n_words, [tuple(x) for x in r.runs], r.collapsed)
+                 for r in periodic.collapse(_df(spark, rows)).collect())
+    assert got == sorted([("1", 0, [], ""), ("2", 0, [], ""), ("3", 0, [], ""), ("4", 6, [(0, 6, 1)], "a"),
+                          ("4", 6, [(0, 6, 1)], "a"), ("None", 9, [(0, 8, 2)], "x y z"), ("5", 5, [], "a a a a a"),
+                          ("6", 7, [(0, 7, 1)], " "), ("7", 12, [(0, 12, 3)], "p q r")])
+    assert periodic.collapse(_df(spark, [])).count() == 0
+
+
+def test_run_query_matches_brute_force(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = periodic.query(spark, SF).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(docs)
+    planted = 0
+    for r in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", docs[r.doc_id] or "")
+        h, n = zlib.crc32(str(r.doc_id).encode()), len(words)
+        if h % 10 == 0 and n:
+            g = h // 10
+            a, planted = g % n, planted + 1
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+        if n > 1500:
+            continue                                     # the brute force is quadratic
+        runs = _runs(words)
+        best = max(runs, key=lambda x: (x[1], -x[0], -x[2]), default=None)
+        assert r.n_runs == len(runs)
+        assert (r.start, r.length, r.period) == (best or (None,) * 3)
+        assert r.exponent_milli == (best and 1000 * best[1] // best[2])
+        listed = "".join(f"{s},{m},{q}\n" for s, m, q in runs)
+        assert r.runs_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+        assert r.collapsed_sha256 == hashlib.sha256(_collapsed(words, runs).encode()).hexdigest()
+    assert planted > 5
