@@ -10,11 +10,18 @@ Labelled pages are those with exactly one ``<article>``: tokens inside it are co
 * each tag's weight: a small cost for tags that are usual inside content, a cost that grows with
   the odds for tags that stand outside of it, so that the run does not cross a content border;
 * further boilerplate elements: an element signature (name and classes) whose words never stand in
-  content, on ``LEAST_PAGES`` pages or more, beside the fixed names and class words below.
+  content, on ``LEAST_PAGES`` pages or more, beside the fixed names and class words below;
+* content elements: a signature that the fixed words call boilerplate but that holds ``CONTENT_SHARE``
+  of an article's words or more, on average over ``LEAST_PAGES`` articles or more. Class words that name
+  parts of texts as well (``WEAK_MARKS``) never count inside an article.
 
 Weights are fitted on the ``FIT_PAGES`` pages that come first by a hash of their URL and id, of up
 to ``FIT_CHARS`` code points each. Every page is extracted from its whole HTML.
 
+Embedded elements (``EMBEDDED``), scripts and styles go with what they hold. An embedded element without
+an end tag, or closed by its own slash, loses its tag only. A page is scanned in linear time, whatever
+tags and quotes it leaves open.
+
 Defined results. Null or empty HTML: the empty text. A page without a positive run: the empty text.
 Without labelled pages: default weights. Of equal runs the first one counts. Repeated rows get equal
 texts; extra columns travel along whatever their names. Empty table: no rows.
@@ -38,16 +45,18 @@ from portstar.llm.common import packed, table
 FIT_PAGES = 600
 FIT_CHARS = 100_000
 LEAST_PAGES = 20
+CONTENT_SHARE = 0.2
 WORD = 1.0
 BOILERPLATE_WORD = -0.01
 INSIDE_COST = 0.02
 ODDS_COST = 10.0
 UNSEEN_COST = 0.05
 
-# Elements without content, elements of raw text, elements inside a line.
+# Elements without content, elements of raw text, embedded elements, elements inside a line.
 BOILERPLATE = frozenset("nav footer aside form menu dialog button select textarea noscript template "
                         "iframe object svg canvas audio video map fieldset".split())
-RAW = frozenset("script style title textarea noscript template svg iframe".split())
+RAW = frozenset("script style title textarea".split())
+EMBEDDED = frozenset("noscript template svg iframe".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark "
                    "nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -58,30 +67,139 @@ MARKS = frozenset("ad ads advert adverts advertisement advertising banner sponso
                   "comment comments discussion reply replies disqus respond share sharing social "
                   "related recommended newsletter subscribe subscription signup login search "
                   "pagination pager widget alert skip".split())
+# Those of them that name parts of a text as well, so that they do not count inside an article.
+WEAK_MARKS = frozenset("discussion header masthead related recommended search widget alert skip banner".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog".split())
 
-_PIECE = re.compile(
-    r"(?P<skip><!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>)"
-    r"|<(?P<close>/?)(?P<name>[A-Za-z][A-Za-z0-9:-]*)(?P<attr>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|(?P<text>[^<]+|<)", re.S)
+_NAMED = re.compile(r"</?([A-Za-z][A-Za-z0-9:-]*)")
 _ATTR = re.compile(r"""\b(class|id|role|hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _NAME = re.compile(r"[A-Za-z]+")
+_PLAIN = re.compile(r"[^>\"']*")
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
+
 
+class _Scanner:
+    """Splits HTML into texts, start tags and end tags in time linear in the page's length.
+
+    Quotes in a tag hide a ``>``; where that leaves the tag without an end, the first ``>`` ends it.
+    What no ``>`` follows is text. Searches that fail are remembered, and those of quoted tags are
+    given up for the rest of the page once they have cost ``PATIENCE`` times its length.
+    """
 
-def _marks(name: str, attr: str) -> tuple[str, bool]:
-    """Signature of a start tag, and whether its class, id or role marks boilerplate."""
+    PATIENCE = 4
+
+    def __init__(self, page: str):
+        self.page, self.n = page, len(page)
+        self.last = page.rfind(">")
+        self.spent = 0
+        self.missing: set[str] = set()          # quotes and raw elements without an end from here on
+
+    def _tag_end(self, at: int) -> int:
+        """Index of the ``>`` that ends the tag whose name ends at ``at``, or -1."""
+        page = self.page
+        if at > self.last:
+            return -1
+        pos = at
+        while self.spent <= self.PATIENCE * self.n:
+            pos = _PLAIN.match(page, pos).end()
+            if pos >= self.n:
+                break
+            c = page[pos]
+            if c == ">":
+                return pos
+            end = -1 if c in self.missing else page.find(c, pos + 1)
+            if end < 0:
+                self.missing.add(c)
+                break
+            pos = end + 1
+        self.spent += pos - at
+        return page.find(">", at)
+
+    def _raw_end(self, name: str, at: int) -> int:
+        """Where the page goes on after a raw element. Unclosed scripts and styles reach to the end."""
+        m = None if name in self.missing else _RAW_END[name].search(self.page, at)
+        if m is None:
+            self.missing.add(name)
+            return self.n if name in ("script", "style") else at
+        end = self.page.find(">", m.end())
+        return self.n if end < 0 else end + 1
+
+    def pieces(self) -> Iterator[tuple[str, str, str]]:
+        """``("text", text, "")``, ``("open", name, attributes)`` or ``("close", name, "")``."""
+        page, pos = self.page, 0
+        while pos < self.n:
+            lt = page.find("<", pos)
+            if lt != pos:
+                yield "text", page[pos:lt] if lt > 0 else page[pos:], ""
+            if lt < 0:
+                return
+            if lt > self.last:                  # no tag ends from here on
+                rest = page.find("<!--", lt)
+                yield "text", page[lt:rest] if rest >= 0 else page[lt:], ""
+                return
+            if page.startswith("<!--", lt):
+                end = page.find("-->", lt + 2)
+                pos = self.n if end < 0 else end + 3
+                continue
+            m = _NAMED.match(page, lt)
+            end = -1
+            if m is not None:
+                end = self._tag_end(m.end())
+            elif page[lt + 1:lt + 2] in ("!", "?"):
+                pos = page.find(">", lt) + 1
+                continue
+            if end < 0:
+                yield "text", "<", ""
+                pos = lt + 1
+                continue
+            name, pos = m.group(1).lower(), end + 1
+            if page[lt + 1] == "/":
+                yield "close", name, ""
+            elif name in RAW:
+                pos = self._raw_end(name, pos)
+            else:
+                yield "open", name, page[m.end():end]
+
+
+def _unwrapped(page: str) -> list[tuple[str, str, str]]:
+    """The page's pieces without embedded elements. Their tags without a partner go alone; what
+    follows them stays."""
+    pieces = list(_Scanner(page).pieces())
+    open_at: dict[str, list[int]] = {name: [] for name in EMBEDDED}
+    end_of, alone = {}, set()
+    for i, (kind, name, attr) in enumerate(pieces):
+        if kind == "text" or name not in EMBEDDED:
+            continue
+        alone.add(i)
+        if kind == "open" and not attr.rstrip().endswith("/"):
+            open_at[name].append(i)
+        elif kind == "close" and open_at[name]:
+            end_of[open_at[name].pop()] = i
+    out, i = [], 0
+    while i < len(pieces):
+        if i in end_of:
+            i = end_of[i]
+        elif i not in alone:
+            out.append(pieces[i])
+        i += 1
+    return out
+
+
+def _marks(name: str, attr: str) -> tuple[str, int]:
+    """Signature of a start tag, and whether its class, id or role marks boilerplate: 2 anywhere, 1
+    only outside an article, 0 not at all."""
     if not attr.strip():
-        return name, False
-    words, marked = [], False
+        return name, 0
+    words, marked = [], 0
     for key, *vals in _ATTR.findall(attr):
         key, value = key.lower(), next((v for v in vals if v), "")
         parts = [w.lower() for w in _NAME.findall(value)]
         if key == "role":
-            marked |= any(p in ROLES for p in parts)
+            marked = max(marked, 2 * any(p in ROLES for p in parts))
         elif key == "hidden":
-            marked = True
+            marked = 2
         else:
-            marked |= any(p in MARKS for p in parts)
+            marked = max([marked, *(1 if p in WEAK_MARKS else 2 for p in parts if p in MARKS)])
             if key == "class":
                 words += parts
     return name + "".join("." + w for w in sorted(words)), marked
@@ -91,38 +209,36 @@ def _marks(name: str, attr: str) -> tuple[str, bool]:
 class Weights:
     cost: dict[str, float] = field(default_factory=dict)
     boilerplate: frozenset[str] = frozenset()
+    content: frozenset[str] = frozenset()
 
     def of(self, tag: str) -> float:
         return self.cost.get(tag, 0.0 if tag.lstrip("/").split(".")[0] in INLINE else -UNSEEN_COST)
 
 
-def tokens(page: str, boilerplate: frozenset[str] = frozenset()) -> Iterator[tuple[str, str, str | None]]:
+def tokens(page: str, boilerplate: frozenset[str] = frozenset(),
+           content: frozenset[str] = frozenset()) -> Iterator[tuple[str, str, str | None]]:
     """``(kind, value, element)``: kind ``text`` or ``tag``; ``element`` is the signature of the
     outermost boilerplate element around the token, or None.
 
     An element ends with its end tag; unclosed ones end where the main content starts
-    (the first ``<article>`` or ``<main>``) or with the element that holds them.
+    (the first ``<article>`` or ``<main>``) or with the element that holds them. Inside an article
+    the signatures in ``content`` are none, whatever their names say.
     """
     stack: list[str] = []                 # open elements that are not inline or void
+    opened = Counter()                    # how many of each are on the stack
     within, depth = None, 0               # boilerplate signature, size of the stack around it
-    pos, n = 0, len(page)
     main, seen_main = 0, False
-    while pos < n:
-        m = _PIECE.match(page, pos)
-        if m is None:
-            break
-        pos = m.end()
-        if m.group("text") is not None:
-            yield "text", m.group("text"), within
-            continue
-        name = m.group("name")
-        if name is None:
+    for kind, name, attr in _unwrapped(page):
+        if kind == "text":
+            yield "text", name, within
             continue
-        name = name.lower()
-        if m.group("close"):
-            if name in stack:
-                while stack.pop() != name:
-                    pass
+        if kind == "close":
+            if opened[name]:
+                while True:
+                    last = stack.pop()
+                    opened[last] -= 1
+                    if last == name:
+                        break
             if name in ("article", "main"):
                 main = max(0, main - 1)
             inside = within
@@ -130,26 +246,26 @@ def tokens(page: str, boilerplate: frozenset[str] = frozenset()) -> Iterator[tup
                 within = None
             yield "tag", "/" + name, inside
             continue
-        signature, marked = _marks(name, m.group("attr"))
-        if name in RAW:
-            end = re.compile(rf"</{name}\s*>", re.I).search(page, pos)
-            pos = end.end() if end else n
-            continue
+        signature, mark = _marks(name, attr)
+        marked = mark > (1 if main else 0) and not (main and signature in content)
         if name in ("article", "main") and not marked:
             if within is not None and not seen_main:
+                opened.subtract(stack[depth:])
                 del stack[depth:]
                 within = None
             main, seen_main = main + 1, True
         bad = (marked and name not in ("html", "body", "article", "main") or name in BOILERPLATE
                or name == "header" and not main or signature in boilerplate
                or marked and name == "article" and main > 0 or name == "head")
-        if name not in VOID and not m.group("attr").rstrip().endswith("/"):
+        if name not in VOID and not attr.rstrip().endswith("/"):
             if within is None and bad:
                 within, depth = signature, len(stack)
             if name not in INLINE or bad:
                 if name == "p" and stack and stack[-1] == "p":
                     stack.pop()
+                    opened["p"] -= 1
                 stack.append(name)
+                opened[name] += 1
         yield "tag", signature, within
 
 
@@ -160,20 +276,25 @@ def _article_span(page: str) -> tuple[int, int] | None:
 
 
 def learn(pages: list[str]) -> Weights:
-    """Tag weights and boilerplate signatures from the pages with exactly one ``<article>``."""
+    """Tag weights, boilerplate and content signatures from the pages with exactly one ``<article>``."""
     inside, outside = Counter(), Counter()
     holds, lacks = Counter(), Counter()
+    shares: dict[str, list[float]] = {}
     labelled = 0
     for page in pages:
         if _article_span(page) is None:
             continue
         labelled += 1
         content, stack, has = False, [], set()
-        seen = set()
+        seen, words, total = set(), Counter(), 0
         for kind, value, element in tokens(page):
             if kind == "text":
                 if content and value.strip():
                     has.update(stack)
+                    n = len(value.split())
+                    total += n
+                    if element is not None:
+                        words[element] += n
                 continue
             name = value.split(".")[0]
             border = name in ("article", "/article")
@@ -191,6 +312,8 @@ def learn(pages: list[str]) -> Weights:
                 seen.add(value)
         for s in seen:
             (holds if s in has or s.split(".")[0] == "article" else lacks)[s] += 1
+        for s, n in words.items():
+            shares.setdefault(s, []).append(n / total)
     if not labelled:
         return Weights()
     cost = {}
@@ -199,38 +322,48 @@ def learn(pages: list[str]) -> Weights:
         base = 0.0 if tag.lstrip("/").split(".")[0] in INLINE else INSIDE_COST
         cost[tag] = -base - ODDS_COST * max(0.0, odds)
     never = {s for s, n in lacks.items() if n >= LEAST_PAGES and not holds[s] and "." in s}
-    return Weights(cost, frozenset(never))
+    # What takes up a good part of the articles is their text, whatever its class is called.
+    much = {s for s, x in shares.items() if "." in s and s.split(".")[0] not in BOILERPLATE
+            and len(x) >= LEAST_PAGES and sum(x) / len(x) >= CONTENT_SHARE}
+    return Weights(cost, frozenset(never), frozenset(much))
 
 
 _BREAK = "\n"
 
 
-def main_text(page: str | None, weights: Weights) -> str:
-    """The words of the maximum-scoring run, without those in boilerplate elements."""
-    if not page:
-        return ""
-    best, best_span = 0.0, (0, 0)
-    run, start = 0.0, 0
-    parts: list[str] = []                  # texts and breaks; boilerplate gives none
-    for kind, value, element in tokens(page, weights.boilerplate):
+def scored(page: str, weights: Weights) -> tuple[list[float], list[str]]:
+    """The score of each token and what it adds to the text: words, or a break."""
+    scores, parts = [], []
+    for kind, value, element in tokens(page, weights.boilerplate, weights.content):
         if kind == "tag":
-            run += weights.of(value) if element is None else 0.0
-            if value.lstrip("/").split(".")[0] not in INLINE:
-                parts.append(_BREAK)
+            scores.append(weights.of(value) if element is None else 0.0)
+            parts.append("" if value.lstrip("/").split(".")[0] in INLINE else _BREAK)
         else:
             text = html.unescape(value)
-            n = len(text.split())
-            if element is None:
-                parts.append(text)
-                run += WORD * n
-            else:
-                parts.append(_BREAK)
-                run += BOILERPLATE_WORD * n
+            scores.append((WORD if element is None else BOILERPLATE_WORD) * len(text.split()))
+            parts.append(text if element is None else _BREAK)
+    return scores, parts
+
+
+def best_run(scores: list[float]) -> tuple[int, int]:
+    """First and one past the last place of the run with the highest positive sum: the first such
+    run; (0, 0) without any."""
+    best, span, run, start = 0.0, (0, 0), 0.0, 0
+    for i, score in enumerate(scores):
+        run += score
         if run <= 0:
-            run, start = 0.0, len(parts)
+            run, start = 0.0, i + 1
         elif run > best:
-            best, best_span = run, (start, len(parts))
-    return " ".join("".join(parts[slice(*best_span)]).split())
+            best, span = run, (start, i + 1)
+    return span
+
+
+def main_text(page: str | None, weights: Weights) -> str:
+    """The words of the maximum-scoring run, without those in boilerplate elements."""
+    if not page:
+        return ""
+    scores, parts = scored(page, weights)
+    return " ".join("".join(parts[slice(*best_run(scores))]).split())
 
 
 def train(pages: DataFrame, html_column: str = "html", *keys: str) -> Weights:
