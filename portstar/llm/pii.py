@@ -9,12 +9,17 @@ values stay linked across documents. The permutation is a shift seen through the
 (``E^-1(E(x) + 1)``), which has no fixed point: no value is replaced by itself. With the key,
 :func:`reveal` restores the text.
 
-Kinds: e-mail addresses (the local part), IPv4 addresses, telephone numbers, card and account
-numbers (13 to 19 digits), social security numbers, ISO and day/month/year dates, hex tokens of 32
-to 64 digits.
+Kinds: e-mail addresses (the local part), IPv4 addresses, telephone numbers, card numbers (13 to 19
+digits that start with 2 to 6 and meet the Luhn check), IBANs with right check digits, social security
+numbers, ISO dates, dates with day and month in either order, hex tokens of 32 to 64 digits. Long
+numbers that validate as none of these stay as they are.
+
+An address is found from its ``@``: the local part is the whole run of letters and digits of any
+script, marks and ``_ % + - .`` to the left of it, however long. Texts are scanned in linear time.
 
 Defined results. Null text stays null with no values; an empty text stays empty. Texts are scanned
-whole. Repeated rows get equal results. Extra columns travel along whatever their names.
+whole. Repeated rows get equal results. Extra columns travel along whatever their names. Empty table:
+no rows.
 """
 
 from __future__ import annotations
@@ -22,6 +27,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import re
+import unicodedata
 from collections.abc import Callable
 from functools import lru_cache
 from math import isqrt
@@ -35,19 +41,25 @@ from portstar.llm.common import packed, table
 ROUNDS = 8
 DEMO_KEY = b"pseudonym-key-1"
 
-# Every repetition is bounded, so that long runs of letters or digits are scanned in linear time.
-_PATTERN = re.compile(r"""
-  (?P<email>[A-Za-z0-9_%+\-]{1,64}(?:\.[A-Za-z0-9_%+\-]{1,64}){0,9}@(?:[A-Za-z0-9\-]{1,63}\.){1,9}
-           [A-Za-z]{2,24})
-| (?P<token>(?<![0-9A-Za-z])[0-9A-Fa-f]{32,64}(?![0-9A-Za-z]))
+# Repetitions before a test that may fail are bounded, so that long runs are scanned in linear time.
+_FORMATS = r"""
+  (?P<token>(?<![0-9A-Za-z])[0-9A-Fa-f]{32,64}(?![0-9A-Za-z]))
 | (?P<ip>(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9]))
 | (?P<iso>(?<![0-9\-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9\-]))
-| (?P<dmy>(?<![0-9/.])[0-9]{2}[/.][0-9]{2}[/.][0-9]{4}(?![0-9]))
+| (?P<dmy>(?<![0-9/.])[0-9]{1,2}(?:/[0-9]{1,2}/|[.][0-9]{1,2}[.]|/[0-9]{1,2}[.]|[.][0-9]{1,2}/)[0-9]{4}(?![0-9]))
 | (?P<ssn>(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-]))
-| (?P<phone>(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .\-]?\(?[0-9]{2,4}\)?(?:[ .\-]?[0-9]{2,4}){2,3}
+| (?P<phone>(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .\-]?\(?[0-9]{1,4}\)?(?:[ .\-]?[0-9]{2,4}){2,4}
            |\(?[0-9]{3}\)?[ .\-][0-9]{3}[ .\-][0-9]{4})(?![0-9]))
-| (?P<number>(?<![0-9])[0-9](?:[ \-]?[0-9]){12,18}(?![0-9]))
-""", re.X)
+"""
+# Candidates that only their check digits tell from other numbers.
+_CHECKED = r"""
+| (?P<iban>(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![0-9A-Za-z]))
+| (?P<number>(?<![0-9])[0-9](?:[ \-]?[0-9]){12,}(?![0-9]))
+"""
+_PATTERN = re.compile(_FORMATS, re.X)
+_CANDIDATES = re.compile(_FORMATS + _CHECKED, re.X)
+_DOMAIN = re.compile(r"(?:[\w\-]{1,63}\.){1,9}[^\W\d_]{2,24}")
+LONG_LOCAL = 64                # characters; longer local parts are permuted as strings
 
 
 class Permuter:
@@ -116,20 +128,74 @@ def _digits(p: Permuter, s: str, tweak: bytes, back: bool) -> str:
 def _phone(p, s, back):
     m = re.match(r"\+[0-9]{1,3}(?=[ .\-(])", s)       # the country code stays
     head = m.group() if m else ""
-    if not 7 <= len(re.sub("[^0-9]", "", s)) <= 15:
+    n = len(re.sub("[^0-9]", "", s))
+    if n < 7:
         return None
+    if n > 15:                                        # a number that follows is none of its groups
+        cut = max(s.rfind(c, 0, len(s)) for c in " .-")
+        return None if cut <= len(head) else _joined(_phone(p, s[:cut], back), s[:cut], s[cut:], p, back)
     return head + _digits(p, s[len(head):], b"phone" + head.encode(), back)
 
 
+def _joined(new, old, rest, p, back):
+    return (old if new is None else new) + _CANDIDATES.sub(lambda m: _KINDS[m.lastgroup](p, m.group(), back) or m.group(), rest)
+
+
+def _card(digits: str) -> bool:
+    return 13 <= len(digits) <= 19 and "2" <= digits[0] <= "6" and luhn(digits)
+
+
 def _number(p, s, back):
-    d = re.sub("[^0-9]", "", s)
-    if luhn(d):                                       # permute the payload, renew the check digit
-        n = len(d) - 1
-        body = str(p.permute(int(d[:-1]), 10 ** n, b"luhn%d" % n, back)).zfill(n)
-        return _digits_back(s, next(body + c for c in "0123456789" if luhn(body + c)))
-    n = len(d)
-    y = p.within(int(d), 10 ** n, b"num%d" % n, lambda v: not luhn(str(v).zfill(n)), back)
-    return _digits_back(s, str(y).zfill(n))
+    """The card numbers among the groups of a run of digits; the rest stays."""
+    groups = [(m.start(), m.end()) for m in re.finditer("[0-9]+", s)]
+    out, done, i = [], 0, 0
+    while i < len(groups):
+        found, digits = None, ""
+        for j in range(i, len(groups)):
+            digits += s[slice(*groups[j])]
+            if len(digits) > 19:
+                break
+            if _card(digits):
+                found = j, digits                     # the longest that validates
+        if found is None:
+            i += 1
+            continue
+        j, d = found
+        n = len(d) - 1                                # permute the payload, renew the check digit
+        x = (int(d[0]) - 2) * 10 ** (n - 1) + int(d[1:n])
+        y = str(p.permute(x, 5 * 10 ** (n - 1), b"card%d" % n, back) + 2 * 10 ** (n - 1))
+        new = next(y + c for c in "0123456789" if luhn(y + c))
+        start, end = groups[i][0], groups[j][1]
+        out += [s[done:start], _digits_back(s[start:end], new)]
+        done, i = end, j + 1
+    return "".join(out) + s[done:] if out else None
+
+
+def _iban_check(country: str, body: str) -> int:
+    return 98 - int("".join(str(int(c, 36)) for c in body + country + "00")) % 97
+
+
+def _iban(p, s, back):
+    """Letters and digits after the check digits, each in its kind; the check digits follow."""
+    ends = [m.start() for m in re.finditer("(?= |$)", s)]
+    for end in reversed(ends):                        # words in capitals may follow
+        flat = s[:end].replace(" ", "")
+        country, check, body = flat[:2], flat[2:4], flat[4:]
+        if not 15 <= len(flat) <= 34 or f"{_iban_check(country, body):02d}" != check:
+            continue
+        kinds = ["0" if c.isdigit() else "A" for c in body]
+        x, n = 0, 1
+        for c, k in zip(body, kinds):
+            r = 10 if k == "0" else 26
+            x, n = x * r + ord(c) - ord(k), n * r
+        y, new = p.permute(x, n, b"iban" + (country + "".join(kinds)).encode(), back), []
+        for k in reversed(kinds):
+            y, v = divmod(y, 10 if k == "0" else 26)
+            new.append(chr(ord(k) + v))
+        body = "".join(reversed(new))
+        it = iter(f"{country}{_iban_check(country, body):02d}{body}")
+        return "".join(c if c == " " else next(it) for c in s[:end]) + s[end:]
+    return None
 
 
 def _ip(p, s, back):
@@ -159,34 +225,109 @@ def _iso(p, s, back):
 
 
 def _dmy(p, s, back):
-    try:
-        d = _day(p, dt.date(int(s[6:]), int(s[3:5]), int(s[:2])), back)
-    except ValueError:
+    """Day first where that is a date, else month first. The lengths of both fields stay, so one-digit
+    fields permute among dates that have them."""
+    first, second = re.split("[/.]", s)[:2]
+    at = len(first), len(first) + 1 + len(second)
+    year = int(s[-4:])
+    for swapped in (False, True):
+        day, month = (second, first) if swapped else (first, second)
+        try:
+            d = dt.date(year, int(month), int(day))
+        except ValueError:
+            continue
+
+        def fits(v: dt.date) -> bool:
+            return ((len(day) == 2 or v.day < 10) and (len(month) == 2 or v.month < 10)
+                    and (not swapped or v.day > 12))
+
+        new = _day(p, d, back)
+        while not fits(new):
+            new = _day(p, new, back)
+        a, b = f"{new.day:0{len(day)}d}", f"{new.month:0{len(month)}d}"
+        return f"{b if swapped else a}{s[at[0]]}{a if swapped else b}{s[at[1]]}{new.year:04d}"
+    return None
+
+
+@lru_cache(maxsize=4096)
+def _alphabet(c: str) -> str:
+    """The characters that may stand for this one: of ASCII its kind, else those of its category in
+    its block of 64 code points. Marks and signs stand for themselves."""
+    if c.isascii():
+        return ("0123456789" if c.isdigit() else "abcdefghijklmnopqrstuvwxyz" if c.islower()
+                else "ABCDEFGHIJKLMNOPQRSTUVWXYZ" if c.isupper() else c)
+    if not c.isalnum():
+        return c
+    kind, start = unicodedata.category(c), ord(c) & ~63
+    return "".join(x for x in map(chr, range(start, start + 64)) if unicodedata.category(x) == kind and x.isalnum())
+
+
+def _permute_string(p: Permuter, local: str, alphabets: list[str], tweak: bytes, back: bool) -> str:
+    """A string of any length, in linear time: a Feistel network over its two halves, whose round
+    function is a keyed stream of places in the characters' alphabets. As in ``Permuter.permute``, the
+    permutation is a step of one seen through the network."""
+    x = [a.index(c) for a, c in zip(alphabets, local)]
+    half = len(x) // 2
+
+    def rounds(x: list[int], order, sign: int) -> list[int]:
+        for i in order:
+            keep, move = (slice(half), slice(half, None)) if i % 2 else (slice(half, None), slice(half))
+            seed = hashlib.blake2b(b"%s|%d|" % (tweak, i) + b",".join(b"%d" % v for v in x[keep]), key=p.key).digest()
+            stream = hashlib.shake_256(seed).digest(8 * len(x[move]))
+            x[move] = [(v + sign * int.from_bytes(stream[8 * j:8 * j + 8], "big")) % len(a)
+                       for j, (v, a) in enumerate(zip(x[move], alphabets[move]))]
+        return x
+
+    x = rounds(x, range(ROUNDS), 1)
+    for i in reversed(range(len(x))):                 # plus or minus one, with carries
+        x[i] = (x[i] + (-1 if back else 1)) % len(alphabets[i])
+        if x[i] != (len(alphabets[i]) - 1 if back else 0):
+            break
+    x = rounds(x, reversed(range(ROUNDS)), -1)
+    return "".join(a[v] for a, v in zip(alphabets, x))
+
+
+def _local(p: Permuter, local: str, domain: str, back: bool) -> str | None:
+    """Letters and digits of the local part, each in its alphabet, numbered in mixed radix."""
+    alphabets = [_alphabet(c) for c in local]
+    if all(len(a) < 2 for a in alphabets):
         return None
-    return f"{d.day:02d}{s[2]}{d.month:02d}{s[5]}{d.year:04d}"
-
-
-def _email(p, s, back):
-    """Letters and digits of the local part, numbered in mixed radix; case is put back after."""
-    local, domain = s.split("@")
-    low, x, n = local.lower(), 0, 1
-    kinds = ["0" if c.isdigit() else "a" if c.isalpha() else "" for c in low]
-    for c, k in zip(low, kinds):
-        if k:
-            r = 10 if k == "0" else 26
-            x, n = x * r + ord(c) - ord(k), n * r
-    if n < 2:
-        return None
-    y = p.permute(x, n, b"mail" + "".join(k or c for c, k in zip(low, kinds)).encode()
-                  + domain.lower().encode(), back)
-    out = []
-    for c, k, old in zip(reversed(low), reversed(kinds), reversed(local)):
-        if k:
-            y, v = divmod(y, 10 if k == "0" else 26)
-            c = chr(ord(k) + v)
-            c = c.upper() if old.isupper() else c
-        out.append(c)
-    return "".join(reversed(out)) + "@" + domain
+    kinds = "".join("0" if a[0] == "0" else "a" if a[0] in "aA" else a[0] for a in alphabets)
+    tweak = b"mail" + kinds.encode() + domain.lower().encode()
+    if len(local) > LONG_LOCAL:
+        return _permute_string(p, local, alphabets, hashlib.blake2b(tweak).digest(), back)
+    x, n = 0, 1
+    for a, c in zip(alphabets, local):
+        x, n = x * len(a) + a.index(c), n * len(a)
+    y, out = p.permute(x, n, tweak, back), []
+    for a in reversed(alphabets):
+        y, v = divmod(y, len(a))
+        out.append(a[v])
+    return "".join(reversed(out))
+
+
+def _in_local(text: str, i: int) -> bool:
+    c = text[i]
+    return (c.isalnum() or c in "_%+-." or not c.isascii() and unicodedata.category(c)[0] == "M"
+            or c in "'\u2019" and 0 < i and text[i - 1].isalnum() and text[i + 1].isalnum())
+
+
+def addresses(text: str) -> list[tuple[int, int, int]]:
+    """``(start, at, end)`` of the e-mail addresses of a text, found from each ``@``."""
+    found, done = [], 0
+    at = text.find("@")
+    while at >= 0:
+        m = _DOMAIN.match(text, at + 1)
+        if m is not None:
+            start = at
+            while start > done and _in_local(text, start - 1):
+                start -= 1
+            if start < at:
+                found.append((start, at, m.end()))
+                done = m.end()
+        done = max(done, at + 1)
+        at = text.find("@", done)
+    return found
 
 
 def _token(p, s, back):
@@ -196,7 +337,7 @@ def _token(p, s, back):
 
 
 _KINDS: dict[str, Callable] = {
-    "email": _email, "token": _token, "ip": _ip, "iso": _iso, "dmy": _dmy,
+    "token": _token, "ip": _ip, "iso": _iso, "dmy": _dmy, "iban": _iban,
     "ssn": lambda p, s, back: _digits(p, s, b"ssn", back), "phone": _phone, "number": _number}
 
 
@@ -207,7 +348,7 @@ def _permuter(key: bytes) -> Permuter:
 
 def replace_all(text: str, key: bytes, back: bool = False) -> tuple[str, list[str]]:
     """The text with every validated value permuted, and the kinds found, in order."""
-    p, kinds = _permuter(key), []
+    p, kinds, out, done = _permuter(key), [], [], 0
 
     def one(m: re.Match) -> str:
         new = _KINDS[m.lastgroup](p, m.group(), back)
@@ -216,7 +357,15 @@ def replace_all(text: str, key: bytes, back: bool = False) -> tuple[str, list[st
         kinds.append(m.lastgroup)
         return new
 
-    return _PATTERN.sub(one, text), kinds
+    for start, at, end in addresses(text):
+        new = _local(p, text[start:at], text[at + 1:end], back)
+        out.append(_CANDIDATES.sub(one, text[done:start]))
+        if new is not None:
+            kinds.append("email")
+        out.append((text[start:at] if new is None else new) + text[at:end])
+        done = end
+    out.append(_CANDIDATES.sub(one, text[done:]))
+    return "".join(out), kinds
 
 
 def reveal(text: str, key: bytes) -> str:
