@@ -1,18 +1,23 @@
-r"""Document fingerprints: a Merkle tree over sections, paragraphs and sentences.
-
-Leaves are the sentences of a paragraph (a line); a paragraph's node hashes its leaves, a section's
-node its paragraphs, the root its sections. A section ends at a blank line and after every
-paragraph whose own hash is divisible by ``SECTION_EVERY``, so that an insertion moves no section
-border but its own.
-
-A fingerprint is one string: the root (32 hex digits), ``:``, then the leaves (16 hex digits each)
-with ``,`` between sentences, ``;`` between paragraphs and ``/`` between sections. Inner nodes
-follow from the leaves. Equal roots mean equal texts; :func:`likeness` compares the leaves, and
-:func:`changed_sections` descends only where section hashes differ.
-
-Defined results. Null text: the empty text, which has one leaf. The next document of a row is the
-next in ascending ``doc_id`` (null first), rows with one id ordered by the text's hash, then text;
-the last row's next is the first. A single row is its own next. Empty table: no rows. Extra columns
+r"""Document fingerprints: a Merkle tree over sections, paragraphs and pieces of paragraphs.
+
+Leaves are consecutive pieces of the text that add up to it: nothing between them is left out. A
+piece ends with its line, after the blanks behind a sentence end, after an ideographic full stop, after
+``LEAST`` characters with a word on one of a few fixed letters (a cut by content, so that an insertion
+into a text without sentences moves a few borders only), and at ``MOST`` characters at the latest. A
+paragraph is a line; its node hashes its leaves, a section's node its paragraphs, the root its sections.
+A section ends at a blank line and after every line whose last leaf has one of two of 16 first digits,
+so that an insertion moves no section border but its own.
+
+A fingerprint is one string: the root (32 hex digits), ``:``, then the leaves (32 hex digits each)
+with ``,`` between leaves, ``;`` between paragraphs and ``/`` between sections. Leaves and root are
+the first half of a SHA-256. Inner nodes follow from the leaves. Roots are equal where texts are equal,
+and only there; :func:`likeness` compares the leaves, and :func:`changed_sections` descends only where
+section hashes differ.
+
+Defined results. Null text: the empty text, which has one leaf. Very long texts have as many leaves as
+they need. The next document of a row is the next in ascending ``doc_id`` (null first), rows with one id
+ordered by the text's hash, then text; the last row's next is the first. A single row is its own next.
+Rows that repeat id and text follow each other (and share a task). Empty table: no rows. Extra columns
 are ignored.
 """
 
@@ -21,26 +26,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from portstar.llm.common import table
+from portstar.llm.common import cut, let, table
+
+LEAST, MOST = 24, 80
+_END = r"\n|[.!?][ \t]{1,8}(?![ \t])|[\u3002\uFF01\uFF1F]"
+_PIECE = (rf"(?s)(?:.{{0,{LEAST - 1}}}?(?:{_END})|.{{{LEAST},{MOST}}}?(?:{_END}|(?<=[dny])[ \t])"
+          rf"|.{{1,{MOST}}})")
 
-SECTION_EVERY = 8
-_SENTENCE_END = r"(?<=[.!?])[ \t]+"
 
+def pieces(text: Column) -> Column:
+    """The text cut into leaves; their concatenation is the text."""
+    return F.regexp_extract_all(text, F.lit(_PIECE), 0)
 
-def _hex(c: Column) -> Column:
-    return F.lpad(F.lower(F.hex(F.xxhash64(c))), 16, "0")
+
+def _digest(c: Column) -> Column:
+    return F.substring(F.sha2(c, 256), 1, 32)
 
 
 def _leaves(text: Column) -> Column:
     """The text's leaf hashes as one string with ``,``, ``;`` and ``/`` between them."""
 
-    def paragraph(p: Column) -> Column:
-        leaves = F.array_join(F.transform(F.split(p, _SENTENCE_END), _hex), ",")
-        ends = (F.trim(p) == "") | (F.pmod(F.xxhash64(p), F.lit(SECTION_EVERY).cast("long")) == 0)
-        return F.concat(leaves, F.when(ends, "/").otherwise(";"))
+    def leaf(piece: Column) -> Column:
+        return let(_digest(piece), lambda h: F.concat(h, F.when(~F.endswith(piece, F.lit("\n")), ",").when(
+            piece.rlike(r"^[ \t\r]*\n$") | F.substring(h, 1, 1).isin("0", "8"), "/").otherwise(";")))
 
-    joined = F.array_join(F.transform(F.split(text, "\n"), paragraph), "")
-    return F.substring(joined, F.lit(1), F.length(joined) - 1)
+    joined = F.array_join(F.transform(F.when(text == "", F.array(F.lit(""))).otherwise(pieces(text)), leaf), "")
+    return let(joined, lambda j: F.substring(j, F.lit(1), F.length(j) - 1))
 
 
 def _nodes(leaves: Column) -> Column:
@@ -50,23 +61,36 @@ def _nodes(leaves: Column) -> Column:
 
 
 def fingerprint_of_leaves(leaves: Column) -> Column:
-    root = F.substring(F.sha2(F.array_join(_nodes(leaves), ""), 256), 1, 32)
-    return F.concat(root, F.lit(":"), leaves)
+    return let(leaves, lambda x: F.concat(_digest(F.array_join(_nodes(x), "")), F.lit(":"), x))
 
 
 def root(fingerprint: Column) -> Column:
     return F.substring(fingerprint, 1, 32)
 
 
+def _numbered(leaves: Column) -> Column:
+    """The leaves with the second, third, ... occurrence of one made different, so that sets of them
+    are multisets of leaves. Sorted, so every step is linear in the number of leaves."""
+    def runs(s: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(1), F.size(s)),
+                          lambda i: (i == 1) | (F.element_at(s, i) != F.get(s, i - 2)))
+        return let(starts, lambda at: F.flatten(F.transform(at, lambda first, k: let(
+            F.coalesce(F.get(at, k + 1), F.size(s) + 1) - first, lambda n: F.transform(
+                F.sequence(F.lit(0), n - 1), lambda j: F.when(j == 0, F.element_at(s, first)).otherwise(
+                    F.concat(F.element_at(s, first), j.cast("string"))))))))
+
+    return F.when(F.size(F.array_distinct(leaves)) == F.size(leaves), leaves).otherwise(
+        let(F.sort_array(leaves), runs))
+
+
 def _leaf_array(fingerprint: Column) -> Column:
-    return F.array_distinct(F.split(F.substring(fingerprint, F.lit(34), F.length(fingerprint)),
-                                    "[/;,]"))
+    return F.split(F.substring(fingerprint, F.lit(34), F.length(fingerprint)), "[/;,]")
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Dice coefficient of the two trees' distinct leaves; 1 for equal roots."""
-    x, y = _leaf_array(a), _leaf_array(b)
-    dice = F.size(F.array_intersect(x, y)) * 2.0 / (F.size(x) + F.size(y))
+    """Dice coefficient of the two trees' leaves, each counted as often as it occurs; 1 for equal roots."""
+    dice = let(F.struct(_leaf_array(a).alias("x"), _leaf_array(b).alias("y")), lambda v: F.size(
+        F.array_intersect(_numbered(v.x), _numbered(v.y))) * 2.0 / (F.size(v.x) + F.size(v.y)))
     return F.when(root(a) == root(b), F.lit(1.0)).otherwise(dice)
 
 
@@ -87,55 +111,51 @@ def fingerprints(docs: DataFrame, text: str = "text", out: str = "fingerprint")
 # --- the next document in id order, without a global window ------------------------------------
 
 _LOW = -(1 << 63)
-_STRIDE = 256
+MAX_RANGES = 1 << 20           # 16 bytes each in the one row that is broadcast
+ROWS_PER_RANGE = 4096
+_STRIDE = 256                  # least step of the coarse list
 
 
-def range_starts(ids: DataFrame, rows_per_range: int) -> list[int]:
-    """First ids of consecutive id ranges, about ``rows_per_range`` rows each; at most 65,536.
+def range_starts(keys: DataFrame, rows_per_range: int) -> DataFrame:
+    """One row with the first keys (``ord, h``) of consecutive ranges, about ``rows_per_range`` rows
+    each: ``coarse`` has every ``stride``-th of ``fine``.
 
-    Range partitioning only chooses where to cut: whatever it samples, the smallest id of each
-    partition is a proper border between rows.
+    Range partitioning only chooses where to cut: whatever it samples, the smallest key of each
+    partition is a proper border between rows. The list stays in Spark, as a checkpointed row.
     """
-    n = ids.count()
-    if not n:
-        return []
-    parts = max(1, min(65_536, -(-n // rows_per_range)))
-    firsts = (ids.repartitionByRange(parts, "ord").groupBy(F.spark_partition_id().alias("p"))
-                 .agg(F.min("ord").alias("o")).select("o").collect())
-    return sorted({r.o for r in firsts})
-
-
-def _range_of(ord_: Column, starts: list[int]) -> Column:
-    """Zero-based index of the last start that is not above ``ord_`` (two steps of at most
-    ``_STRIDE`` comparisons)."""
-    coarse = F.lit(starts[::_STRIDE])
-    i = F.size(F.filter(coarse, lambda s: s <= ord_)) - 1
-    if len(starts) <= _STRIDE:
-        return F.size(F.filter(F.lit(starts), lambda s: s <= ord_)) - 1
-    near = F.slice(F.lit(starts), i * _STRIDE + 1, F.lit(_STRIDE))
-    return i * _STRIDE + F.size(F.filter(near, lambda s: s <= ord_)) - 1
-
-
-def with_next(docs: DataFrame, rows_per_range: int = 4096) -> DataFrame:
-    """``doc_id, text, own`` in id ranges, every range followed by the first rows of the next one
-    (``own`` false), so that ``lead`` over :func:`range_window` finds each row's successor."""
-    d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"),
+    parts = max(1, min(MAX_RANGES, -(-keys.count() // rows_per_range)))
+    stride = max(_STRIDE, int(parts ** 0.5))
+    firsts = (keys.repartitionByRange(parts, "ord", "h").groupBy(F.spark_partition_id().alias("p"))
+                  .agg(F.min(F.struct("ord", "h")).alias("o")))
+    fine = firsts.agg(F.sort_array(F.collect_set("o")).alias("fine"))
+    return cut(fine.select("fine", F.lit(stride).alias("stride"), F.filter(
+        "fine", lambda _, i: i % stride == 0).alias("coarse")))
+
+
+def _range_of(key: Column) -> Column:
+    """Zero-based index of the last start that is not above ``key``, in two steps of about the square
+    root of the number of ranges."""
+    below = lambda starts: F.size(F.filter(starts, lambda s: s <= key))
+    at = (below(F.col("coarse")) - 1) * F.col("stride")
+    return let(at, lambda a: a + below(F.slice(F.col("fine"), a + 1, F.col("stride"))) - 1)
+
+
+def with_next(docs: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """``doc_id, text, range, late, ord, h`` in key ranges, every range followed by the first rows of
+    the next one (``late`` above 0), so that ``lead`` over :func:`range_window` finds each row's
+    successor."""
+    text = F.coalesce("text", F.lit(""))
+    d = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("h"),
                     F.coalesce(F.col("doc_id").cast("long"), F.lit(_LOW).cast("long")).alias("ord"))
-    starts = range_starts(d.select("ord"), rows_per_range)
-    if not starts:
-        return d.select("doc_id", "text", F.lit(0).alias("range"), F.lit(0).alias("late"),
-                        F.col("ord"), F.lit(0).cast("long").alias("h"))
-    last = len(starts) - 1
-    d = d.withColumn("range", _range_of(F.col("ord"), starts))
-    is_first = F.col("ord") == F.element_at(F.lit(starts), F.col("range") + 1)
-    copies = F.when(is_first, F.array(
-        F.struct(F.col("range").alias("range"), F.lit(0).alias("late")),
-        F.when(F.col("range") > 0, F.struct((F.col("range") - 1).alias("range"), F.lit(1).alias("late")))
-        .otherwise(F.struct(F.lit(last).alias("range"), F.lit(2).alias("late")))
-    )).otherwise(F.array(F.struct(F.col("range").alias("range"), F.lit(0).alias("late"))))
-    d = d.withColumn("c", F.explode(copies))
-    return d.select("doc_id", "text", F.col("c.range").alias("range"), F.col("c.late").alias("late"),
-                    "ord", F.xxhash64("text").alias("h"))
+    d = d.crossJoin(F.broadcast(range_starts(d.select("ord", "h"), rows_per_range)))       # one row
+    d = d.withColumn("range", _range_of(F.struct("ord", "h")))
+    last = F.size("fine") - 1
+    is_first = F.struct("ord", "h") == F.element_at("fine", F.col("range") + 1)
+    here = F.struct(F.col("range").alias("range"), F.lit(0).alias("late"))
+    before = F.when(F.col("range") > 0, F.struct((F.col("range") - 1).alias("range"), F.lit(1).alias("late"))).otherwise(
+        F.struct(last.alias("range"), F.lit(2).alias("late")))
+    d = d.withColumn("c", F.explode(F.when(is_first, F.array(here, before)).otherwise(F.array(here))))
+    return d.select("doc_id", "text", F.col("c.range").alias("range"), F.col("c.late").alias("late"), "ord", "h")
 
 
 def range_window():
