@@ -1,0 +1,120 @@
+"""Template decontamination: names at sentence starts, shared windows, edited copies, an independent parser."""
+
+import random
+import re
+
+import pytest
+
+from portstar.llm import decontamination as dec
+
+DOCS = "doc_id long, text string, node string, doc_row string, score double"
+FILLER = "the quick brown fox jumps over a lazy dog while seven ships sail past the old grey harbour wall"
+
+
+def _found(spark, docs, items):
+    d = spark.createDataFrame([(i, t, "n", "r", 0.5) for i, t in docs], DOCS)
+    b = spark.createDataFrame(items, "item_id long, text string")
+    return {(r.doc_id, r.item_id): r for r in dec.find_items(dec.with_row_key(d), b).collect()}
+
+
+# --- an independent parser: one token after the other ----------------------------------------------
+
+def _plain_parse(text, names_first):
+    """Tokens with runs folded, and where each begins in the words."""
+    out, words, begin, previous, start, number = [], [], [], None, True, False
+    for w in re.findall(r"[0-9]+(?:[.,:/][0-9]+)*|[^\W\d_]+|[.!?]", text):
+        if w in ".!?":
+            start, number, previous = True, False, None
+            continue
+        low = w.lower()
+        capital = len(w) > 1 and w[0].isupper() and w[1:].islower()
+        if w[0].isdigit() or low in dec.NUMBER_WORDS:
+            kind, number = "<num>", True
+        elif number and low in dec.UNITS:
+            kind, number = "<unit>", False
+        else:
+            kind, number = "<name>" if capital and (names_first or not start) else low, False
+        if kind[0] != "<" or kind != previous:
+            out.append(kind)
+            begin.append(len(words))
+        words.append(low)
+        previous, start = kind, False
+    return out, begin + [len(words)], words
+
+
+def test_readings_equal_the_independent_parser():
+    rng = random.Random(3)
+    pool = ["Tom", "has", "12", "kg", "Days", "5", "apples", ".", "?", "Anna", "Smith", "MIT", "a", "A", "seven", "3.5", "É", "Éva"]
+    texts = [" ".join(rng.choice(pool) for _ in range(rng.randint(0, 30))) for _ in range(300)] + ["", None]
+    parsed = dec.Parsed(texts, dec._Vocabulary())
+    for names_first in (False, True):
+        r = parsed.reading(names_first)
+        for i, t in enumerate(texts):
+            tokens, begin, words = _plain_parse(t or "", names_first)
+            mine = [k for k in range(len(r.of)) if r.of[k] == i]
+            at = int(parsed.begins[i])
+            assert [int(r.starts[k]) - at for k in mine] == begin[:-1]
+            assert [dec._SLOT[r.slot[k]] or parsed.value(r.starts[k], r.starts[k + 1]) for k in mine] == tokens
+            want = [dec._hash(x) for x in tokens]
+            assert [int(r.hashes[k]) for k in mine] == want
+
+
+def test_texts_read_together_equal_texts_read_alone(spark, monkeypatch):
+    items = [(1, "Tom has 12 red apples in a basket. Anna has 7 green pears in a bag."), (2, "water boils soon")]
+    docs = [(i, f"{FILLER}. {items[i % 2][1]} {FILLER}") for i in range(20)] + [(30, None), (31, ""), (32, "water"), (33, "boils soon")]
+    together = set(_found(spark, docs, items))
+    monkeypatch.setattr(dec, "PIECE", 1)
+    assert set(_found(spark, docs, items)) == together == {(i, items[i % 2][0]) for i in range(20)}
+
+
+# --- names -------------------------------------------------------------------------------------------
+
+def test_names_at_sentence_starts_are_slots(spark):
+    item = "Tom has 12 red apples in a basket. Anna has 7 green pears in a bag."
+    docs = [(1, item.replace("Tom", "Bill").replace("Anna", "Lucy")), (2, item), (3, FILLER),
+            (4, f"{FILLER}. {item.replace('Tom', 'Mary Jane').replace('12', '31').replace('Anna', 'Lucy')} {FILLER}"),
+            (5, "Then " + item.replace("Tom", "Bill").replace("Anna", "Lucy"))]
+    found = _found(spark, docs, [(0, item)])
+    assert set(found) == {(i, 0) for i in (1, 2, 4, 5)}
+    assert found[(2, 0)].reworded is False and found[(1, 0)].reworded and found[(4, 0)].reworded
+    assert found[(2, 0)].coverage == 1
+
+
+# --- shared windows ----------------------------------------------------------------------------------
+
+def _words(rng, n):
+    return " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(n))
+
+
+def test_documents_that_share_an_instruction_only_stay_clean(spark):
+    rng = random.Random(5)
+    ask = "choose the best answer to the question that follows here please now"
+    items = [(i, f"{ask} {_words(rng, 9)}") for i in range(60)]
+    docs = [(1000 + i, f"{_words(rng, 30)} {ask} {_words(rng, 30)}") for i in range(60)]
+    docs += [(i, f"{_words(rng, 20)} {t} {_words(rng, 20)}") for i, t in items[:20]]
+    found = _found(spark, docs, items)
+    assert set(found) == {(i, i) for i in range(20)}
+    assert all(r.coverage == 1 for r in found.values())       # the shared windows confirm
+
+
+def test_items_of_shared_windows_only_are_still_found(spark):
+    text = "we all know that the water in this old kettle boils quite soon enough"
+    items = [(i, text + " ." * i) for i in range(40)]          # 40 texts, one template
+    assert set(_found(spark, [(1, f"{FILLER} {text} {FILLER}"), (2, FILLER)], items)) == {(1, i) for i in range(40)}
+
+
+# --- recall ------------------------------------------------------------------------------------------
+
+@pytest.mark.parametrize("where", ["thirds", "random"])
+def test_copies_with_two_replaced_words_are_found(spark, where):
+    items = [(r.item_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet").collect()]
+    rng, docs = random.Random(2), []
+    for i, text in items:
+        w = text.split()
+        for at in (len(w) // 3, 2 * len(w) // 3) if where == "thirds" else rng.sample(range(len(w)), 2):
+            w[at] = "zebra"
+        docs.append((i, f"{FILLER}. {' '.join(w)}. {FILLER}"))
+    docs.append((100_000, FILLER))
+    found = set(_found(spark, docs, items))
+    assert len(items) == 200 and len(found & {(i, i) for i, _ in items}) >= 0.9 * len(items)
+    assert {d for d, _ in found} <= {i for i, _ in items}
