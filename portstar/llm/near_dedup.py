@@ -25,7 +25,7 @@ pair at similarity 0.8 with probability 4e-6, and at 0.9 below 1e-11.
 
 Defined results. No words, or null text: an empty set, linked with nothing, its own component.
 Null id: kept as a row; a component's id is the smallest id that is not null (null if there is
-none). Repeated rows are linked like any equal texts. Empty table: no rows. Extra columns travel
+none; ids stay below 2^63 - 1). Repeated rows are linked like any equal texts. Empty table: no rows. Extra columns travel
 along in :func:`keep_one` whatever their names.
 """
 
@@ -37,7 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from portstar.llm.common import cut, packed, table
@@ -51,6 +51,8 @@ BINS, BITS = 1024, 2048
 CHUNK = 1024
 SIGMAS = 4.5
 MAX_BROADCAST_IDS = 1_000_000      # 8-byte class numbers
+NO_ID = (1 << 63) - 1              # stands for a null id, behind all others
+PAIR = ["a", "b", "a_o", "b_o"]    # two classes, and the smallest id of each
 
 _rng = np.random.default_rng(20240229)
 _A = _rng.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -137,7 +139,8 @@ def signatures(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, nodes: DataFrame, words: int = SHINGLE) -> DataFrame:
-    """``node, shingles`` of the classes in ``nodes`` (``doc_id, node``), from the texts."""
+    """``node, shingles`` of the classes in ``nodes`` (``row, node``: a row that holds the class's text),
+    from the texts."""
     schema = "node long, shingles array<long>"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -150,11 +153,10 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame, words: int = SHINGLE) -> Dat
                     out.append((node, s.view(np.int64)))
             yield pd.DataFrame(out, columns=["node", "shingles"])
 
-    d = docs.select(F.col("doc_id").alias("id"), "text")
-    wanted = nodes.select(F.col("doc_id").alias("id"), "node")
+    wanted = nodes.select("row", "node")
     if wanted.count() <= MAX_BROADCAST_IDS:
         wanted = F.broadcast(wanted)
-    d = d.join(wanted, d["id"].eqNullSafe(wanted["id"])).select("node", "text")
+    d = docs.select("row", "text").join(wanted, "row").select("node", "text")
     return d.mapInPandas(run, schema).dropDuplicates(["node"])
 
 
@@ -187,7 +189,7 @@ def may_be_near(a: np.ndarray, b: np.ndarray, n1, n2) -> np.ndarray:
 
 
 def _sketch_filter(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``a, b`` of the pairs whose sketches do not rule out a link."""
+    """The pairs whose sketches do not rule out a link."""
     n = nodes.select("node", F.struct("n", "sketch").alias("s"))
     p = (pairs.join(n.withColumnsRenamed({"node": "a", "s": "sa"}), "a")
               .join(n.withColumnsRenamed({"node": "b", "s": "sb"}), "b"))
@@ -199,7 +201,7 @@ def _sketch_filter(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         return pd.Series(may_be_near(_words(sa["sketch"]), _words(sb["sketch"]),
                                      sa["n"].to_numpy(np.float64), sb["n"].to_numpy(np.float64)))
 
-    return p.where(near("sa", "sb")).select("a", "b")
+    return p.where(near("sa", "sb")).select(*PAIR)
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -208,18 +210,32 @@ def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
               .join(sets.withColumnsRenamed({"node": "b", "shingles": "y"}), "b"))
     both = F.size(F.array_intersect("x", "y"))
     return p.withColumn("both", both).where(
-        F.col("both") * 100 >= (F.size("x") + F.size("y") - F.col("both")) * PERCENT).select("a", "b")
+        F.col("both") * 100 >= (F.size("x") + F.size("y") - F.col("both")) * PERCENT).select(*PAIR)
 
 
 def _representatives(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     used = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    return classes.select("node", "doc_id").join(used, "node", "left_semi")
+    return classes.select("node", "row").join(used, "node", "left_semi")
+
+
+def _ends(a: Column, b: Column) -> list[Column]:
+    """A pair's classes (structs ``node, o``), the smaller node first, in the columns ``PAIR``."""
+    low, high = F.least(a, b), F.greatest(a, b)
+    return [low["node"].alias("a"), high["node"].alias("b"), low["o"].alias("a_o"), high["o"].alias("b_o")]
+
+
+def _labelled_components(links: DataFrame) -> DataFrame:
+    """``node, root, root_o`` of linked classes. Nodes are labelled ``(o, node)``, so that the smallest
+    label of a component is the class of its smallest id, and no class has to look its component up."""
+    found = components(links.select(F.struct(F.col("a_o").alias("o"), F.col("a").alias("node")).alias("a"),
+                                    F.struct(F.col("b_o").alias("o"), F.col("b").alias("node")).alias("b")))
+    return found.select("node.node", F.col("root.node").alias("root"), F.col("root.o").alias("root_o"))
 
 
 def _cross_pairs(members: DataFrame, sizes: DataFrame) -> DataFrame:
     """Pairs across components of one bucket that the sketches let pass.
 
-    ``members``: ``band, key, node, root, n, sketch, bands``; ``sizes``: ``band, key, root, c``.
+    ``members``: ``band, key, node, o, root, n, sketch, bands``; ``sizes``: ``band, key, root, c``.
     """
     total = sizes.groupBy("band", "key").agg(
         F.sum("c").alias("size"), F.max(F.struct("c", "root")).alias("top"), F.count(F.lit(1)).alias("parts"))
@@ -231,7 +247,7 @@ def _cross_pairs(members: DataFrame, sizes: DataFrame) -> DataFrame:
     slot = lambda n, seed: F.pmod(F.xxhash64(F.lit(seed), "node"), n.cast("long")).cast("int")
     all_left = F.sequence(F.lit(0), F.col("left") - 1)
     all_right = F.sequence(F.lit(0), F.col("right") - 1)
-    body = ["band", "key", "node", "root", "n", "sketch", "bands"]
+    body = ["band", "key", "node", "o", "root", "n", "sketch", "bands"]
     asks = m.where(F.col("root") != F.col("top_root")).select(
         *body, slot(F.col("left"), 1).alias("i"), F.explode(all_right).alias("j"), F.lit(True).alias("asks"))
     answers = m.select(*body, F.explode(all_left).alias("i"), slot(F.col("right"), 2).alias("j"),
@@ -240,11 +256,12 @@ def _cross_pairs(members: DataFrame, sizes: DataFrame) -> DataFrame:
     def run(g: pd.DataFrame) -> pd.DataFrame:
         q, t = g[g["asks"]], g[~g["asks"]]
         if not len(q) or not len(t):
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+            return pd.DataFrame({c: [] for c in PAIR}, dtype="int64")
         ws, wt = _words(q["sketch"]), _words(t["sketch"])
         bs, bt = np.stack(q["bands"].to_numpy()), np.stack(t["bands"].to_numpy())
         ns, nt = q["n"].to_numpy(np.float64), t["n"].to_numpy(np.float64)
         node_s, node_t = q["node"].to_numpy(), t["node"].to_numpy()
+        o_s, o_t = q["o"].to_numpy(), t["o"].to_numpy()
         root_s, root_t = q["root"].to_numpy(), t["root"].to_numpy()
         band, out = int(g["band"].iloc[0]), []
         asked = set(node_s.tolist())
@@ -257,52 +274,56 @@ def _cross_pairs(members: DataFrame, sizes: DataFrame) -> DataFrame:
             at = np.flatnonzero(ok)
             if len(at):
                 at = at[may_be_near(ws[k][None, :], wt[at], ns[k], nt[at])]
-                out.append(np.stack([np.full(len(at), node_s[k]), node_t[at]], axis=1))
-        p = np.concatenate(out) if out else np.zeros((0, 2), dtype=np.int64)
-        return pd.DataFrame({"a": p.min(axis=1, initial=np.iinfo(np.int64).max),
-                             "b": p.max(axis=1, initial=np.iinfo(np.int64).min)})
-
-    found = asks.unionAll(answers).groupBy("band", "key", "i", "j").applyInPandas(run, "a long, b long")
+                own = np.full(len(at), node_s[k]), np.full(len(at), o_s[k])
+                first = node_s[k] < node_t[at]
+                out.append(np.stack([np.where(first, own[0], node_t[at]), np.where(first, node_t[at], own[0]),
+                                     np.where(first, own[1], o_t[at]), np.where(first, o_t[at], own[1])], axis=1))
+        p = np.concatenate(out) if out else np.zeros((0, 4), dtype=np.int64)
+        return pd.DataFrame(p, columns=PAIR)
+
+    found = asks.unionAll(answers).groupBy("band", "key", "i", "j").applyInPandas(
+        run, ", ".join(f"{c} long" for c in PAIR))
     return found.distinct()
 
 
 def near_links(docs: DataFrame, signed: DataFrame, words: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
-    """Classes (``node, doc_id, ...``) and ``node, root`` of all classes that are linked."""
-    classes = cut(signed.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"),
-        F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
-    members = classes.select("node", "doc_id", F.posexplode("bands").alias("band", "key"))
+    """Classes (``node, o, row, ...``) and ``node, root, root_o`` of all classes that are linked."""
+    order = F.coalesce("doc_id", F.lit(NO_ID).cast("long"))
+    classes = signed.where("node is not null").groupBy("node").agg(
+        F.min(F.struct(order.alias("o"), "row")).alias("least"), F.first("n").alias("n"),
+        F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    classes = cut(classes.select("node", "least.o", "least.row", "n", "bands", "sketch"))
+    members = classes.select("node", "o", F.posexplode("bands").alias("band", "key"))
     buckets = members.groupBy("band", "key").agg(
-        F.min(F.struct("doc_id", "node")).alias("first"), F.count(F.lit(1)).alias("c"))
-    buckets = buckets.where("c > 1").select("band", "key", F.col("first.node").alias("center"))
-    members = cut(members.drop("doc_id").join(buckets, ["band", "key"]))
+        F.min(F.struct("o", "node")).alias("first"), F.count(F.lit(1)).alias("c"))
+    buckets = buckets.where("c > 1").select("band", "key", "first")
+    members = cut(members.join(buckets, ["band", "key"]))
 
-    star = members.where("node <> center").select(
-        F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b")).distinct()
+    star = members.where(F.col("node") != F.col("first.node")).select(*_ends(
+        F.struct("node", "o"), F.struct("first.node", "first.o"))).distinct()
     star = cut(_sketch_filter(star, classes))
     links = cut(_confirm(star, shingle_sets(docs, _representatives(star, classes), words)))
-    roots = components(links)
+    roots = _labelled_components(links)
 
     rooted = members.join(roots, "node", "left").select(
-        "band", "key", "node", F.coalesce("root", "node").alias("root"))
+        "band", "key", "node", "o", F.coalesce("root", "node").alias("root"))
     sizes = rooted.groupBy("band", "key", "root").agg(F.count(F.lit(1)).alias("c"))
     full = rooted.join(classes.select("node", "n", "sketch", "bands"), "node")
     rest = cut(_cross_pairs(full, sizes).join(star, ["a", "b"], "left_anti"))
     more = cut(_confirm(rest, shingle_sets(docs, _representatives(rest, classes), words)))
-    return classes, components(links.unionAll(more))
+    return classes, _labelled_components(links.unionAll(more))
 
 
 def assign(docs: DataFrame, signed: DataFrame, words: int = SHINGLE) -> DataFrame:
-    """``doc_id, row, node, n, root, component_id`` for every row of ``signed``."""
+    """``doc_id, row, node, n, root, component_id`` for every row of ``signed``; ``root`` is the class
+    that holds the component's smallest id."""
     classes, roots = near_links(docs, signed, words)
-    c = classes.select("node", "doc_id").join(roots, "node", "left").select(
-        "node", "doc_id", F.coalesce("root", "node").alias("root"))
-    ids = c.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    by_node = c.join(ids, "root").select("node", "root", "component_id")
+    by_node = classes.select("node", "o").join(roots, "node", "left").select(
+        "node", F.coalesce("root", "node").alias("root"), F.coalesce("root_o", "o").alias("least"))
+    component = F.when(F.col("least") != NO_ID, F.col("least"))
     return signed.select("doc_id", "row", "node", "n").join(by_node, "node", "left").select(
         "doc_id", "row", "node", "n", "root",
-        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-        .alias("component_id"))
+        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(component).alias("component_id"))
 
 
 def _text_rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -327,9 +348,10 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     both id and text, one stays."""
     d = _text_rows(docs, doc_id, text)
     found = cut(assign(d, cut(signatures(d, words)), words))
-    first = found.where("node is not null").groupBy("root").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first"))
-    gone = cut(found.join(first, "root").where(F.col("row") != F.col("first.row")).select("row").distinct())
+    with_words = found.where("node is not null")
+    kept = with_words.where((F.col("node") == F.col("root")) & F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = kept.groupBy("root").agg(F.min("row").alias("row"))
+    gone = cut(with_words.select("row").distinct().join(kept, "row", "left_anti"))
     if gone.count() <= MAX_BROADCAST_IDS:
         gone = F.broadcast(gone)
     rows = packed(docs).withColumn("row", F.xxhash64(F.col(f"__row.`{doc_id}`").cast("long"),
