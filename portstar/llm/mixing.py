@@ -2,7 +2,7 @@
 
 Each source gets a target share of the corpus; its mean repetition rate is the share's size over
 the source's own. A document is repeated ``k`` times, ``k`` drawn from a Poisson distribution with
-that mean by inverting a uniform number that comes from a hash of the seed and the document's id.
+that mean by inverting a uniform number that comes from a hash of the seed, the document's id and its text.
 Copies are exploded and dealt out at random: rows go to partitions by a hash of their own and are
 sorted by it there.
 
@@ -10,9 +10,9 @@ Sizes are whole-corpus sums of code points. Without explicit weights, shares fol
 ``size ** temperature``. The corpus keeps its expected total size.
 
 Defined results. Null source: a source of its own. Null text: size 0. A source whose documents are
-all empty, or whose weight is 0, repeats at rate 0 and goes. Rows with one id share one draw. Null
-id: hashed as an empty string. Empty table: no rows. Extra columns travel along whatever their
-names.
+all empty, or whose weight is 0, repeats at rate 0 and goes. Null id: hashed as an empty string. Rows
+that repeat id and text are numbered, so that each has its own draw and place. Very long texts are only
+hashed and measured. Empty table: no rows. Extra columns travel along whatever their names.
 """
 
 from __future__ import annotations
@@ -20,13 +20,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from portstar.llm.common import packed, table
+from portstar.llm.common import cut, packed, table
+from portstar.operators.joins import bounded_broadcast
 
 SEED = "mix-1"
 TEMPERATURE = 0.5
 # exp(-rate) must stay a normal number: larger means are drawn as a sum of equal parts.
 PART_MEAN = 500.0
-MAX_BROADCAST_SOURCES = 50_000
+MAX_BROADCAST_BYTES = 32 << 20
 
 
 def hash_unit(*parts: Column) -> Column:
@@ -79,12 +80,13 @@ def replicate(docs: DataFrame, weights: DataFrame | None = None, doc_id: str = "
     """``__row, source, n_copies, copy, shuffle_key``: one row per copy, shuffled globally."""
     rates = source_rates(docs.select(F.col(source).alias("source"), F.col(text).alias("text")),
                          weights)
-    d = packed(docs).withColumn("id", F.coalesce(F.col(f"__row.`{doc_id}`").cast("string"), F.lit("")))
     rates = rates.withColumnRenamed("source", "s")
-    if rates.select("s").limit(MAX_BROADCAST_SOURCES + 1).count() <= MAX_BROADCAST_SOURCES:
+    taken = rates.agg(F.sum(F.size("cdf") * 8 + F.coalesce(F.octet_length("s"), F.lit(0)) + 24).alias("b")).first().b or 0
+    if taken <= MAX_BROADCAST_BYTES:
         rates = F.broadcast(rates)
     # beyond that bound the join shuffles, and adaptive execution splits a hot source
 
+    d = _apart(packed(docs), F.col(f"__row.`{doc_id}`"), F.col(f"__row.`{text}`"))
     d = d.join(rates, F.col(f"__row.`{source}`").eqNullSafe(F.col("s")))
 
     def draw(j: Column) -> Column:
@@ -100,6 +102,25 @@ def replicate(docs: DataFrame, weights: DataFrame | None = None, doc_id: str = "
     return d.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
 
 
+def _apart(rows: DataFrame, doc_id: Column, text: Column) -> DataFrame:
+    """``__row, id``: what draws and order hang on, the id and the text's MD5. Rows that repeat both are
+    reduced to distinct rows and counted, and each gets its number among them, so that they draw and
+    travel apart however many there are. Only hashes are shuffled to find them."""
+    name = F.concat_ws("|", F.coalesce(doc_id.cast("string"), F.lit("")), F.md5(F.coalesce(text, F.lit(""))))
+    d = rows.withColumn("id", name)
+    again = cut(d.groupBy(F.xxhash64("id").alias("h")).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h"))
+    if again.isEmpty():
+        return d
+    again = bounded_broadcast(again)
+    d = d.withColumn("h", F.xxhash64("id"))
+    some = d.join(again, "h", "left_semi").groupBy("__row", "id").agg(F.count(F.lit(1)).alias("c"))
+    # rows that differ in other columns only are told apart by their hash
+    some = some.select("__row", F.concat_ws("|", "id", F.xxhash64("__row").cast("string")).alias("id"),
+                       F.explode(F.sequence(F.lit(1).cast("long"), F.col("c"))).alias("k"))
+    return d.join(again, "h", "left_anti").select("__row", "id").unionAll(
+        some.select("__row", F.concat_ws("|", "id", F.col("k").cast("string")).alias("id")))
+
+
 def mix(docs: DataFrame, weights: DataFrame | None = None, **names) -> DataFrame:
     """The mixed corpus with the columns of ``docs``."""
     return replicate(docs, weights, **names).select("__row.*")
@@ -125,7 +146,7 @@ WITH RECURSIVE s AS (
   WHERE k < rate + 12 * sqrt(rate) + 40
 ), d AS (
   SELECT doc_id, source, lang, text,
-    ('0x' || substr(md5('mix-1|' || coalesce(doc_id::VARCHAR, '') || '|1'), 1, 13))::BIGINT::DOUBLE
+    ('0x' || substr(md5('mix-1|' || coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, '')) || '|1'), 1, 13))::BIGINT::DOUBLE
       / 4503599627370496 AS u
   FROM documents
 ), n AS (
@@ -137,6 +158,6 @@ WITH RECURSIVE s AS (
   SELECT *, unnest(range(1, n_copies + 1))::INTEGER AS copy FROM n
 )
 SELECT doc_id, source, lang, text, n_copies, copy, round(rate, 6) AS rate,
-  md5('mix-1|order|' || coalesce(doc_id::VARCHAR, '') || '|' || copy) AS shuffle_key
+  md5('mix-1|order|' || coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, '')) || '|' || copy) AS shuffle_key
 FROM e
 """
