@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from portstar.llm.common import packed, table
+from portstar.llm.common import cut, packed, table
 
 MAX_FIT_DOCS = 1500            # per class
 MAX_FIT_CHARS = 20_000
@@ -238,11 +238,14 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     usable = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()
                            & ~held_out(F.col("doc_id")))
               .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("y")))
+    # Labels count, and are chosen, where there is a document for them.
+    there = docs.groupBy("doc_id").agg(F.max(F.coalesce(F.char_length("text"), F.lit(0)) <= MAX_FIT_CHARS).alias("short"))
+    usable = cut(usable.join(there, "doc_id"))
     totals = {r.y: r.n for r in usable.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     order = F.xxhash64("doc_id")
-    chosen = usable.where("y = 1").orderBy(order, "doc_id").limit(MAX_FIT_DOCS).unionAll(
-        usable.where("y = 0").orderBy(order, "doc_id").limit(MAX_FIT_DOCS))
-    rows = (docs.select("doc_id", "text").where(F.char_length("text") <= MAX_FIT_CHARS)
+    chosen = usable.where("y = 1 AND short").orderBy(order, "doc_id").limit(MAX_FIT_DOCS).unionAll(
+        usable.where("y = 0 AND short").orderBy(order, "doc_id").limit(MAX_FIT_DOCS)).drop("short")
+    rows = (docs.select("doc_id", "text").where(F.coalesce(F.char_length("text"), F.lit(0)) <= MAX_FIT_CHARS)
                 .join(F.broadcast(chosen), "doc_id")      # at most 2 * MAX_FIT_DOCS ids
                 .orderBy(order, "doc_id", "text").limit(4 * MAX_FIT_DOCS).collect())
     return fit([(r.text, r.y) for r in rows], totals.get(1, 0), totals.get(0, 0))
