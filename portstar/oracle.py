@@ -238,16 +238,35 @@ def _fact_with(changes: dict[str, str], where: str, order: str) -> str:
 _MOVED = "CASE WHEN cic_id % 7 = 0 THEN CAST(arrive_date - 60 AS DATE) ELSE arrive_date END"
 _FIRST = "arrive_date < DATE '2000-01-01'"
 _SENT = "(arrive_date >= DATE '1999-12-01' OR cic_id % 35 < 8)"
-_UPSERT = sql(f"""
-    SELECT {_round_cols(FACT_COLS, set(_MEASURE_COLS))} FROM (
-      SELECT *, row_number() OVER (PARTITION BY cic_id ORDER BY version, {_nulls_first(FACT_COLS[1:])}) AS rn FROM (
-        {_fact_with({}, _SENT, '1')}
-        UNION ALL {_fact_with({}, _FIRST + ' AND cic_id % 13 = 0', '2')}
-        UNION ALL {_fact_with({
-            'city_code': "CASE WHEN cic_id % 5 = 0 THEN 'OLD' ELSE city_code END",
-            'depart_date': 'CASE WHEN cic_id % 3 <> 0 THEN depart_date END', 'arrive_date': _MOVED,
-            'year': f'CAST(year({_MOVED}) AS INTEGER)', 'month': f'CAST(month({_MOVED}) AS INTEGER)'},
-            _FIRST, '3')})) WHERE rn = 1""", "fact")
+_LATER = _fact_with({}, _SENT, '1')
+_WRONG = {
+    'city_code': "CASE WHEN cic_id % 5 = 0 THEN 'OLD' ELSE city_code END",
+    'depart_date': 'CASE WHEN cic_id % 3 <> 0 THEN depart_date END', 'arrive_date': _MOVED,
+    'year': f'CAST(year({_MOVED}) AS INTEGER)', 'month': f'CAST(month({_MOVED}) AS INTEGER)'}
+_CORRECTED = _fact_with({}, _FIRST + ' AND cic_id % 13 = 0', '2')
+_EARLY = _CORRECTED + " UNION ALL " + _fact_with(_WRONG, _FIRST, '3')
+# The first load as it was stored: its rows are chosen by the arrival day they came with.
+_STORED_FIRST = _CORRECTED + " UNION ALL " + _fact_with(_WRONG, f"{_MOVED} < DATE '2000-01-01'", '3')
+
+
+def _latest(rows: str) -> str:
+    """One row of each traveller: the first by version, then by every other column."""
+    return (f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cic_id ORDER BY version, "
+            f"{_nulls_first(FACT_COLS[1:])}) AS rn FROM ({rows})) WHERE rn = 1")
+
+
+_FACT_ROUND_COLS = _round_cols(FACT_COLS, set(_MEASURE_COLS))
+_BOTH_LOADS = _latest(f"{_LATER} UNION ALL {_EARLY}")
+_UPSERT = sql(f"SELECT {_FACT_ROUND_COLS} FROM ({_BOTH_LOADS})", "fact")
+
+
+def _summary_of(rows: str, groups: str) -> str:
+    return (f"SELECT {groups}, count(*) AS trips, round(avg(avg_Total_Population), {ROUND}) AS avg_population "
+            f"FROM ({rows}) GROUP BY {groups}")
+
+
+_AIRLINE_COLS = ["city_code", "airline", "flight_number", "visa_code"]
+_CITY_COLS = "State_Code, City, Race"
 
 _BAD_ARRIVALS = """
     SELECT * REPLACE (
@@ -373,6 +392,56 @@ ORACLE_SQL: dict[str, str] = {
         "dim_person", "dim_airline", "dim_arrive_calendar", "dim_depart_calendar", "dim_population",
         "stage_trips", "fact"),
     "incremental_upsert": _UPSERT,
+    "snapshot_merge_on_read": _UPSERT,
+    "snapshot_compacted": _UPSERT,
+    "snapshot_time_travel": sql(f"SELECT {_FACT_ROUND_COLS} FROM ({_latest(_STORED_FIRST)})", "fact"),
+    "snapshot_changes": sql(f"""
+        SELECT change, year, month, count(*) AS n, count(DISTINCT cic_id) AS travellers FROM (
+          SELECT 1 AS change, year, month, cic_id FROM ({_latest(_LATER)})
+          UNION ALL SELECT -1, year, month, cic_id FROM ({_latest(_STORED_FIRST)})
+            WHERE cic_id IN (SELECT cic_id FROM fact WHERE {_SENT})) GROUP BY 1, 2, 3""", "fact"),
+    "summary_upkeep": sql(_summary_of(_BOTH_LOADS, "year, month, arrive_date, immigration_state_code"), "fact"),
+    "summary_roll_up": sql(_summary_of(_BOTH_LOADS, "year, month, immigration_state_code"), "fact"),
+    "key_registry": sql(f"""
+        SELECT first.n + coalesce(k.late, 0) * (SELECT count(*) FROM first_flights) AS flight_id,
+               {", ".join("k." + c for c in _AIRLINE_COLS)}, k.trips
+        FROM (SELECT {", ".join(_AIRLINE_COLS)}, count(*) AS trips, CAST(NOT bool_or(
+                coalesce(arrive_date < DATE '2000-01-01', FALSE)) AS INTEGER) AS late
+              FROM stage_trips GROUP BY {", ".join(_AIRLINE_COLS)}) k
+        JOIN (SELECT *, 0 AS late, row_number() OVER (ORDER BY {_nulls_first(_AIRLINE_COLS)}) AS n FROM first_flights
+              UNION ALL SELECT *, 1, row_number() OVER (ORDER BY {_nulls_first(_AIRLINE_COLS)}) FROM (
+                SELECT DISTINCT {", ".join(_AIRLINE_COLS)} FROM stage_trips EXCEPT SELECT * FROM first_flights)) first
+          ON k.late = first.late AND {" AND ".join(f"k.{c} IS NOT DISTINCT FROM first.{c}" for c in _AIRLINE_COLS)}""",
+        "stage_trips", extra={"first_flights": f"""
+        SELECT DISTINCT {", ".join(_AIRLINE_COLS)} FROM stage_trips WHERE arrive_date < DATE '2000-01-01'"""}),
+    "published_warehouse": sql(" UNION ALL ".join(
+        f"SELECT 'visible' AS kind, '{t}' AS name, count(*) AS n FROM {block}" for t, block in (
+            ("stage_immigration", "stage_trips"), ("stage_demographics", "stage_demographics"),
+            ("dim_immi_personel", "dim_person"), ("dim_immi_airline", "dim_airline"),
+            ("dim_arrive_calendar", "dim_arrive_calendar"), ("dim_depart_calendar", "dim_depart_calendar"),
+            ("demo_population_dim", "dim_population"), ("immi_demographics", "fact")))
+        + " UNION ALL SELECT 'finding', 'dim_arrive_calendar.arrive_date.not_null', count(*) FROM dim_arrive_calendar "
+          "WHERE day = 1", "dim_person", "dim_airline", "dim_arrive_calendar", "dim_depart_calendar",
+        "dim_population", "fact"),
+    "schema_evolution": sql(f"""
+        SELECT {_CITY_COLS}, CAST(Total_Population AS BIGINT) AS Total_Population, CAST(NULL AS INTEGER) AS Foreign_born
+        FROM stage_demographics WHERE Race < 'F'
+        UNION ALL SELECT {_CITY_COLS}, CAST(Total_Population AS BIGINT) * 1000000, Foreign_born
+        FROM stage_demographics WHERE NOT coalesce(Race < 'F', FALSE)""", "stage_demographics"),
+    "schema_refusals": sql(f"""
+        SELECT {_CITY_COLS}, CAST(Total_Population AS BIGINT) * 1000000 AS Total_Population,
+               'Total_Population' AS bad_columns
+        FROM stage_demographics WHERE NOT coalesce(Race < 'F', FALSE)
+          AND CAST(Total_Population AS BIGINT) * 1000000 NOT BETWEEN -2147483648 AND 2147483647""", "stage_demographics"),
+    "key_sketch_report": sql(" UNION ALL ".join(f"""
+        SELECT 'immi_demographics' AS table_name, '{k}' AS key_name, year, count(*) AS total_rows,
+               count(*) - count({k}) AS null_keys, TRUE AS within_bound
+        FROM fact GROUP BY year""" for k in ("cic_id", "flight_number")), "fact"),
+    "write_status": sql(" UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS n, TRUE AS ok FROM {block}" for t, block in (
+            ("dim_immi_personel", "dim_person"), ("dim_depart_calendar", "dim_depart_calendar"),
+            ("demo_population_dim", "dim_population"))), "dim_person", "dim_depart_calendar", "dim_population"),
+    "preview_rows": sql("SELECT * FROM dim_arrive_calendar ORDER BY arrive_date LIMIT 20", "dim_arrive_calendar"),
     "archive_split": sql(f"""
         SELECT {_round_cols(FACT_COLS, set(_MEASURE_COLS))},
                CASE WHEN year < 1998 OR (year = 1998 AND month < 1) THEN 'archive' ELSE 'live' END AS part

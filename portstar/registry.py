@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,10 +41,16 @@ from portstar.plans.fact import (
     fact_trips_grouped,
     unmatched_states,
 )
+from portstar.plans.evolution import split_fitting
+from portstar.plans.key_registry import register, with_ids
 from portstar.plans.maintenance import archive_split, incremental_load, write_bucketed
+from portstar.plans.publish import contract_violations, publish_warehouse, write_tables
 from portstar.plans.quality import duplicate_listing, key_report, merge_report, missing_value_rows
+from portstar.plans.sketches import ERROR, key_sketches, sketch_report
+from portstar.plans.snapshots import AuditFailed, SnapshotStore
 from portstar.plans.staging import rejected_trips, stage_demographics, stage_trips
-from portstar.plans.warehouse import Warehouse
+from portstar.plans.summaries import DAILY, Summary, averages, refresh, roll_up
+from portstar.plans.warehouse import LAYOUT, Warehouse
 from portstar.session import scratch_path
 from portstar.sources.readers import (
     read_arrivals,
@@ -51,7 +59,7 @@ from portstar.sources.readers import (
     read_testdata,
     rejected_arrivals,
 )
-from portstar.sources.sinks import TableSpec, write_csv, write_table
+from portstar.sources.sinks import TableSpec, preview, write_csv, write_table
 from portstar.sources.testdata import (
     arrivals_from_testdata,
     demographics_from_testdata,
@@ -351,13 +359,12 @@ def q_sql_quality_checks(spark, sf_dir):
 
 # --- maintenance ----------------------------------------------------------------------------
 
-def q_incremental_upsert(spark, sf_dir):
+def _two_loads(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """A first load with open departures, old cities and wrong arrival dates; then an increment
     that corrects some of those rows (a moved date changes the partition), brings new rows, and
-    holds an outdated version of some. The last version of each ``cic_id`` has to remain."""
+    holds an outdated version of some. The first by ``load_order`` of each ``cic_id`` counts."""
     _, fact = _written_fact(spark, sf_dir)
     key, arrived = F.col("cic_id"), F.col("arrive_date")
-    path = scratch_path(spark, "fact-incremental")
 
     def version(df, n):
         return df.withColumns({"year": F.year("arrive_date"), "month": F.month("arrive_date"),
@@ -367,15 +374,178 @@ def q_incremental_upsert(spark, sf_dir):
         "city_code": F.when(key % 5 == 0, F.lit("OLD")).otherwise(F.col("city_code")),
         "depart_date": F.when(key % 3 == 0, F.lit(None).cast("date")).otherwise(F.col("depart_date")),
         "arrive_date": F.when(key % 7 == 0, F.date_sub(arrived, 60)).otherwise(arrived)})
-    order = ["load_order"]
     first = version(wrong.where(arrived < F.lit(FIRST_LOAD_BEFORE).cast("date")), 2)
     twice = first.unionByName(version(fact.where(
         (arrived < F.lit(FIRST_LOAD_BEFORE).cast("date")) & (key % 13 == 0)), 1))     # corrected in the load
-    incremental_load(spark, path, twice, ["cic_id"], ("year", "month"), order, drop=order)
     sent = fact.where((arrived >= F.lit(INCREMENT_FROM).cast("date")) | (key % 35 < 8))
     later = version(sent, 1).unionByName(version(sent.where(key % 11 == 0).withColumn("city_code", F.lit("???")), 2))
-    incremental_load(spark, path, later, ["cic_id"], ("year", "month"), order, drop=order)
-    return rounded(read_table(spark, path, fact.schema))
+    return twice, later
+
+
+LOAD_ORDER = ["load_order"]
+
+
+def q_incremental_upsert(spark, sf_dir):
+    """Both loads merged into plain Parquet: the last version of each ``cic_id`` has to remain."""
+    path = scratch_path(spark, "fact-incremental")
+    for part in _two_loads(spark, sf_dir):
+        incremental_load(spark, path, part, ["cic_id"], ("year", "month"), LOAD_ORDER, drop=LOAD_ORDER)
+    return rounded(read_table(spark, path, part.drop(*LOAD_ORDER).schema))
+
+
+# --- versioned tables -----------------------------------------------------------------------
+
+FACT_TABLE = "immi_demographics"
+
+
+def _loaded_store(spark, sf_dir, *summaries: Summary) -> SnapshotStore:
+    """The two loads as two versions of a store, with summaries maintained by each."""
+    store = SnapshotStore(spark, scratch_path(spark, "snapshots"))
+    for note, part in zip(("first", "increment"), _two_loads(spark, sf_dir)):
+        load = store.begin(note)
+        load.merge(FACT_TABLE, part, ["cic_id"], LOAD_ORDER, LOAD_ORDER, partition_by=("year", "month"))
+        for summary in summaries:
+            refresh(load, summary)
+        load.commit()
+    return store
+
+
+def q_snapshot_merge_on_read(spark, sf_dir):
+    return rounded(_loaded_store(spark, sf_dir).table(FACT_TABLE))
+
+
+def q_snapshot_compacted(spark, sf_dir):
+    """The same after compaction, with the old versions and their files gone."""
+    store = _loaded_store(spark, sf_dir)
+    store.compact(FACT_TABLE)
+    store.expire(keep=1)
+    return rounded(store.table(FACT_TABLE))
+
+
+def q_snapshot_time_travel(spark, sf_dir):
+    """The first version, read after the second was published and compacted."""
+    store = _loaded_store(spark, sf_dir)
+    store.compact(FACT_TABLE)
+    return rounded(store.table(FACT_TABLE, version=1))
+
+
+def q_snapshot_changes(spark, sf_dir):
+    """Rows that the increment added and took away, by month."""
+    changes = _loaded_store(spark, sf_dir).changes(FACT_TABLE, since=1)
+    return changes.groupBy("change", "year", "month").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("cic_id").alias("travellers"))
+
+
+def q_summary_upkeep(spark, sf_dir):
+    """The daily summary after both loads, kept by additions and retractions."""
+    store = _loaded_store(spark, sf_dir, DAILY)
+    return rounded(averages(store.table(DAILY.name), DAILY).withColumnRenamed(
+        "avg_Total_Population", "avg_population"))
+
+
+def q_summary_roll_up(spark, sf_dir):
+    """Months and states from the kept daily state, without the fact."""
+    store = _loaded_store(spark, sf_dir, DAILY)
+    groups = ("year", "month", "immigration_state_code")
+    monthly = replace(DAILY, groups=groups)
+    return rounded(averages(roll_up(store.table(DAILY.name), DAILY, groups), monthly).withColumnRenamed(
+        "avg_Total_Population", "avg_population"))
+
+
+def q_key_registry(spark, sf_dir):
+    """Ids of flights over two loads: the second load's trips, counted by the id of their flight."""
+    trips, _ = _written_staging(spark, sf_dir)
+    store = SnapshotStore(spark, scratch_path(spark, "registry"))
+    before = F.col("arrive_date") < F.lit(FIRST_LOAD_BEFORE).cast("date")
+    for part in (trips.where(before), trips):
+        load = store.begin()
+        register(load, "flight_ids", part, dims.AIRLINE_COLUMNS, "flight_id")
+        load.commit()
+    found = with_ids(trips.select(*dims.AIRLINE_COLUMNS), store.table("flight_ids"), dims.AIRLINE_COLUMNS, "flight_id")
+    return found.groupBy("flight_id", *dims.AIRLINE_COLUMNS).agg(F.count(F.lit(1)).alias("trips"))
+
+
+def q_published_warehouse(spark, sf_dir):
+    """A good build; then one that breaks the contract (arrival days missing from the calendar) and
+    stays invisible. What readers see, and what the audit found."""
+    store = SnapshotStore(spark, scratch_path(spark, "published"))
+    arrivals, demo = arrivals_from_testdata(spark, sf_dir), demographics_from_testdata(spark, sf_dir)
+    publish_warehouse(store, arrivals, demo)
+    load = store.begin("bad")
+    write_tables(load, arrivals, demo)
+    load.replace("dim_arrive_calendar", load.table("dim_arrive_calendar").withColumn(
+        "arrive_date", F.when(F.col("day") != 1, F.col("arrive_date"))), LAYOUT["dim_arrive_calendar"])
+    found = None
+    try:
+        load.commit(contract_violations)
+    except AuditFailed as refused:
+        found = refused.report
+    parts = [store.table(t).select(F.lit("visible").alias("kind"), F.lit(t).alias("name")).groupBy("kind", "name")
+             .agg(F.count(F.lit(1)).alias("n")) for t in LAYOUT]
+    parts.append(found.select(F.lit("finding").alias("kind"), F.concat_ws(".", "table_name", "field", "rule").alias("name"),
+                              F.col("violations").alias("n")))
+    return reduce(DataFrame.unionAll, parts)
+
+
+def _cities_in_two_shapes(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Cities as an early increment brings them, and as a later one does: with millionths of
+    a person (a wider type) and one more column."""
+    demo = _demo(spark, sf_dir)
+    early = F.col("Race") < "F"
+    columns = ["State_Code", "City", "Race", "Total_Population"]
+    later = demo.where(~early | early.isNull()).withColumn(
+        "Total_Population", F.col("Total_Population").cast("long") * 1_000_000)
+    return demo.where(early).select(*columns), later.select(*columns, "Foreign_born")
+
+
+def q_schema_evolution(spark, sf_dir):
+    early, later = _cities_in_two_shapes(spark, sf_dir)
+    store = SnapshotStore(spark, scratch_path(spark, "evolving"))
+    load = store.begin()
+    load.replace("cities", early, ("State_Code",))
+    load.commit()
+    load = store.begin()
+    load.append("cities", later)
+    load.commit()
+    return store.table("cities")
+
+
+def q_schema_refusals(spark, sf_dir):
+    """Rows of the later increment that a table of the early types cannot hold."""
+    early, later = _cities_in_two_shapes(spark, sf_dir)
+    return split_fitting(later.drop("Foreign_born"), early.schema)[1].withColumn(
+        "bad_columns", F.array_join("bad_columns", ","))
+
+
+def q_key_sketch_report(spark, sf_dir):
+    """Distinct travellers and airlines by year from stored monthly sketches, with whether the
+    estimate is within four standard errors of the exact count."""
+    _, fact = _written_fact(spark, sf_dir)
+    keys, path = ["cic_id", "flight_number"], scratch_path(spark, "sketches")
+    key_sketches(fact, FACT_TABLE, keys, ["year", "month"]).write.parquet(path)
+    report = sketch_report(spark.read.parquet(path), ["year"])
+    exact = fact.groupBy("year").agg(*[F.count_distinct(k).alias(k) for k in keys]).unpivot(
+        ["year"], keys, "key_name", "exact")
+    near = F.abs(F.col("distinct_keys") - F.col("exact")) <= 4 * ERROR * F.col("exact")
+    return report.join(exact, ["year", "key_name"]).select(
+        "table_name", "key_name", "year", "total_rows", "null_keys", near.alias("within_bound"))
+
+
+def q_write_status(spark, sf_dir):
+    """Status of guarded writes that count their rows as they pass."""
+    trips, demo = _written_staging(spark, sf_dir)
+    results = [write_table(df, TableSpec(name, scratch_path(spark, name), parts), count_rows=True)
+               for name, df, parts in (("dim_immi_personel", dims.dim_person(trips), ()),
+                                       ("dim_depart_calendar", dims.dim_depart_calendar(trips), ("year", "month")),
+                                       ("demo_population_dim", dims.dim_population(demo), ()))]
+    return spark.createDataFrame([(r.table, r.rows, r.ok) for r in results], "table_name string, n long, ok boolean")
+
+
+def q_preview_rows(spark, sf_dir):
+    """The first rows of a sorted calendar, brought to the driver and shown from there."""
+    trips = _trips(spark, sf_dir)
+    calendar = dims.dim_arrive_calendar(trips)
+    return spark.createDataFrame(preview(calendar.orderBy("arrive_date"), TOP_K), calendar.schema)
 
 
 def q_archive_split(spark, sf_dir):
@@ -471,6 +641,19 @@ QUERIES: dict[str, Query] = {
     "warehouse_build": q_warehouse_build,
     "sql_quality_checks": q_sql_quality_checks,
     "incremental_upsert": q_incremental_upsert,
+    "snapshot_merge_on_read": q_snapshot_merge_on_read,
+    "snapshot_compacted": q_snapshot_compacted,
+    "snapshot_time_travel": q_snapshot_time_travel,
+    "snapshot_changes": q_snapshot_changes,
+    "summary_upkeep": q_summary_upkeep,
+    "summary_roll_up": q_summary_roll_up,
+    "key_registry": q_key_registry,
+    "published_warehouse": q_published_warehouse,
+    "schema_evolution": q_schema_evolution,
+    "schema_refusals": q_schema_refusals,
+    "key_sketch_report": q_key_sketch_report,
+    "write_status": q_write_status,
+    "preview_rows": q_preview_rows,
     "archive_split": q_archive_split,
     "bucketed_join": q_bucketed_join,
     "daily_summary": q_daily_summary,
