@@ -318,8 +318,10 @@ def assign(docs: DataFrame, signed: DataFrame, words: int = SHINGLE) -> DataFram
     """``doc_id, row, node, n, root, component_id`` for every row of ``signed``; ``root`` is the class
     that holds the component's smallest id."""
     classes, roots = near_links(docs, signed, words)
-    by_node = classes.select("node", "o").join(roots, "node", "left").select(
-        "node", F.coalesce("root", "node").alias("root"), F.coalesce("root_o", "o").alias("least"))
+    # stored, so that the join below has a shuffle of its own on either side: only then does adaptive
+    # execution split a class of very many copies
+    by_node = cut(classes.select("node", "o").join(roots, "node", "left").select(
+        "node", F.coalesce("root", "node").alias("root"), F.coalesce("root_o", "o").alias("least")))
     component = F.when(F.col("least") != NO_ID, F.col("least"))
     return signed.select("doc_id", "row", "node", "n").join(by_node, "node", "left").select(
         "doc_id", "row", "node", "n", "root",
