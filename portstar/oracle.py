@@ -379,6 +379,11 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL SELECT 'rejected', count(*) FROM arrivals WHERE CAST(cicid AS BIGINT) % 10 IN (5, 7)
         UNION ALL SELECT 'staged', count(*) FROM stage_trips WHERE cic_id % 10 NOT IN (5, 7)""",
         "arrivals", "stage_trips"),
+    "csv_malformed_lines": sql("""
+        SELECT CASE WHEN k % 11 = 0 OR k % 13 = 0 THEN k END AS cic_id,
+               CASE WHEN k % 11 = 0 THEN 5 WHEN k % 13 = 0 THEN 15 ELSE 13 END AS fields,
+               CASE WHEN k % 11 = 0 OR k % 13 = 0 THEN '_corrupt_record' ELSE '' END AS bad_columns, count(*) AS n
+        FROM (SELECT CAST(cicid AS BIGINT) AS k FROM arrivals) GROUP BY 1, 2, 3""", "arrivals"),
     "warehouse_build": _FACT_ROUNDED,
     "sql_quality_checks": sql(" UNION ALL ".join(
         f"SELECT '{table}' AS table_name, count(*) AS total_rows, count({key}) AS non_null_keys, "

@@ -8,6 +8,7 @@ the partition columns, so other directories are never opened.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -98,9 +99,16 @@ def _existing(spark: SparkSession, path: str, schema) -> DataFrame | None:
         return None
 
 
+@dataclass(frozen=True)
+class LoadResult(WriteResult):
+    """A write, and the partition values from which the load took rows or to which it added some."""
+    touched: tuple[tuple, ...] = ()
+
+
 def incremental_load(spark: SparkSession, target_path: str, updates: DataFrame,
                      keys: Sequence[str], partition_by: Sequence[str],
-                     order_by: Sequence | None = None, drop: Sequence[str] = ()) -> WriteResult:
+                     order_by: Sequence | None = None, drop: Sequence[str] = (),
+                     keys_fix_partition: bool = False) -> LoadResult:
     """Merge ``updates`` into the partitioned Parquet table at ``target_path``: the latest row of
     each key wins, wherever it lies.
 
@@ -108,7 +116,11 @@ def incremental_load(spark: SparkSession, target_path: str, updates: DataFrame,
     this order and are not stored); an update always replaces the stored row, also when it falls
     into another partition. Only the key and partition columns of the whole table are read to find
     stored rows of the same keys. Partitions that hold such rows are rewritten without them;
-    everything else is appended, so an increment of new keys rewrites nothing.
+    everything else is appended, so an increment of new keys rewrites nothing. Where the keys
+    determine the partition (``keys_fix_partition``: a row cannot move), stored rows of the same keys
+    are only looked for in the increment's own partitions, whatever the table's size.
+
+    The result names the partitions that changed, those that rows left included, for derived tables.
 
     The increment and the rewritten partitions are staged in the shared checkpoint folder first
     and removed after. The table is changed in steps (replace partitions, append, remove emptied
@@ -123,10 +135,13 @@ def incremental_load(spark: SparkSession, target_path: str, updates: DataFrame,
     increment = spark.read.schema(schema).parquet(f"{stage}/increment")
     append = TableSpec("target", target_path, tuple(partition_by), mode="append")
     existing = _existing(spark, target_path, schema)
+    arriving = _partition_values(increment, partition_by)
     if existing is None:
         result = write_table(increment, append)
         _delete_folders(spark, [stage])
-        return result
+        return _load_result(result, arriving)
+    if keys_fix_partition:
+        existing = existing.where(partition_filter(arriving, partition_by))
     new_keys = increment.select([F.col(k).alias(f"_u_{k}") for k in keys]).distinct()
     same_key = _null_safe_match(keys, "_u_")
     stored = existing.select(*dict.fromkeys([*keys, *partition_by])).join(new_keys, same_key, "left_semi")
@@ -134,7 +149,7 @@ def incremental_load(spark: SparkSession, target_path: str, updates: DataFrame,
     if not changed:
         result = write_table(increment, append)
         _delete_folders(spark, [stage])
-        return result
+        return _load_result(result, arriving)
     in_changed = partition_filter(changed, partition_by)
     kept = existing.where(in_changed).join(new_keys, same_key, "left_anti").unionByName(
         increment.where(in_changed))
@@ -149,7 +164,11 @@ def incremental_load(spark: SparkSession, target_path: str, updates: DataFrame,
     if not rest.isEmpty():
         result = write_table(rest, append)
     _delete_folders(spark, [*folders, stage])
-    return result
+    return _load_result(result, [*arriving, *changed])
+
+
+def _load_result(result: WriteResult, touched: Sequence[tuple]) -> LoadResult:
+    return LoadResult(result.table, result.path, result.rows, result.ok, tuple(dict.fromkeys(touched)))
 
 
 def archive_split(spark: SparkSession, source_path: str, archive_path: str, live_path: str,
@@ -179,17 +198,27 @@ def write_bucketed(df: DataFrame, table_name: str, path: str, key: str, buckets:
 
 
 def refresh_derived(spark: SparkSession, source_path: str, source_schema, target_path: str,
-                    derive, changed: DataFrame,
+                    derive, changed: DataFrame | Sequence[tuple],
                     partition_by: Sequence[str] = ("year", "month")) -> WriteResult:
     """Recompute the partitions of a derived table (e.g. the daily summary) whose source
-    partitions ``changed`` touches, and replace only those partitions of ``target_path``.
+    partitions a load changed, and replace only those partitions of ``target_path``; partitions that
+    the source no longer has go.
 
-    The source is read through the same literal partition filter as an incremental load, so a
+    ``changed`` are partition values (``LoadResult.touched``: also those that rows left) or rows that
+    hold them. The source is read through the same literal partition filter as an incremental load, so a
     daily increment re-aggregates one month of data, not the whole table. ``derive`` must keep
     the partition columns (a per-partition aggregate such as ``daily_summary``).
     """
-    source = read_table(spark, source_path, source_schema)
-    scope = touched_partitions(source, changed, partition_by)
+    partition_by = list(partition_by)
+    values = _partition_values(changed, partition_by) if isinstance(changed, DataFrame) else [*changed]
+    scope = read_table(spark, source_path, source_schema).where(partition_filter(values, partition_by))
+    derived = derive(scope)
     spec = TableSpec("derived", target_path, tuple(partition_by), mode="overwrite",
                      options={"partitionOverwriteMode": "dynamic"})
-    return write_table(derive(scope), spec)
+    result = write_table(derived, spec)
+    emptied = set(values) - set(_partition_values(scope, partition_by))
+    if emptied:
+        left = read_table(spark, target_path, derived.schema).where(partition_filter(sorted(emptied, key=str), partition_by))
+        folder = F.regexp_replace(F.input_file_name(), "/[^/]*$", "")
+        _delete_folders(spark, [r.f for r in left.select(folder.alias("f")).distinct().collect()])
+    return result

@@ -59,6 +59,7 @@ from portstar.sources.readers import (
     read_testdata,
     rejected_arrivals,
 )
+from portstar.sources.schemas import ARRIVALS_SCHEMA
 from portstar.sources.sinks import TableSpec, preview, write_csv, write_table
 from portstar.sources.testdata import (
     arrivals_from_testdata,
@@ -331,6 +332,24 @@ def q_csv_rejects(spark, sf_dir):
         "cicid", "i94port", "fltno", F.array_join("bad_columns", ",").alias("bad_columns"))
 
 
+def q_csv_malformed_lines(spark, sf_dir):
+    """Lines of an arrivals file that break off early (every 11th) or go on too long (every 13th), and
+    the number of lines that are read."""
+    a = arrivals_from_testdata(spark, sf_dir)
+    key, names = F.col("cicid").cast("bigint"), [f.name for f in ARRIVALS_SCHEMA.fields]
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in names]
+    line = (F.when(key % 11 == 0, F.concat_ws(",", *cells[:5])).when(key % 13 == 0, F.concat_ws(",", *cells, F.lit("x"), F.lit("y")))
+            .otherwise(F.concat_ws(",", *cells)))
+    # one column whose name and values are whole lines; the separator does not occur in them
+    path = write_csv(a.select(line.alias(",".join(names))), scratch_path(spark, "malformed-csv"), sep="\u0001")
+    bad = rejected_arrivals(spark, path).select(
+        F.split("line", ",")[0].cast("double").cast("bigint").alias("cic_id"),
+        F.size(F.split("line", ",")).alias("fields"), F.array_join("bad_columns", ",").alias("bad_columns"))
+    good = read_arrivals(spark, path, fmt="csv").select(
+        F.lit(None).cast("bigint").alias("cic_id"), F.lit(len(names)).alias("fields"), F.lit("").alias("bad_columns"))
+    return bad.unionAll(good).groupBy("cic_id", "fields", "bad_columns").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _built_warehouse(spark, sf_dir) -> Warehouse:
     """The whole warehouse, opened again by another object, as a later process does."""
     root = scratch_path(spark, "warehouse")
@@ -638,6 +657,7 @@ QUERIES: dict[str, Query] = {
     "csv_arrivals_roundtrip": q_csv_arrivals_roundtrip,
     "csv_wide_arrivals": q_csv_wide_arrivals,
     "csv_rejects": q_csv_rejects,
+    "csv_malformed_lines": q_csv_malformed_lines,
     "warehouse_build": q_warehouse_build,
     "sql_quality_checks": q_sql_quality_checks,
     "incremental_upsert": q_incremental_upsert,

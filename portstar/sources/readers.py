@@ -3,7 +3,7 @@
 ``read_arrivals`` takes any Spark source (CSV, Parquet, or a third-party format whose reader is
 on the classpath) and returns the 13 source columns with the SAS types. ``read_demographics``
 reads the ';' separated city file. Text files are read by their own header line, as strings, and
-cast after; rows with a malformed cell can be listed. ``read_table`` reads written Parquet
+cast after; rows with a malformed cell, and lines with too few or too many fields, can be listed. ``read_table`` reads written Parquet
 back with a schema, so partition values such as state code '07' stay strings.
 """
 
@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 
 from portstar.sources.schemas import ARRIVALS_SCHEMA, DEMOGRAPHICS_SCHEMA
 
+CORRUPT = "_corrupt_record"
+
 
 def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Keep the schema's columns, in its order, cast to its types (column pruning reaches the scan)."""
@@ -22,8 +24,21 @@ def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def _read_text(spark: SparkSession, path: str, options: dict) -> DataFrame:
-    """A delimited file with its own header line, every column as a string."""
-    return spark.read.options(**{"header": "true", "mode": "PERMISSIVE", **options}).csv(path)
+    """A delimited file with its own header line, every column as a string, and each line that does not
+    have one field for each column of the header in ``CORRUPT``. All files of a folder need one header."""
+    options = {"header": "true", "mode": "PERMISSIVE", **options}
+    if "inferSchema" in options or options["mode"] != "PERMISSIVE":
+        return spark.read.options(**options).csv(path)
+    names = spark.read.options(**options).csv(path).schema
+    # without pruning, as the parser counts the fields of the columns it is asked for only
+    reader = spark.read.options(**{**options, "enforceSchema": "false", "columnPruning": "false",
+                                   "columnNameOfCorruptRecord": CORRUPT})
+    return reader.schema(with_corrupt_record(names)).csv(path)
+
+
+def with_corrupt_record(schema: T.StructType) -> T.StructType:
+    """A text schema with the column that takes whole malformed lines."""
+    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
 
 
 def _require(df: DataFrame, schema: T.StructType, what: str) -> None:
@@ -43,12 +58,15 @@ def typed_text(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFram
 
     ``typed`` holds the rows in which every cell is a value of its column's type (blank numeric
     cells are null); ``rejects`` the other rows as text, with the names of the ``bad_columns``.
-    Each row is in exactly one of the two.
+    Lines with too few or too many fields are rejects too: their bad column is ``CORRUPT``, and
+    ``line`` has them as they stand. Each row is in exactly one of the two.
     """
     casts = [f for f in schema.fields if not isinstance(f.dataType, T.StringType)]
-    bad = F.filter(F.array(*[F.when(_bad_cell(f), F.lit(f.name)) for f in casts]),
+    line = F.col(CORRUPT) if CORRUPT in df.columns else F.lit(None).cast("string")
+    torn = [F.when(line.isNotNull(), F.lit(CORRUPT))]
+    bad = F.filter(F.array(*torn, *[F.when(line.isNull() & _bad_cell(f), F.lit(f.name)) for f in casts]),
                    lambda name: name.isNotNull())
-    picked = df.select(*[F.col(f"`{f.name}`") for f in schema.fields], bad.alias("bad_columns"))
+    picked = df.select(*[F.col(f"`{f.name}`") for f in schema.fields], bad.alias("bad_columns"), line.alias("line"))
     good = picked.where(F.size("bad_columns") == 0).select(
         *[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields])
     return good, picked.where(F.size("bad_columns") > 0)

@@ -16,7 +16,7 @@ from portstar.plans.fact import FACT_KEYS, fact_trips, state_side
 from portstar.plans.maintenance import incremental_load, refresh_derived
 from portstar.plans.staging import stage_trips
 from portstar.session import scratch_path
-from portstar.sources.readers import typed_text
+from portstar.sources.readers import typed_text, with_corrupt_record
 from portstar.sources.schemas import ARRIVALS_SCHEMA
 
 
@@ -30,10 +30,10 @@ def fact_batch_writer(target_path: str, side: DataFrame, summary_path: str | Non
         spark = batch.sparkSession
         new_rows = fact_trips(stage_trips(batch), None, side=side).persist()
         try:
-            incremental_load(spark, target_path, new_rows, FACT_KEYS, ("year", "month"))
+            # the keys hold the arrival day, so a batch reads and rewrites its own months only
+            done = incremental_load(spark, target_path, new_rows, FACT_KEYS, ("year", "month"), keys_fix_partition=True)
             if summary_path is not None:
-                refresh_derived(spark, target_path, new_rows.schema, summary_path, daily_summary,
-                                new_rows)
+                refresh_derived(spark, target_path, new_rows.schema, summary_path, daily_summary, done.touched)
         finally:
             new_rows.unpersist()
 
@@ -57,8 +57,8 @@ def stream_arrivals_into_fact(spark: SparkSession, source_dir: str, target_path:
     side = state_side(static_side)
     options, schema = dict(options or {}), ARRIVALS_SCHEMA
     if source_format == "csv":
-        options = {"header": "true", "enforceSchema": "false", **options}
-        schema = spark.read.options(**options).csv(source_dir).schema       # names only: all strings
+        options = {"header": "true", "enforceSchema": "false", "columnPruning": "false", **options}
+        schema = with_corrupt_record(spark.read.options(**options).csv(source_dir).schema)   # names only: all strings
     stream = (spark.readStream.schema(schema).format(source_format).options(**options)
               .option("maxFilesPerTrigger", files_per_batch).load(source_dir))
     if source_format == "csv":
