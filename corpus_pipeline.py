@@ -5,12 +5,16 @@ that the caller writes as Parquet and rereads as the next one's ``docs``. All bu
 the columns of ``documents``.
 
 toxicity       documents scored 0.5 or more go
-near_dedup     one document of each near-duplicate group (0.8 on sets of four-word shingles) stays
+near_dedup     one document of each near-duplicate group (0.8 on sets of five-word shingles) stays
 decontaminate  documents that hold a benchmark item go
 mix            documents are repeated to the target weights of their sources and shuffled
 shard          every row gets a shard and a slot (uniform shuffle, exact shard sizes)
 
-Every stage carries extra columns along, and gives an empty result for empty documents.
+Every stage carries extra columns along, and gives an empty result for empty documents. Null, empty and
+very long texts: toxicity scores them (no text: the score of a text without windows), near_dedup keeps all
+rows without words, decontaminate keeps what matches nothing, mix gives them size 0, shard size 1. Rows with
+a null id pass every stage as rows of their own. Repeated rows: one stays of those with words (near_dedup);
+where extra columns differ, any one of them. Ties: the smallest id, then the smallest row hash.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from portstar.llm.common import stored, table
 
 N_SHARDS = 8
 TOXIC_FROM = 0.5
-STAGE_SHINGLE = 4          # words of a shingle in near_dedup, as test_pipeline_stages states it
+STAGE_SHINGLE = 5          # words of a shingle in near_dedup, the rule for stages without a contract
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +60,7 @@ STAGES = [
 ]
 
 # A fitted classifier, MinHash and random draws are not expressible in SQL; the pipeline is tested
-# stage by stage against brute-force versions.
+# stage by stage against brute-force versions (tests/llm/test_pipeline_stages.py).
 ORACLE_SQL = None
 
 
