@@ -162,11 +162,11 @@ def _near_docs():
     return rows + [(900, None), (901, ""), (902, " \n"), (None, rows[0][1]), (rows[1][0], rows[1][1]), (903, "É é")]
 
 
-def _brute(rows):
+def _brute(rows, words=4):
     sets = []
     for i, t in rows:
         w = (t or "").encode().lower().split()
-        k = min(4, len(w))
+        k = min(words, len(w))
         sets.append({tuple(w[j:j + k]) for j in range(len(w) - k + 1)} if w else set())
     root = list(range(len(rows)))
 
@@ -281,7 +281,7 @@ def test_pipeline_stages(spark, tmp_path):
         if i < 4:
             assert out.columns == columns
         if name == "near_dedup":
-            brute = _brute([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
+            brute = _brute([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()], words=5)
             assert {r.doc_id for r in out.collect()} == {c if n else d for d, n, c in brute}
         if i < 3:
             assert out.count() <= docs.count() and out.join(before, "doc_id", "left_anti").count() == 0
