@@ -283,6 +283,29 @@ _DAILY = sql(f"""
            round(avg(avg_Total_Population), {ROUND}) AS avg_population
     FROM fact GROUP BY year, month, arrive_date, immigration_state_code""", "fact")
 
+def _dedup_sql() -> str:
+    """Three deliveries one after the other: watermark before each, keys still known, rows kept."""
+    deliveries = ["arrive_date < DATE '1997-01-01'",
+                  "arrive_date >= DATE '1996-07-01' AND arrive_date < DATE '1998-07-01'",
+                  "arrive_date >= DATE '1998-01-01' OR (arrive_date < DATE '1995-01-01' AND cic_id % 10 = 3)"]
+    extra, seen, marks = {}, [], []
+    for i, where in enumerate(deliveries):
+        extra[f"d{i}"] = f"SELECT cic_id, arrive_date, flight_number FROM stage_trips WHERE {where}"
+        before = f"greatest({', '.join(marks)})" if marks else "DATE '0001-01-01'"
+        known = " UNION ALL ".join(f"SELECT cic_id FROM k{j} WHERE arrive_date >= {before}" for j in seen) or \
+            "SELECT CAST(NULL AS BIGINT) WHERE FALSE"
+        extra[f"k{i}"] = f"""
+        SELECT cic_id, arrive_date, flight_number FROM (
+          SELECT *, row_number() OVER (PARTITION BY cic_id ORDER BY arrive_date, flight_number NULLS FIRST) AS rn
+          FROM d{i} WHERE arrive_date >= {before}) x
+        WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM ({known}) s(cic_id) WHERE s.cic_id IS NOT DISTINCT FROM x.cic_id)"""
+        extra[f"l{i}"] = f"SELECT * FROM d{i} WHERE arrive_date < {before}"
+        marks.append(f"(SELECT coalesce(max(arrive_date) - {365}, DATE '0001-01-01') FROM d{i})")
+        seen.append(i)
+    body = " UNION ALL ".join([f"SELECT 'kept' AS part, * FROM k{i}" for i in seen] + [f"SELECT 'late', * FROM l{i}" for i in seen])
+    return sql(body, "stage_trips", extra=extra)
+
+
 ORACLE_SQL: dict[str, str] = {
     "stage_trips": sql("SELECT * FROM stage_trips", "stage_trips"),
     "stage_demographics": sql("SELECT * FROM stage_demographics", "stage_demographics"),
@@ -456,11 +479,15 @@ ORACLE_SQL: dict[str, str] = {
                count(DISTINCT f.cic_id) AS travellers
         FROM fact f JOIN dim_person p ON f.cic_id = p.cic_id
         GROUP BY p.country_code_1""", "fact", "dim_person"),
+    "z_ordered_lookup": sql(f"""
+        SELECT {_FACT_ROUND_COLS} FROM fact WHERE immigration_state_code = '12'
+          AND arrive_date BETWEEN DATE '1998-01-01' AND DATE '1998-12-31'""", "fact"),
     "daily_summary": _DAILY,
     "event_calendar": sql(f"""
         SELECT event_date, {_calendar('event_date')}, events
         FROM (SELECT CAST(ts AS DATE) AS event_date, count(*) AS events FROM events GROUP BY 1)"""),
     "streamed_fact": _FACT_ROUNDED,
+    "streamed_dedup": _dedup_sql(),
 }
 
 

@@ -7,6 +7,7 @@ the outputs, as in the SQL oracle, because summation order differs between engin
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
@@ -43,6 +44,7 @@ from portstar.plans.fact import (
 )
 from portstar.plans.evolution import split_fitting
 from portstar.plans.key_registry import register, with_ids
+from portstar.plans.layout import read_z_ordered, write_z_ordered
 from portstar.plans.maintenance import archive_split, incremental_load, write_bucketed
 from portstar.plans.publish import contract_violations, publish_warehouse, write_tables
 from portstar.plans.quality import duplicate_listing, key_report, merge_report, missing_value_rows
@@ -66,6 +68,7 @@ from portstar.sources.testdata import (
     demographics_from_testdata,
     with_bad_cells,
 )
+from portstar.streaming.dedup import Deduplication, stream_deduplicated
 from portstar.streaming.incremental import stream_arrivals_into_fact
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +82,11 @@ FIRST_LOAD_BEFORE, INCREMENT_FROM = "2000-01-01", "1999-12-01"
 ARCHIVE_BEFORE = (1998, 1)
 FILES_PER_BATCH = 2  # landing files taken by one micro-batch
 TOP_K = 20
+# Deliveries of the deduplicated stream, and how far apart repeats are still found.
+DELIVERIES = ("arrive_date < DATE'1997-01-01'",
+              "arrive_date >= DATE'1996-07-01' AND arrive_date < DATE'1998-07-01'",
+              "arrive_date >= DATE'1998-01-01' OR arrive_date < DATE'1995-01-01' AND cic_id % 10 = 3")
+DELAY_DAYS = 365
 
 
 def rounded(df: DataFrame, digits: int = ROUND_DIGITS) -> DataFrame:
@@ -592,6 +600,17 @@ def q_bucketed_join(spark, sf_dir):
                                               F.count_distinct("cic_id").alias("travellers"))
 
 
+def q_z_ordered_lookup(spark, sf_dir):
+    """A year of one state from the fact laid out along a Z curve of arrival day, state and traveller."""
+    _, fact = _written_fact(spark, sf_dir)
+    path = scratch_path(spark, "fact-z")
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    write_z_ordered(fact, path, ["arrive_date", "immigration_state_code", "cic_id"], files)
+    days = dt.date(BI_YEAR, 1, 1), dt.date(BI_YEAR, 12, 31)
+    return rounded(read_z_ordered(spark, path, fact.schema, {
+        "arrive_date": days, "immigration_state_code": (BI_STATE, BI_STATE)}))
+
+
 def q_daily_summary(spark, sf_dir):
     summary = daily_summary(_fact(spark, sf_dir))
     path = scratch_path(spark, "daily-summary")
@@ -618,6 +637,21 @@ def q_streamed_fact(spark, sf_dir):
     return rounded(read_table(spark, target).select(*FACT_COLUMNS))
 
 
+def q_streamed_dedup(spark, sf_dir):
+    """Three deliveries to a stream that is restarted between them: each repeats half a year of the one
+    before, and the last brings some rows of years that are over. What was kept, and what came late."""
+    trips, _ = _written_staging(spark, sf_dir)
+    trips = trips.select("cic_id", "arrive_date", "flight_number").where(F.col("arrive_date").isNotNull())
+    source, checkpoint = scratch_path(spark, "deliveries"), scratch_path(spark, "dedup-checkpoint")
+    store = SnapshotStore(spark, scratch_path(spark, "deduplicated"))
+    rule = Deduplication("trips", "late_trips", ("cic_id",), "arrive_date", DELAY_DAYS)
+    for part in DELIVERIES:
+        trips.where(part).write.mode("append").parquet(source)
+        stream_deduplicated(spark, source, store, rule, trips.schema, checkpoint)
+    kept = store.table("trips").select(F.lit("kept").alias("part"), *trips.columns)
+    return kept.unionAll(store.table("late_trips").select("reason", *trips.columns))
+
+
 QUERIES: dict[str, Query] = {
     "stage_trips": q_stage_trips,
     "stage_demographics": q_stage_demographics,
@@ -676,7 +710,9 @@ QUERIES: dict[str, Query] = {
     "preview_rows": q_preview_rows,
     "archive_split": q_archive_split,
     "bucketed_join": q_bucketed_join,
+    "z_ordered_lookup": q_z_ordered_lookup,
     "daily_summary": q_daily_summary,
     "event_calendar": q_event_calendar,
     "streamed_fact": q_streamed_fact,
+    "streamed_dedup": q_streamed_dedup,
 }
