@@ -224,9 +224,13 @@ def _ends(a: Column, b: Column) -> list[Column]:
     return [low["node"].alias("a"), high["node"].alias("b"), low["o"].alias("a_o"), high["o"].alias("b_o")]
 
 
-def _labelled_components(links: DataFrame) -> DataFrame:
-    """``node, root, root_o`` of linked classes. Nodes are labelled ``(o, node)``, so that the smallest
-    label of a component is the class of its smallest id, and no class has to look its component up."""
+def _labelled_components(links: DataFrame, key: str) -> DataFrame:
+    """``<key>, root, root_o`` of linked classes: ``root`` is the key of the component's class with the
+    smallest id ``root_o``. Nodes are labelled so that the smallest label is that class, and no class has
+    to look its component up: by their smallest id where that is ``key`` (unique), else by id and node."""
+    if key == "o":
+        found = components(links.select(F.col("a_o").alias("a"), F.col("b_o").alias("b")))
+        return found.select(F.col("node").alias("o"), "root", F.col("root").alias("root_o"))
     found = components(links.select(F.struct(F.col("a_o").alias("o"), F.col("a").alias("node")).alias("a"),
                                     F.struct(F.col("b_o").alias("o"), F.col("b").alias("node")).alias("b")))
     return found.select("node.node", F.col("root.node").alias("root"), F.col("root.o").alias("root_o"))
@@ -286,13 +290,15 @@ def _cross_pairs(members: DataFrame, sizes: DataFrame) -> DataFrame:
     return found.distinct()
 
 
-def near_links(docs: DataFrame, signed: DataFrame, words: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
-    """Classes (``node, o, row, ...``) and ``node, root, root_o`` of all classes that are linked."""
+def near_links(docs: DataFrame, signed: DataFrame, words: int = SHINGLE) -> tuple[DataFrame, DataFrame, str]:
+    """Classes (``node, o, row, ...``), :func:`_labelled_components` of all that are linked, and their key."""
     order = F.coalesce("doc_id", F.lit(NO_ID).cast("long"))
     classes = signed.where("node is not null").groupBy("node").agg(
         F.min(F.struct(order.alias("o"), "row")).alias("least"), F.first("n").alias("n"),
         F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     classes = cut(classes.select("node", "least.o", "least.row", "n", "bands", "sketch"))
+    ids = classes.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("o").alias("ids"), F.max("o").alias("last")).first()
+    key = "o" if ids.n == ids.ids and (ids.last is None or ids.last < NO_ID) else "node"
     members = classes.select("node", "o", F.posexplode("bands").alias("band", "key"))
     buckets = members.groupBy("band", "key").agg(
         F.min(F.struct("o", "node")).alias("first"), F.count(F.lit(1)).alias("c"))
@@ -303,28 +309,29 @@ def near_links(docs: DataFrame, signed: DataFrame, words: int = SHINGLE) -> tupl
         F.struct("node", "o"), F.struct("first.node", "first.o"))).distinct()
     star = cut(_sketch_filter(star, classes))
     links = cut(_confirm(star, shingle_sets(docs, _representatives(star, classes), words)))
-    roots = _labelled_components(links)
+    roots = _labelled_components(links, key)
 
-    rooted = members.join(roots, "node", "left").select(
-        "band", "key", "node", "o", F.coalesce("root", "node").alias("root"))
+    rooted = members.join(roots, key, "left").select(
+        "band", "key", "node", "o", F.coalesce("root", key).alias("root"))
     sizes = rooted.groupBy("band", "key", "root").agg(F.count(F.lit(1)).alias("c"))
     full = rooted.join(classes.select("node", "n", "sketch", "bands"), "node")
     rest = cut(_cross_pairs(full, sizes).join(star, ["a", "b"], "left_anti"))
     more = cut(_confirm(rest, shingle_sets(docs, _representatives(rest, classes), words)))
-    return classes, _labelled_components(links.unionAll(more))
+    return classes, _labelled_components(links.unionAll(more), key), key
 
 
 def assign(docs: DataFrame, signed: DataFrame, words: int = SHINGLE) -> DataFrame:
-    """``doc_id, row, node, n, root, component_id`` for every row of ``signed``; ``root`` is the class
-    that holds the component's smallest id."""
-    classes, roots = near_links(docs, signed, words)
+    """``doc_id, row, node, n, root, is_root, component_id`` for every row of ``signed``; ``root`` stands
+    for the component, ``is_root`` marks rows of the class that holds its smallest id."""
+    classes, roots, key = near_links(docs, signed, words)
     # stored, so that the join below has a shuffle of its own on either side: only then does adaptive
     # execution split a class of very many copies
-    by_node = cut(classes.select("node", "o").join(roots, "node", "left").select(
-        "node", F.coalesce("root", "node").alias("root"), F.coalesce("root_o", "o").alias("least")))
+    by_node = cut(classes.select("node", "o").join(roots, key, "left").select(
+        "node", F.coalesce("root", key).alias("root"), F.coalesce("root_o", "o").alias("least"),
+        (F.coalesce("root", key) == F.col(key)).alias("is_root")))
     component = F.when(F.col("least") != NO_ID, F.col("least"))
     return signed.select("doc_id", "row", "node", "n").join(by_node, "node", "left").select(
-        "doc_id", "row", "node", "n", "root",
+        "doc_id", "row", "node", "n", "root", "is_root",
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(component).alias("component_id"))
 
 
@@ -351,7 +358,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     d = _text_rows(docs, doc_id, text)
     found = cut(assign(d, cut(signatures(d, words)), words))
     with_words = found.where("node is not null")
-    kept = with_words.where((F.col("node") == F.col("root")) & F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = with_words.where(F.col("is_root") & F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = kept.groupBy("root").agg(F.min("row").alias("row"))
     gone = cut(with_words.select("row").distinct().join(kept, "row", "left_anti"))
     if gone.count() <= MAX_BROADCAST_IDS:
