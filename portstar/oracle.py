@@ -465,6 +465,11 @@ ORACLE_SQL: dict[str, str] = {
         SELECT 'immi_demographics' AS table_name, '{k}' AS key_name, year, count(*) AS total_rows,
                count(*) - count({k}) AS null_keys, TRUE AS within_bound
         FROM fact GROUP BY year""" for k in ("cic_id", "flight_number")), "fact"),
+    "column_statistics": sql(" UNION ALL ".join(f"""
+        SELECT year, '{c}' AS column_name, count(*) AS total_rows, count(*) - count({c}) AS missing,
+               CAST(min({x}) AS VARCHAR) AS low, CAST(max({x}) AS VARCHAR) AS high FROM fact GROUP BY year"""
+        for c, x in (("gender", "gender"), ("city_code", "city_code"), ("birth_year", "CAST(birth_year AS DOUBLE)"),
+                     ("depart_date", "CAST(date_diff('day', DATE '1970-01-01', depart_date) AS DOUBLE)"))), "fact"),
     "write_status": sql(" UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS n, TRUE AS ok FROM {block}" for t, block in (
             ("dim_immi_personel", "dim_person"), ("dim_depart_calendar", "dim_depart_calendar"),

@@ -50,6 +50,7 @@ from portstar.plans.publish import contract_violations, publish_warehouse, write
 from portstar.plans.quality import duplicate_listing, key_report, merge_report, missing_value_rows
 from portstar.plans.sketches import ERROR, key_sketches, sketch_report
 from portstar.plans.snapshots import AuditFailed, SnapshotStore
+from portstar.plans.statistics import column_statistics, merged, profile
 from portstar.plans.staging import rejected_trips, stage_demographics, stage_trips
 from portstar.plans.summaries import DAILY, Summary, averages, refresh, roll_up
 from portstar.plans.warehouse import LAYOUT, Warehouse
@@ -558,6 +559,15 @@ def q_key_sketch_report(spark, sf_dir):
         "table_name", "key_name", "year", "total_rows", "null_keys", near.alias("within_bound"))
 
 
+def q_column_statistics(spark, sf_dir):
+    """Profile of each year from stored monthly statistics: counts and bounds, without a second scan."""
+    _, fact = _written_fact(spark, sf_dir)
+    path = scratch_path(spark, "statistics")
+    column_statistics(fact, ["year", "month"], ["gender", "city_code", "birth_year", "depart_date"]).write.parquet(path)
+    yearly = profile(merged(spark.read.parquet(path), ["year"]))
+    return yearly.select("year", "column_name", "total_rows", "missing", "low", "high")
+
+
 def q_write_status(spark, sf_dir):
     """Status of guarded writes that count their rows as they pass."""
     trips, demo = _written_staging(spark, sf_dir)
@@ -706,6 +716,7 @@ QUERIES: dict[str, Query] = {
     "schema_evolution": q_schema_evolution,
     "schema_refusals": q_schema_refusals,
     "key_sketch_report": q_key_sketch_report,
+    "column_statistics": q_column_statistics,
     "write_status": q_write_status,
     "preview_rows": q_preview_rows,
     "archive_split": q_archive_split,
