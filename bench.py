@@ -48,7 +48,8 @@ HEADLINE = [
 ]
 
 HEAVY = ["incremental_upsert", "streamed_fact", "archive_split", "bucketed_join", "schema_contract",
-         "drop_sparse", "warehouse_build", "sql_quality_checks", "csv_wide_arrivals", "staging_balance"]
+         "drop_sparse", "warehouse_build", "sql_quality_checks", "csv_wide_arrivals", "staging_balance",
+         "snapshot_merge_on_read", "summary_upkeep", "key_registry", "z_ordered_lookup", "streamed_dedup"]
 
 
 def run(df) -> None:
