@@ -1,45 +1,71 @@
 """Continuous fact loading with Structured Streaming.
 
-New arrival files dropped in a folder are picked up by a file stream. Each micro-batch is staged,
-joined to the per-state averages (a small static table, broadcast) and merged into the
-partitioned fact with the same incremental upsert as the batch path. The merge is keyed on every
-trip column (ids of arrivals may repeat), so replaying a batch after a failure leaves the fact unchanged, and the stream's
-checkpoint (in the shared checkpoint folder) records which files were taken.
+New arrival files dropped in a folder are picked up by a file stream. Each micro-batch is staged and its
+trips are kept in a folder of that batch beside the stream's checkpoint (in the shared checkpoint folder),
+which records which files were taken. When every file is taken, the kept trips are joined to the per-state
+averages (a small static table, broadcast) and merged into the partitioned fact with the same incremental
+upsert as the batch path. Arrivals of one file fall into any month, so a merge for each batch would read
+and rewrite the whole fact as many times as there are batches; one merge moves every row once. It is keyed
+on every trip column (ids of arrivals may repeat), so a replay leaves the fact unchanged. A stream that
+breaks leaves the fact as it was; started again with its checkpoint, it merges what it kept.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from portstar.plans.bi import daily_summary
-from portstar.plans.fact import FACT_KEYS, fact_trips, state_side
-from portstar.plans.maintenance import incremental_load, refresh_derived
+from portstar.plans.fact import FACT_KEYS, TRIP_COLUMNS, fact_trips, state_side
+from portstar.plans.maintenance import delete_folders, incremental_load, refresh_derived
 from portstar.plans.staging import stage_trips
 from portstar.session import scratch_path
 from portstar.sources.readers import typed_text, with_corrupt_record
-from portstar.sources.schemas import ARRIVALS_SCHEMA
+from portstar.sources.schemas import ARRIVALS_SCHEMA, STAGED_TRIPS_SCHEMA
+from portstar.sources.sinks import TableSpec, write_table
 
+BATCH = "batch"
 
-def fact_batch_writer(target_path: str, side: DataFrame, summary_path: str | None = None):
-    """foreachBatch function: stage one batch of raw arrivals and merge it into the fact; with
-    ``summary_path``, also refresh the daily summary for the months the batch touched."""
+
+def trip_batch_writer(pending_path: str, side: DataFrame):
+    """foreachBatch function: stage one batch of raw arrivals and keep its trips of covered states in a
+    folder of its own below ``pending_path``. A batch that is run again replaces its folder."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        spark = batch.sparkSession
-        new_rows = fact_trips(stage_trips(batch), None, side=side).persist()
-        try:
-            # the keys hold the arrival day, so a batch reads and rewrites its own months only
-            done = incremental_load(spark, target_path, new_rows, FACT_KEYS, ("year", "month"), keys_fix_partition=True)
-            if summary_path is not None:
-                refresh_derived(spark, target_path, new_rows.schema, summary_path, daily_summary, done.touched)
-        finally:
-            new_rows.unpersist()
+        trips = stage_trips(batch).join(side.select("demographics_state_code"),
+                                        F.col("state_code") == F.col("demographics_state_code"), "left_semi")
+        write_table(trips.select(*TRIP_COLUMNS), TableSpec("pending", f"{pending_path}/{BATCH}={batch_id:012d}"))
 
     return apply
 
 
+def merge_pending(spark: SparkSession, pending_path: str, target_path: str, side: DataFrame,
+                  summary_path: str | None = None) -> None:
+    """Merge the trips of all pending batches into the fact in one load, so that each month is rewritten
+    once, and refresh the daily summary for the months it touched. Running it again changes nothing."""
+    batches = _folders(spark, pending_path)
+    if not batches:
+        return
+    trips = spark.read.schema(T.StructType([STAGED_TRIPS_SCHEMA[c] for c in TRIP_COLUMNS])).parquet(
+        *[f"{pending_path}/{b}" for b in batches])
+    by = ("year", "month")
+    rows = fact_trips(trips, None, side=side, deal_by=by)
+    # the keys hold the arrival day, so a load reads and rewrites its own months only
+    done = incremental_load(spark, target_path, rows, FACT_KEYS, by, keys_fix_partition=True, dealt=True)
+    if summary_path is not None:
+        refresh_derived(spark, target_path, rows.schema, summary_path, daily_summary, done.touched)
+    delete_folders(spark, [f"{pending_path}/{b}" for b in batches])
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(at)) if fs.exists(at) else []
+
+
 def stream_arrivals_into_fact(spark: SparkSession, source_dir: str, target_path: str,
                               by_state: DataFrame, checkpoint: str | None = None,
                               files_per_batch: int = 1, source_format: str = "parquet",
@@ -64,10 +90,12 @@ def stream_arrivals_into_fact(spark: SparkSession, source_dir: str, target_path:
     if source_format == "csv":
         stream = typed_text(stream, ARRIVALS_SCHEMA)[0]
     try:
-        query = (stream.writeStream.foreachBatch(fact_batch_writer(target_path, side, summary_path))
+        pending = f"{checkpoint.rstrip('/')}-pending"
+        query = (stream.writeStream.foreachBatch(trip_batch_writer(pending, side))
                  .option("checkpointLocation", checkpoint)
                  .trigger(availableNow=True).start())
         query.awaitTermination()
+        merge_pending(spark, pending, target_path, side, summary_path)
     finally:
         static_side.unpersist()
     return query
