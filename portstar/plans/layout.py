@@ -29,6 +29,15 @@ def _number(df: DataFrame, name: str) -> Column:
     return c.cast("double")
 
 
+def _place(x: Column, borders: Sequence[float]) -> Column:
+    """How many of the ascending ``borders`` are at most ``x`` (0 for null): each step halves what is left. The
+    one-element array has ``x`` computed once a row, not once a step."""
+    fine, n = F.lit(list(borders) or [0.0]), len(borders)
+    halves = F.lit([1 << b for b in reversed(range(n.bit_length()))] or [1])
+    return F.transform(F.array(x), lambda v: F.aggregate(halves, F.lit(0), lambda at, half: F.when(
+        (at + half <= n) & (F.get(fine, at + half - 1) <= v), at + half).otherwise(at)))[0]
+
+
 def z_value(df: DataFrame, columns: Sequence[str], bits: int = BITS) -> Column:
     """Interleaved bits of the columns' steps; nulls in the lowest step. The steps' borders are
     approximate quantiles of the whole table, at most ``1 << bits`` numbers a column."""
@@ -39,12 +48,7 @@ def z_value(df: DataFrame, columns: Sequence[str], bits: int = BITS) -> Column:
     out = F.lit(0).cast("long")
     for i, c in enumerate(columns):
         found = borders[i] or []
-        # place among the borders, in two steps of about their square root
-        side = max(1, int(len(found) ** 0.5))
-        fine, coarse, x = F.lit([float(v) for v in found] or [0.0]), F.lit([float(v) for v in found[::side]] or [0.0]), _number(df, c)
-        block = F.size(F.filter(coarse, lambda v: v <= x)) - 1
-        place = F.when(block < 0, 0).otherwise(block * side + F.size(F.filter(
-            F.slice(fine, block * side + 1, F.lit(side)), lambda v: v <= x)))
+        place = _place(_number(df, c), [float(v) for v in found])
         # few distinct values are spread over all steps, so that every column splits at the top
         place = F.coalesce(F.floor(place * F.lit(steps + 1) / (len(found) + 1)), F.lit(0)).cast("long")
         for b in range(bits):

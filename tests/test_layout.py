@@ -1,11 +1,12 @@
 """Files read for a day, a state and both: Z order against the partitioned layout."""
 
+import bisect
 import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
 
-from portstar.plans.layout import files_for, read_z_ordered, write_z_ordered, z_value
+from portstar.plans.layout import _place, files_for, read_z_ordered, write_z_ordered, z_value
 from portstar.session import scratch_path
 
 FILES = 64
@@ -61,3 +62,21 @@ def test_z_values_keep_neighbours_together(spark):
     assert len({r.z for r in z}) >= 200
     first = sorted(z, key=lambda r: r.z)[:49]                      # a quarter: a box, not a stripe
     assert max(r.a for r in first) <= 8 and max(r.b for r in first) <= 8
+
+
+def test_places_are_found_by_halving_and_numbers_made_once(spark):
+    for n in (0, 1, 2, 7, 8, 1023):
+        borders = [3.0 * i - 5 for i in range(n)]
+        x = [None, -1e9, 1e9, -5.0, -4.5, *[b + d for b in borders[:40] + borders[-3:] for d in (-0.5, 0.0, 0.5)]]
+        df = spark.createDataFrame([(v,) for v in x], "x double")
+        got = df.select("x", _place(F.col("x"), borders).alias("at")).collect()
+        assert [r.at for r in got] == [0 if r.x is None else bisect.bisect_right(borders, r.x) for r in got]
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def seen(v):
+        calls.add(1)
+        return v
+
+    spark.range(10).select(_place(seen(F.col("id").cast("double")), [float(i) for i in range(500)])).collect()
+    assert calls.value == 10
