@@ -6,8 +6,8 @@ from portstar.operators.columns import (
     rename_columns,
     sparse_columns,
 )
-from portstar.operators.dedup import dedup_by_key, duplicate_keys
-from portstar.operators.joins import bounded_broadcast, unmatched_rows
+from portstar.operators.dedup import dedup_by_key, dedup_repeated, duplicate_keys
+from portstar.operators.joins import bounded_broadcast, join_on_keys, unmatched_rows
 from portstar.operators.profile import (
     has_nulls,
     missing_profile,
@@ -22,7 +22,7 @@ from portstar.operators.surrogate import dense_key, hash_key
 
 __all__ = [
     "drop_sparse_columns", "rename_by_name", "rename_columns", "sparse_columns",
-    "dedup_by_key", "duplicate_keys", "bounded_broadcast", "unmatched_rows",
+    "dedup_by_key", "dedup_repeated", "duplicate_keys", "bounded_broadcast", "join_on_keys", "unmatched_rows",
     "has_nulls", "missing_profile", "missing_profile_wide", "null_check", "null_counts", "null_rows",
     "null_rows_union", "union_all", "dense_key", "hash_key",
 ]
