@@ -18,9 +18,9 @@ from pyspark.sql import types as T
 
 from portstar.plans.bi import daily_summary
 from portstar.plans.fact import FACT_KEYS, TRIP_COLUMNS, fact_trips, state_side
-from portstar.plans.maintenance import delete_folders, incremental_load, refresh_derived
+from portstar.plans.maintenance import incremental_load, refresh_derived
 from portstar.plans.staging import stage_trips
-from portstar.session import scratch_path
+from portstar.session import delete_folders, scratch_path
 from portstar.sources.readers import typed_text, with_corrupt_record
 from portstar.sources.schemas import ARRIVALS_SCHEMA, STAGED_TRIPS_SCHEMA
 from portstar.sources.sinks import TableSpec, write_table
